@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloqua.llm.conversations import rebuild_conversations
+from colloqua.llm.leakage import find_leaks
 from colloqua.llm.repeats import collapse_repeats
+from colloqua.llm.samelook import one_form, same_look_pairs
+from colloqua.llm.tokenize import encode_corpus
 from colloqua.operators.deliveries import keep_first_delivery
 from colloqua.plans.dealt_queries import DELIVERIES, INVISIBLE
 from colloqua.session import table
@@ -38,7 +41,31 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_look_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def p10_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in the one form of its look."""
+    return one_form(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "form")
+
+
+QUERIES = {
+    "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_forms": p10_forms,
+}
 
 ORACLES = {
     "p6_found": f"""WITH {DELIVERIES},
