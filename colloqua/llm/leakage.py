@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloqua.session import shared_folder
+
 #: Rows of item fingerprints up to which their side of the join is broadcast (12 bytes each).
 BROADCAST_ROWS = 2_000_000
 
@@ -177,7 +179,8 @@ def find_leaks(
     the hit is extended there, so the result is exact.
     """
     tests = _item_prints(items, item_key, lang, list(item_texts)).select(F.col("key").alias("item"), "v", "h")
-    tests = tests.checkpoint() if tests.sparkSession.sparkContext.getCheckpointDir() else tests
+    shared_folder(tests.sparkSession)
+    tests = tests.checkpoint()
     few = tests.count() <= BROADCAST_ROWS
     prints = _doc_prints(docs, doc_key, text).select(F.col("key").alias("doc"), "v", "h")
     pairs = prints.join(F.broadcast(tests) if few else tests, ["v", "h"]).select("doc", "item").distinct()

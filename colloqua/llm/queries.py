@@ -7,14 +7,39 @@ from pyspark.sql import functions as F
 
 from colloqua.llm.conversations import rebuild_conversations
 from colloqua.llm.leakage import find_leaks
+from colloqua.llm.personal import find_personal_data, masked
 from colloqua.llm.repeats import collapse_repeats
 from colloqua.llm.samelook import one_form, same_look_pairs
 from colloqua.llm.tokenize import encode_corpus
+from colloqua.llm.turns import speaker_turns
 from colloqua.operators.deliveries import keep_first_delivery
 from colloqua.plans.dealt_queries import DELIVERIES, INVISIBLE
 from colloqua.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = speaker_turns(table(spark, sf_dir, "call_segments"), table(spark, sf_dir, "calls"))
+    return turns.select(
+        "call_id", "turn_no", "speaker", F.round(F.col("start_s") * 1000).cast("long").alias("start_ms"), "bare_text"
+    )
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [
+        find_personal_data(table(spark, sf_dir, name).select(key, text), key, text).select(
+            F.lit(name).alias("tab_name"), "row_key", "kind"
+        )
+        for name, key, text in (("messages", "row_id", "msg"), ("chatml_messages", "cm_id", "chat_content"))
+    ]
+    return parts[0].unionByName(parts[1]).distinct()
+
+
+def p3_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages' texts with placeholders."""
+    messages = table(spark, sf_dir, "messages").select("row_id", "msg")
+    return messages.select("row_id", masked(F.col("msg")).alias("masked"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "messages").select(
         "row_id", "room_name", "msg_svr_id", "msg", "create_time", "is_sender"
@@ -59,6 +84,9 @@ def p10_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p3_masked": p3_masked,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p8_ids": p8_ids,
