@@ -39,6 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = "file://" + tempfile.mkdtemp(prefix="colloqua-shared-")
         spark.sparkContext.setCheckpointDir(folder)
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
