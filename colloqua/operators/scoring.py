@@ -136,7 +136,8 @@ def segment_conversations(df: DataFrame, judge: Callable[[str], str]) -> DataFra
             yield pd.Series([with_retries(lambda p=p: judge(p), 0, 0.0) for p in prompts])
 
     reply = F.from_json(D.without_thought(ask(D.numbered(F.col("messages")))), "struct<removed_indices:array<int>,reason:string>")
-    return df.withColumn("messages", D.without_indices(F.col("messages"), reply["removed_indices"]))
+    judged = df.withColumn("__removed", reply["removed_indices"])
+    return judged.withColumn("messages", D.without_indices(F.col("messages"), F.col("__removed"))).drop("__removed")
 
 
 def length_judge(pairs: list[tuple[str, str]]) -> str:
