@@ -1,8 +1,8 @@
 """Rebuilding conversations from message rows with keyed streaming state.
 
-The state is keyed by room and day, so that a hot room is spread over its days.
-It buffers a key's rows, late ones included, until the event-time watermark has
-passed the end of a stretch of talk by the gap; then the stretch is cut out and
+The state is keyed by a bucket of rooms and the day, so that a hot room is spread
+over its days and small rooms share a call. It buffers a key's rows, late ones
+included, until the event-time watermark has passed the end of a stretch of talk by the gap; then the stretch is cut out and
 emitted: as a validated conversation if it lies inside its day, else as an edge
 piece. Edge pieces, at most two a room and day and a few numbers each, are put
 together across midnight when the output is read.
@@ -23,6 +23,7 @@ from colloqua.session import shared_path
 
 DAY_US = 86_400_000_000
 _FAR = 4_000_000_000_000_000  # 2096: the event time that closes a finite input
+_NO_ID = -(1 << 62)
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -30,7 +31,7 @@ PIECE = (
     "room string, first_us long, last_us long, edge boolean, sound boolean, n_msgs long, n_turns long, "
     "first_id long, last_id long, first_side int, last_side int, asked boolean, replied boolean, answered boolean"
 )
-ROW = "room string, day long, at timestamp, us long, id long, side int, sound boolean, visible boolean"
+ROW = "room string, bucket int, day long, at timestamp, us long, id long, side int, sound boolean, visible boolean"
 
 
 def message_rows(
@@ -41,14 +42,19 @@ def message_rows(
     text: str = "msg",
     at: str = "create_time",
     tie: str = "row_id",
+    buckets: int | None = None,
 ) -> DataFrame:
     """The few columns the state needs. Rows without time are left out.
 
-    ``sound``: the side is 0 or 1 and the talker isn't blank.
+    ``sound``: the side is 0 or 1 and the talker isn't blank. ``buckets`` of rooms
+    share a key of the state; eight for each shuffle partition unless given.
     """
+    if buckets is None:
+        buckets = max(64, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     us = F.unix_micros(F.col(at).cast("timestamp"))
     return df.where(F.col(at).isNotNull()).select(
         F.col(room).cast("string").alias("room"),
+        F.pmod(F.xxhash64(F.col(room).cast("string")), F.lit(buckets)).cast("int").alias("bucket"),
         F.floor(us / F.lit(float(DAY_US))).cast("long").alias("day"),
         F.col(at).cast("timestamp").alias("at"),
         us.alias("us"),
@@ -68,32 +74,33 @@ def piece(us: np.ndarray, ids: np.ndarray, side: np.ndarray, sound: np.ndarray,
     users, replies = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     answered = bool(len(users) and len(replies) and users[0] < replies[-1])
     turns = 1 + int((side[1:] != side[:-1]).sum())
+    first, last = (None if i == _NO_ID else int(i) for i in (ids[0], ids[-1]))
     return (
-        bool(sound.all()), n, turns, int(ids[0]), int(ids[-1]), int(side[0]), int(side[-1]),
+        bool(sound.all()), n, turns, first, last, int(side[0]), int(side[-1]),
         bool(len(users)), bool(len(replies)), answered,
     )
 
 
-def _cut(key: tuple, data: np.ndarray, gap_us: int, watermark_us: int) -> tuple[list[tuple], np.ndarray]:
+def _cut(day: int, rooms: list[str | None], data: np.ndarray, gap_us: int, watermark_us: int) -> tuple[list[tuple], np.ndarray]:
     """Pieces whose end the watermark has passed by the gap, and the rows that stay.
 
-    ``data`` has the columns us, id, side, sound, visible.
+    ``data`` has the columns place of the room in ``rooms``, us, id, side, sound, visible.
     """
-    data = data[np.lexsort((data[:, 1], data[:, 0]))]
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(data[:, 0]) > gap_us) + 1, [len(data)]))
-    room, day = key
+    data = data[np.lexsort((data[:, 2], data[:, 1], data[:, 0]))]
+    apart = (np.diff(data[:, 1]) > gap_us) | (np.diff(data[:, 0]) != 0)
+    starts = np.concatenate(([0], np.flatnonzero(apart) + 1, [len(data)]))
     low, high = day * DAY_US, (day + 1) * DAY_US
     out, stay = [], []
     for a, b in zip(starts[:-1], starts[1:]):
         rows = data[a:b]
-        first, last = int(rows[0, 0]), int(rows[-1, 0])
+        first, last = int(rows[0, 1]), int(rows[-1, 1])
         if last + gap_us >= watermark_us:
             stay.append(rows)
             continue
         edge = first - low <= gap_us or high - last <= gap_us
-        fields = piece(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3] == 1, rows[:, 4] == 1)
+        fields = piece(rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4] == 1, rows[:, 5] == 1)
         if edge or (fields[0] and fields[-1]):
-            out.append((room, first, last, edge, *fields))
+            out.append((rooms[rows[0, 0]], first, last, edge, *fields))
     return out, np.concatenate(stay) if stay else data[:0]
 
 
@@ -103,20 +110,27 @@ def stream_conversations(rows: DataFrame, gap_seconds: int = 3600, delay: str =
     gap_us = gap_seconds * 1_000_000
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        data = [pickle.loads(state.get[0])] if state.exists else []
+        rooms, kept = pickle.loads(state.get[0]) if state.exists else ([], None)
+        data = [] if kept is None else [kept]
         if not state.hasTimedOut:
             for batch in batches:
                 batch = batch[batch["us"] < _FAR]
                 if len(batch):
+                    codes, own = pd.factorize(batch["room"], use_na_sentinel=False)
+                    place = {room: i for i, room in enumerate(rooms)}
+                    own = [None if pd.isna(room) else room for room in own]
+                    rooms += [room for room in own if room not in place]
+                    place = {room: i for i, room in enumerate(rooms)}
+                    codes = np.array([place[room] for room in own], dtype=np.int64)[codes]
                     side = batch["side"].fillna(-9).to_numpy(np.int64)
-                    data.append(np.column_stack([batch["us"], batch["id"], side, batch["sound"], batch["visible"]]).astype(np.int64))
+                    data.append(np.column_stack([codes, batch["us"], batch["id"].fillna(_NO_ID), side, batch["sound"], batch["visible"]]).astype(np.int64))
         if not data:
             return
         mark = state.getCurrentWatermarkMs()
-        done, stay = _cut(key, np.concatenate(data), gap_us, mark * 1000)
+        done, stay = _cut(key[1], rooms, np.concatenate(data), gap_us, mark * 1000)
         if len(stay):
-            state.update((pickle.dumps(stay, protocol=5),))
-            closes = int(stay[:, 0].min() + gap_us) // 1000 + 1
+            state.update((pickle.dumps((rooms, stay), protocol=5),))
+            closes = int(stay[:, 1].min() + gap_us) // 1000 + 1
             state.setTimeoutTimestamp(max(closes, mark + 1, 1))
         elif state.exists:
             state.remove()
@@ -126,7 +140,7 @@ def stream_conversations(rows: DataFrame, gap_seconds: int = 3600, delay: str =
 
     return (
         rows.withWatermark("at", delay)
-        .groupBy("room", "day")
+        .groupBy("bucket", "day")
         .applyInPandasWithState(step, PIECE, "rows binary", "append", "EventTimeTimeout")
     )
 
@@ -168,7 +182,7 @@ def rebuild_conversations(df: DataFrame, gap_seconds: int = 3600, **names: str)
     visible rows; n_turns counts runs of one side.
 
     Rows without time are left out; a null room is a room; ties are ordered by
-    ``tie``; repeated rows count each. An empty table gives an empty result.
+    ``tie``, a null one first and given as null; repeated rows count each. An empty table gives an empty result.
 
     A finite table is run through the stream as one micro-batch, for which no
     watermark stands yet, so that no row is late, together with one row in the
@@ -180,7 +194,7 @@ def rebuild_conversations(df: DataFrame, gap_seconds: int = 3600, **names: str)
     base = shared_path(spark, "conversations")
     rows = message_rows(df, **names)
     end = spark.sql(
-        f"SELECT CAST(NULL AS STRING) AS room, -1L AS day, timestamp_micros({_FAR}L) AS at, {_FAR}L AS us, "
+        f"SELECT CAST(NULL AS STRING) AS room, -1 AS bucket, -1L AS day, timestamp_micros({_FAR}L) AS at, {_FAR}L AS us, "
         "-1L AS id, 0 AS side, true AS sound, false AS visible"
     )
     rows.unionByName(end).write.parquet(f"{base}/rows")
