@@ -121,17 +121,26 @@ def build_dialogues(
     to be valid still.
     """
     rows = bursts.select("room", "us", F.col("seq").cast("long").alias("seq"), F.col("side").cast("int").alias("side"), "msg")
-    asked = previous_rows(next_reply(rows, window_seconds), n_context).where("side <> 1 AND reply IS NOT NULL")
+    asked = next_reply(previous_rows(rows, n_context), window_seconds).where("side <> 1 AND reply IS NOT NULL")
     role = lambda m: F.when(m["side"] == 1, "assistant").otherwise("user")
     context = F.transform("context", lambda m: D.message(role(m), m["msg"]))
     budget = D.budget_prefix(context, F.lit(limit // 2))
     ends = F.array(D.message(F.lit("user"), F.col("msg")), D.message(F.lit("assistant"), F.col("reply")))
-    packed = asked.withColumn("messages", D.with_system(F.concat(budget, ends), prompt))
+    packed = _once(asked, "messages", D.with_system(F.concat(budget, ends), prompt), ["room", "us", "seq"])
     valid = packed.where(D.is_valid_dialogue(F.col("messages")))
     fit = F.when(D.total_length(F.col("messages")) <= limit, F.col("messages")).otherwise(
         D.greedy_reduce(F.col("messages"), F.lit(limit))
     )
-    return valid.withColumn("messages", fit).where(D.is_valid_dialogue(F.col("messages"))).select("room", "us", "seq", "messages")
+    return _once(valid, "messages", fit, ["room", "us", "seq"]).where(D.is_valid_dialogue(F.col("messages")))
+
+
+def _once(df: DataFrame, name: str, value: Column, keep: list[str]) -> DataFrame:
+    """``keep`` and ``value``, evaluated once a row.
+
+    As the output of a generator it isn't put in again wherever a later filter
+    names it, which for nested array expressions would multiply the work.
+    """
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
 
 
 def split_conversations(rows: DataFrame) -> DataFrame:
