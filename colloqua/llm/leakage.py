@@ -12,12 +12,13 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ BROADCAST_ROWS = 2_000_000
 _ESCAPES = re.compile(r"\\+(?:u([0-9a-fA-F]{4})|[nrtfbv])")
 _CJK = r"\p{Han}\p{Hiragana}\p{Katakana}"
 _WORD = regex.compile(rf"[{_CJK}]|[^\W_{_CJK}]+")
-_LETTER = regex.compile(r"[^\W_]")
+_OTHER = regex.compile(r"[\W_]+")
+_MARKS = regex.compile(r"[\p{Mn}\p{Me}\p{Cf}]+")
+_DECOMPOSED = regex.compile(r"[^\p{ASCII}\p{Han}\p{Common}]")
 
 
 @dataclass(frozen=True)
@@ -62,31 +65,43 @@ def fold(text: str) -> str:
         text = _ESCAPES.sub(lambda m: chr(int(m[1], 16)) if m[1] else " ", text)
     if text.isascii():
         return text.lower()
-    text = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", text).casefold())
-    return "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Me", "Cf"))
+    text = unicodedata.normalize("NFKC", text).casefold()
+    if _DECOMPOSED.search(text):
+        text = unicodedata.normalize("NFKD", text)
+    return _MARKS.sub("", text)
 
 
-def units(folded: str, view: View) -> list[str]:
-    return (_WORD if view.words else _LETTER).findall(folded)
-
-
-@functools.lru_cache(maxsize=200_000)
-def _unit_hash(unit: str) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(unit)
+def units(folded: str, view: View) -> Sequence[str]:
+    """Words (each ideograph is one), or the letters and digits as one text."""
+    return _WORD.findall(folded) if view.words else _OTHER.sub("", folded)
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_HASHES: dict[str, int] = {}
+
+
+def _word_values(words: Sequence[str]) -> np.ndarray:
+    if len(_HASHES) > 500_000:
+        _HASHES.clear()
+    out = []
+    for word in words:
+        value = _HASHES.get(word)
+        if value is None:
+            value = _HASHES[word] = xxhash.xxh64_intdigest(word)
+        out.append(value)
+    return np.array(out, dtype=np.uint64)
 
 
-def fingerprints(found: list[str], view: View) -> np.ndarray:
+def fingerprints(found: Sequence[str], view: View) -> np.ndarray:
     """The kept hashes (int64, distinct) of a text's units."""
     n = len(found) - view.k + 1
     if len(found) < view.least:
         return np.zeros(0, dtype=np.int64)
-    values = np.fromiter((_unit_hash(u) for u in found), dtype=np.uint64, count=len(found))
+    if isinstance(found, str):
+        values = np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    else:
+        values = _word_values(found)
     hashes = np.zeros(n, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for j in range(view.k):
@@ -95,15 +110,16 @@ def fingerprints(found: list[str], view: View) -> np.ndarray:
         hashes *= _MIX
         hashes ^= hashes >> np.uint64(32)
     least = np.lib.stride_tricks.sliding_window_view(hashes, view.window).min(axis=1)
-    return np.unique(least).view(np.int64)
+    return np.unique(least[np.flatnonzero(np.diff(least, prepend=~least[:1]))]).view(np.int64)
 
 
-def shares_run(a: list[str], b: list[str], least: int) -> bool:
+def shares_run(a: Sequence[str], b: Sequence[str], least: int) -> bool:
     """Whether two unit sequences have ``least`` consecutive units in common."""
     if len(a) < least or len(b) < least:
         return False
-    runs = {tuple(a[i : i + least]) for i in range(len(a) - least + 1)}
-    return any(tuple(b[i : i + least]) in runs for i in range(len(b) - least + 1))
+    run = (lambda x, i: x[i : i + least]) if isinstance(a, str) else (lambda x, i: tuple(x[i : i + least]))
+    runs = {run(a, i) for i in range(len(a) - least + 1)}
+    return any(run(b, i) in runs for i in range(len(b) - least + 1))
 
 
 def _doc_prints(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -193,8 +209,8 @@ def find_leaks(
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         @functools.lru_cache(maxsize=4096)
-        def item_units(t: str, view: View) -> tuple[str, ...]:
-            return tuple(units(fold(t), view))
+        def item_units(t: str, view: View) -> Sequence[str]:
+            return units(fold(t), view)
 
         for batch in batches:
             keep = []
@@ -202,7 +218,7 @@ def find_leaks(
             for i, (code, tests, t) in enumerate(zip(*columns)):
                 view = view_of(code)
                 own = units(fold(t), view) if t is not None else []
-                if any(x is not None and shares_run(own, list(item_units(x, view)), view.least) for x in tests):
+                if any(x is not None and shares_run(own, item_units(x, view), view.least) for x in tests):
                     keep.append(i)
             at = pa.array(keep, type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["doc_id", "item_id"])

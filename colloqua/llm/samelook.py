@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from colloqua.functions.blanks import has_visible
 from colloqua.llm.lookalikes import LOOK_ALIKES
+from colloqua.session import staged
 
 _LINE_BREAKS = "\n\r\v\f\x85\u2028\u2029"
 _INVISIBLE = {chr(c) for c in (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0)}
@@ -126,8 +127,12 @@ def _odd_forms(texts: DataFrame) -> DataFrame:
     return rebuilt.withColumn("__form", _recomposed(F.col("__form")))
 
 
+def _sha(column: str) -> Column:
+    return F.unhex(F.sha2(F.col(column), 256))
+
+
 def _keyed(df: DataFrame, text: str) -> DataFrame:
-    return df.where(F.col(text).isNotNull()).withColumn("__tid", F.sha2(F.col(text), 256))
+    return df.where(F.col(text).isNotNull()).withColumn("__tid", _sha(text))
 
 
 def one_form(df: DataFrame, text: str = "text", to: str = "form") -> DataFrame:
@@ -141,7 +146,7 @@ def one_form(df: DataFrame, text: str = "text", to: str = "form") -> DataFrame:
     reserved).
     """
     # The text is compared by its SHA-256, so that only texts with something to change are moved.
-    keyed = df.withColumn("__tid", F.sha2(F.col(text), 256))
+    keyed = df.withColumn("__tid", _sha(text))
     odd = keyed.where(_is_odd(F.col(text))).select("__tid", F.col(text).alias("__text")).distinct()
     joined = keyed.join(_odd_forms(odd), "__tid", "left")
     empty = F.when(_is_odd(F.col(text)), F.lit("")).otherwise(F.col(text))
@@ -153,15 +158,16 @@ def same_look_classes(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Texts without anything visible are left out, as are rows with a null text or key.
 
-    Plan: documents move as hashes. Of the texts with something to change each
+    Plan: documents move as hashes of 32 bytes. Of the texts with something to change each
     distinct one is exploded once, so copies, even a third of all rows, cost one.
     Only forms shared by several different texts come back to the documents.
     """
     docs = _keyed(df.where(F.col(key).isNotNull() & has_visible(F.col(text))).select(key, text), text)
     odd = docs.where(_is_odd(F.col(text))).select("__tid", F.col(text).alias("__text")).distinct()
-    forms = _odd_forms(odd).select("__tid", F.sha2("__form", 256).alias("form_sha"))
+    forms = _odd_forms(odd).select("__tid", _sha("__form").alias("form_sha"))
     plain = docs.where(~_is_odd(F.col(text))).select("__tid").distinct().withColumn("form_sha", F.col("__tid"))
-    variants = forms.unionByName(plain)
+    # Written once, as what follows reads it twice: two hashes for each different text.
+    variants = staged(forms.unionByName(plain), "forms")
     shared = variants.groupBy("form_sha").agg(F.count("*").alias("__n")).where("__n > 1").select("form_sha")
     variants = variants.join(shared, "form_sha").select("__tid", "form_sha")
     return docs.select(key, "__tid").join(variants, "__tid").select(
@@ -176,7 +182,7 @@ def same_look_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     alone gives no rows; every pair of different texts that look the same is
     given, as no representative may stand for it here.
     """
-    classes = same_look_classes(df, key, text)
+    classes = staged(same_look_classes(df, key, text), "classes")
     a = classes.select(F.col(key).alias("__a"), F.col("text_sha").alias("__ta"), "form_sha")
     b = classes.select(F.col(key).alias("__b"), F.col("text_sha").alias("__tb"), F.col("form_sha").alias("__form_b"))
     near = (a["form_sha"] == b["__form_b"]) & (a["__a"] < b["__b"]) & (a["__ta"] != b["__tb"])
