@@ -13,7 +13,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from colloqua.functions.blanks import has_visible
 
 #: Seconds of a block; its bitmap takes 8 kB.
 BLOCK_SECONDS = 1 << 16
+#: Ticks whose blocks share a bitmap; sparse blocks take some 2 kB of it, the rest grows with the ticks.
+STEP_ROWS = 1 << 12
 
 
 def close_bitmap(bits: int, reach: int) -> int:
@@ -38,33 +41,36 @@ def close_bitmap(bits: int, reach: int) -> int:
     return shrunk
 
 
-def bitmap_runs(bits: int) -> list[tuple[int, int]]:
-    """First and last position of each run of set bits."""
-    if not bits:
-        return []
-    raw = np.frombuffer(bits.to_bytes((bits.bit_length() + 7) // 8 + 1, "little"), dtype=np.uint8)
-    flags = np.unpackbits(raw, bitorder="little").astype(np.int8)
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags))))
-    return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2])]
+def bitmap_runs(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last positions of the runs of set bits."""
+    raw = np.frombuffer(bits.to_bytes(bits.bit_length() // 8 + 1, "little"), dtype=np.uint8)
+    flags = np.unpackbits(raw, bitorder="little").view(np.int8)
+    edges = np.flatnonzero(np.diff(flags, prepend=np.int8(0), append=np.int8(0)))
+    return edges[::2], edges[1::2] - 1
 
 
-def occupancy(offsets: np.ndarray) -> int:
-    flags = np.zeros(int(offsets[-1]) + 1, dtype=np.uint8)
-    flags[offsets] = 1
+def occupancy(positions: np.ndarray, size: int) -> int:
+    flags = np.zeros(size, dtype=np.uint8)
+    flags[positions] = 1
     return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
 
 
-def block_runs(seconds: np.ndarray, counts: np.ndarray, reach: int) -> list[tuple[int, int, int]]:
-    """(first second, last second, events) of the runs in one block."""
-    order = np.argsort(seconds, kind="stable")
-    seconds, counts = seconds[order], counts[order]
-    offsets = seconds - seconds[0]
-    total = np.concatenate(([0], np.cumsum(counts)))
-    runs = bitmap_runs(close_bitmap(occupancy(offsets), reach)) if reach >= 0 else [(int(o), int(o)) for o in offsets]
-    low = np.searchsorted(offsets, [a for a, _ in runs], "left")
-    high = np.searchsorted(offsets, [b for _, b in runs], "right")
-    base = int(seconds[0])
-    return [(base + int(offsets[i]), base + int(offsets[j - 1]), int(total[j] - total[i])) for i, j in zip(low, high)]
+def block_runs(block: np.ndarray, second: np.ndarray, count: np.ndarray, reach: int) -> tuple[np.ndarray, ...]:
+    """Places of the first and last tick of each run, and its events.
+
+    Ticks are sorted by block and second. The blocks' stretches lie one after the
+    other in one bitmap, with more room between them than the closing fills.
+    """
+    starts = np.flatnonzero(np.diff(block, prepend=block[:1] - 1))
+    base = np.repeat(second[starts], np.diff(np.append(starts, len(block))))
+    ends = np.append(starts[1:], len(block)) - 1
+    width = second[ends] - second[starts] + 1 + reach + 2
+    origin = np.concatenate(([0], np.cumsum(width)))
+    at = np.repeat(origin[:-1], np.diff(np.append(starts, len(block)))) + second - base
+    first, last = bitmap_runs(close_bitmap(occupancy(at, int(origin[-1])), reach))
+    low, high = np.searchsorted(at, first), np.searchsorted(at, last)
+    total = np.concatenate(([0], np.cumsum(count)))
+    return low, high, total[high + 1] - total[low]
 
 
 def sessions(
@@ -86,7 +92,9 @@ def sessions(
     """
     if gap_seconds < 1:
         raise ValueError("gap_seconds must be at least 1")
-    gap_us, reach = gap_seconds * 1_000_000, gap_seconds - 2
+    # Seconds that differ by up to the gap less one are surely joined. For a gap of one second that's none,
+    # so positions are two apart there and neighbouring bits don't touch.
+    gap_us, reach, apart = gap_seconds * 1_000_000, max(0, gap_seconds - 2), 2 if gap_seconds == 1 else 1
     events = df.where(F.col(at).isNotNull() & has_visible(F.col(entity))).select(
         F.col(entity).alias("__e"), F.unix_micros(F.col(at).cast("timestamp")).alias("__us")
     )
@@ -96,23 +104,38 @@ def sessions(
         .agg(F.count("*").alias("__n"), F.min("__us").alias("__lo"), F.max("__us").alias("__hi"))
     )
     ticks = ticks.withColumn("__b", F.expr(f"(__s - pmod(__s, {BLOCK_SECONDS})) div {BLOCK_SECONDS}"))
-    blocks = ticks.groupBy("__e", "__b").agg(
-        F.collect_list(F.struct("__s", "__n", "__lo", "__hi")).alias("__ticks")
-    )
-
-    @F.pandas_udf("array<struct<s:bigint,lo:bigint,hi:bigint,n:bigint>>")
-    def runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for ticks in batches:
-            out = []
-            for block in ticks:
-                rows = np.array([(t["__s"], t["__n"], t["__lo"], t["__hi"]) for t in block], dtype=np.int64)
-                lo = dict(zip(rows[:, 0].tolist(), rows[:, 2].tolist()))
-                hi = dict(zip(rows[:, 0].tolist(), rows[:, 3].tolist()))
-                found = block_runs(rows[:, 0], rows[:, 1], reach)
-                out.append([{"s": a, "lo": lo[a], "hi": hi[b], "n": n} for a, b, n in found])
-            yield pd.Series(out)
-
-    parts = blocks.select("__e", F.explode(runs("__ticks")).alias("r")).select("__e", "r.*")
+    columns = ["__e", "__b", "__s", "__n", "__lo", "__hi"]
+    sorted_ticks = ticks.select(*columns).repartition("__e", "__b").sortWithinPartitions("__e", "__b", "__s")
+
+    def found(rows: pa.Table) -> pa.RecordBatch:
+        entity_code = rows.column(0).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        block, second, count, lo, hi = (rows.column(i).to_numpy() for i in range(1, 6))
+        changes = (np.diff(entity_code) != 0) | (np.diff(block) != 0)
+        place = np.concatenate(([0], np.cumsum(changes)))
+        low, high, events = block_runs(place, second * apart, count, reach)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0).take(pa.array(low)).combine_chunks(), *map(pa.array, (second[low], lo[low], hi[high], events))],
+            names=["__e", "s", "lo", "hi", "n"],
+        )
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Blocks come one after the other; the last of a batch may go on in the next and waits for it.
+        waiting: pa.Table | None = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP_ROWS):
+                rows = pa.Table.from_batches([batch.slice(at, STEP_ROWS)])
+                rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+                last = rows.slice(rows.num_rows - 1)
+                same = pc.and_(pc.equal(rows.column(0), last.column(0)[0]), pc.equal(rows.column(1), last.column(1)[0]))
+                whole = rows.num_rows - pc.sum(same).as_py()
+                if whole:
+                    yield found(rows.slice(0, whole))
+                waiting = rows.slice(whole)
+        if waiting is not None and waiting.num_rows:
+            yield found(waiting)
+
+    kind = df.schema[entity].dataType.simpleString()
+    parts = sorted_ticks.mapInArrow(runs, f"__e {kind}, s bigint, lo bigint, hi bigint, n bigint")
     w = Window.partitionBy("__e").orderBy("s")
     parts = parts.withColumn("__brk", F.when(F.col("lo") - F.lag("hi").over(w) <= gap_us, 0).otherwise(1))
     parts = parts.withColumn("__g", F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
