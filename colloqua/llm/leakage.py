@@ -18,7 +18,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +27,11 @@ from colloqua.session import shared_folder
 BROADCAST_ROWS = 2_000_000
 
 _ESCAPES = re.compile(r"\\+(?:u([0-9a-fA-F]{4})|[nrtfbv])")
-_CJK = r"\p{Han}\p{Hiragana}\p{Katakana}"
-_WORD = regex.compile(rf"[{_CJK}]|[^\W_{_CJK}]+")
-_OTHER = regex.compile(r"[\W_]+")
+#: Letters that are words of their own: kana and ideographs.
+_ALONE = ((0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_CJK = "".join(f"{chr(a)}-{chr(b)}" for a, b in _ALONE)
+_WORD = re.compile(rf"[{_CJK}](?<=[^\W_])|[^\W_{_CJK}]+")
+_OTHER = re.compile(r"[\W_]+")
 _MARKS = regex.compile(r"[\p{Mn}\p{Me}\p{Cf}]+")
 _DECOMPOSED = regex.compile(r"[^\p{ASCII}\p{Han}\p{Common}]")
 
@@ -62,10 +63,10 @@ def view_of(lang: str | None) -> View:
 def fold(text: str) -> str:
     """Text without escapes, width, case, marks and invisible characters."""
     if "\\" in text:
-        text = _ESCAPES.sub(lambda m: chr(int(m[1], 16)) if m[1] else " ", text)
+        text = _ESCAPES.sub(lambda m: chr(int(m[1], 16) or 32) if m[1] else " ", text)
     if text.isascii():
         return text.lower()
-    text = unicodedata.normalize("NFKC", text).casefold()
+    text = unicodedata.normalize("NFKC", text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")).casefold()
     if _DECOMPOSED.search(text):
         text = unicodedata.normalize("NFKD", text)
     return _MARKS.sub("", text)
@@ -76,41 +77,63 @@ def units(folded: str, view: View) -> Sequence[str]:
     return _WORD.findall(folded) if view.words else _OTHER.sub("", folded)
 
 
+@functools.lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """For each code point 0, 1 for a letter or digit, 2 for one that is a word of its own."""
+    table = np.fromiter((chr(c).isalnum() for c in range(0x110000)), dtype=np.uint8, count=0x110000)
+    for a, b in _ALONE:
+        table[a : b + 1] *= 2
+    return table
+
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_HASHES: dict[str, int] = {}
-
-
-def _word_values(words: Sequence[str]) -> np.ndarray:
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
-    out = []
-    for word in words:
-        value = _HASHES.get(word)
-        if value is None:
-            value = _HASHES[word] = xxhash.xxh64_intdigest(word)
-        out.append(value)
-    return np.array(out, dtype=np.uint64)
-
-
-def fingerprints(found: Sequence[str], view: View) -> np.ndarray:
-    """The kept hashes (int64, distinct) of a text's units."""
-    n = len(found) - view.k + 1
-    if len(found) < view.least:
-        return np.zeros(0, dtype=np.int64)
-    if isinstance(found, str):
-        values = np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    else:
-        values = _word_values(found)
-    hashes = np.zeros(n, dtype=np.uint64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(29))) * _MIX
+    return values ^ (values >> np.uint64(32))
+
+
+def fingerprints(texts: Sequence[str], view: View) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the text, kept hash) of all texts, by array operations over all of them at once.
+
+    The texts lie one after the other, parted by a code point that no unit has; a
+    window counts where it lies within one text. Neighbouring windows that keep
+    the same hash give it once.
+    """
+    whole = fold("\0".join(t.replace("\0", " ") for t in texts)) + "\0"
+    codes = np.frombuffer(whole.encode("utf-32-le", "replace"), dtype=np.uint32)
+    text = np.cumsum(codes == 0) - (codes == 0)
+    kinds = _classes()[codes]
     with np.errstate(over="ignore"):
+        if view.words:
+            before = np.concatenate(([0], kinds[:-1]))
+            starts = np.flatnonzero((kinds == 2) | ((kinds == 1) & (before != 1)))
+            inside = np.flatnonzero(kinds > 0)
+            nth = np.cumsum((kinds == 2) | ((kinds == 1) & (before != 1)))[inside] - 1
+            weight = np.power(_BASE, (inside - starts[nth]).astype(np.uint64))
+            part = _mixed(codes[inside].astype(np.uint64) + np.uint64(1)) * weight
+            first = np.searchsorted(inside, starts)
+            values = _mixed(np.add.reduceat(part, first)) if len(starts) else np.zeros(0, dtype=np.uint64)
+            text = text[starts]
+        else:
+            values, text = codes[kinds > 0].astype(np.uint64), text[kinds > 0]
+        n = len(values) - view.least + 1
+        if n <= 0:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        hashes = np.zeros(len(values) - view.k + 1, dtype=np.uint64)
         for j in range(view.k):
-            hashes = hashes * _BASE + values[j : j + n]
-        hashes ^= hashes >> np.uint64(29)
-        hashes *= _MIX
-        hashes ^= hashes >> np.uint64(32)
-    least = np.lib.stride_tricks.sliding_window_view(hashes, view.window).min(axis=1)
-    return np.unique(least[np.flatnonzero(np.diff(least, prepend=~least[:1]))]).view(np.int64)
+            hashes = hashes * _BASE + values[j : j + len(hashes)]
+        hashes = _mixed(hashes)
+    least = hashes[:n].copy()
+    for j in range(1, view.window):
+        np.minimum(least, hashes[j : j + n], out=least)
+    within = text[:n] == text[view.least - 1 :]
+    least, text = least[within], text[:n][within]
+    new = np.ones(len(least), dtype=bool)
+    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    return text[new].astype(np.int64), least[new].view(np.int64)
 
 
 def shares_run(a: Sequence[str], b: Sequence[str], least: int) -> bool:
@@ -129,20 +152,13 @@ def _doc_prints(df: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                who, views, prints = [], [], []
-                for i, t in enumerate(part.column(1).to_pylist()):
-                    folded = fold(t)
-                    for v, view in enumerate((WORDS, LETTERS)):
-                        kept = fingerprints(units(folded, view), view)
-                        who.append(np.full(len(kept), i))
-                        views.append(np.full(len(kept), v, dtype=np.int8))
-                        prints.append(kept)
-                if not who:
-                    continue
-                keys = part.column(0).take(pa.array(np.concatenate(who), type=pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(np.concatenate(views)), pa.array(np.concatenate(prints))], names=["key", "v", "h"]
-                )
+                texts = part.column(1).to_pylist()
+                for v, view in enumerate((WORDS, LETTERS)):
+                    at_text, kept = fingerprints(texts, view)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(at_text)), pa.array(np.full(len(kept), v, dtype=np.int8)), pa.array(kept)],
+                        names=["key", "v", "h"],
+                    )
 
     rows = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
     return rows.mapInArrow(step, f"key {kind}, v tinyint, h bigint")
@@ -159,7 +175,7 @@ def _item_prints(items: DataFrame, key: str, lang: str, texts: list[str]) -> Dat
                     t = batch.column(column)[i].as_py()
                     if t is None:
                         continue
-                    kept = fingerprints(units(fold(t), view), view)
+                    kept = fingerprints([t], view)[1]
                     n = len(kept)
                     keys = batch.column(0).take(pa.array(np.full(n, i), type=pa.int64()))
                     side = pa.array(np.full(n, 0 if view.words else 1, dtype=np.int8))

@@ -80,7 +80,16 @@ def test_winnowing_guarantees_every_shared_run():
         shared = words(rng, rng.choice([10, 11, 12, 13, 20]))
         a, b = words(rng, rng.randrange(15)) + shared + words(rng, rng.randrange(15)), words(rng, rng.randrange(9)) + shared + words(rng, 9)
         if L.shares_run(a, b, 12):
-            assert set(L.fingerprints(a, L.WORDS)) & set(L.fingerprints(b, L.WORDS))
+            places, kept = L.fingerprints([" ".join(a), "", " ".join(b)], L.WORDS)
+            assert set(kept[places == 0]) & set(kept[places == 2])
+
+
+def test_fingerprints_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["", "one two " * 30, "斑驳的罗盘" * 20, "x" * 40000, "short", "a\0b " * 40, "\ud800 lone " * 30]
+    for view in (L.WORDS, L.LETTERS):
+        places, kept = L.fingerprints(texts, view)
+        for i, text in enumerate(texts):
+            assert kept[places == i].tolist() == L.fingerprints([text], view)[1].tolist()
 
 
 def test_leaks(spark):
