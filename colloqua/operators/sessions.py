@@ -105,7 +105,9 @@ def sessions(
     )
     ticks = ticks.withColumn("__b", F.expr(f"(__s - pmod(__s, {BLOCK_SECONDS})) div {BLOCK_SECONDS}"))
     columns = ["__e", "__b", "__s", "__n", "__lo", "__hi"]
-    sorted_ticks = ticks.select(*columns).repartition("__e", "__b").sortWithinPartitions("__e", "__b", "__s")
+    # A number given isn't coalesced: the tasks are bound by Python's work, not by bytes.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ticks = ticks.select(*columns).repartition(tasks, "__e", "__b").sortWithinPartitions("__e", "__b", "__s")
 
     def found(rows: pa.Table) -> pa.RecordBatch:
         entity_code = rows.column(0).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
