@@ -596,3 +596,52 @@ def stream_asof(spark, sf_dir):
 
     found = run_to_end(stream_replies(_message_stream(spark, sf_dir)), shared_path(spark, "stream"))
     return found.groupBy("room", "us", "seq").agg(F.min("reply_us").alias("reply_us"))
+
+
+# --- small expressions ---------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey * 37 AS VARCHAR) AS x, round(o_orderkey * 37.0 / 1024, 1) AS kb FROM orders WHERE o_orderkey * 37 >= 1024 AND o_orderkey * 37 < 1024 * 1000")
+def size_display(spark, sf_dir):
+    from colloqua.functions.misc import size_text
+
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") * 37).alias("b")).where("b >= 1024 AND b < 1024 * 1000")
+    return rows.select("o_orderkey", F.col("b").cast("string").alias("x"), F.split_part(size_text(F.col("b")), F.lit(" "), F.lit(1)).cast("double").alias("kb"))
+
+
+@query("SELECT event_id, concat_ws(' ', CASE WHEN event_id >= 3600 THEN event_id // 3600 || 'h' END, CASE WHEN event_id >= 60 THEN event_id // 60 % 60 || 'm' END, event_id % 60 || 's') AS shown FROM events")
+def duration_display(spark, sf_dir):
+    from colloqua.functions.misc import duration_text
+
+    return table(spark, sf_dir, "events").select("event_id", duration_text(F.col("event_id")).alias("shown"))
+
+
+@query("SELECT c_mktsegment, max_by(c_name, CAST(regexp_extract(c_name, '(\\d+)$', 1) AS BIGINT)) AS latest FROM customer GROUP BY c_mktsegment")
+def latest_by_suffix(spark, sf_dir):
+    """The name with the largest number at its end."""
+    from colloqua.functions.misc import number_at_end
+
+    return table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.max_by("c_name", number_at_end(F.col("c_name"))).alias("latest"))
+
+
+MODULES = "modules AS (SELECT l_orderkey, l_linenumber, l_partkey, 'model.layers.' || l_orderkey % 50 || CASE WHEN l_linenumber % 4 = 0 THEN '.router' ELSE '.expert' END AS name FROM lineitem)"
+
+
+@query(f"WITH {MODULES}, k AS (SELECT *, row_number() OVER (PARTITION BY regexp_extract(name, '(layers\\.\\d+|h\\.\\d+)', 1) ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM modules WHERE NOT contains(name, 'router')) "
+       "SELECT l_orderkey, l_linenumber, l_partkey, name FROM k WHERE k <= 6 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, name FROM modules WHERE contains(name, 'router')")
+def module_targets(spark, sf_dir):
+    """W8, fn26: a cap for each layer, which routers bypass."""
+    from colloqua.functions.misc import layer_key
+
+    name = F.concat(F.lit("model.layers."), (F.col("l_orderkey") % 50).cast("string"), F.when(F.col("l_linenumber") % 4 == 0, ".router").otherwise(".expert"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", name.alias("name")).withColumn("layer", layer_key(F.col("name")))
+    return S.cap_per_group(rows, "layer", ["l_orderkey", "l_linenumber", "l_partkey"], 6, F.contains("name", F.lit("router"))).drop("layer")
+
+
+@query("SELECT p_partkey, 'part' || p_size AS name, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS version FROM part")
+def requirement_split(spark, sf_dir):
+    from colloqua.functions.misc import name_version
+
+    size = F.col("p_size").cast("string")
+    text = F.concat(F.lit("part"), size, F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("=="), size)).otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", name_version(text).alias("r")).select("p_partkey", "r.*")

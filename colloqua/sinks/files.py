@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloqua.functions import dialogue as D
@@ -67,3 +69,21 @@ def timed_document(segments: DataFrame) -> DataFrame:
     order = F.struct(F.col("timestamp.start"), F.when(F.col("role") == "user", 0).otherwise(1).alias("side"), F.struct("role", "content", "timestamp").alias("s"))
     listed = F.transform(F.array_sort(F.collect_list(order)), lambda x: x["s"])
     return segments.agg(F.to_json(listed).alias("value"))
+
+
+def keep_backup(spark: SparkSession, path: str, now: dt.datetime | None = None) -> str | None:
+    """K5: moves what is at ``path`` aside as ``path.TIME.bak``; its new name, or None if nothing was there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old, new = hadoop(path), f"{path}.{(now or dt.datetime.now()):%Y%m%d%H%M%S}.bak"
+    store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(old):
+        return None
+    store.rename(old, hadoop(new))
+    return new
+
+
+def copy_tree(spark: SparkSession, source: str, target: str) -> None:
+    """A copy of a file or folder, between any two file systems Spark knows."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)

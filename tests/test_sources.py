@@ -132,3 +132,29 @@ def test_settings(tmp_path):
     got = load_settings(str(path), batch_size=4)
     assert (got.accept_score, got.include_type, got.batch_size, got.retries) == (3, ("text", "image"), 4, 3)
     assert load_settings(str(tmp_path / "none")).accept_score == 2
+
+
+def test_small_helpers(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+
+    from colloqua.functions import misc
+    from colloqua.sources.model_client import ModelClient
+
+    df = spark.createDataFrame([(0, 5.0), (1, 1536.0), (2, 3.0 * 1024**3), (3, None)], "id int, n double")
+    assert [r[0] for r in df.orderBy("id").select(misc.size_text(F.col("n"))).collect()] == ["5.0 B", "1.5 KB", "3.0 GB", None]
+    assert [r[0] for r in df.orderBy("id").limit(2).select(misc.duration_text(F.col("n"))).collect()] == ["5s", "25m 36s"]
+    for call in (lambda: misc.check_account("12"), lambda: misc.check_time_range("2024-02-01", "2024-01-01"), lambda: misc.check_data_path("x.bin")):
+        with pytest.raises(ValueError):
+            call()
+    path = tmp_path / "x.txt"
+    assert sinks.keep_backup(spark, str(path)) is None
+    path.write_text("a", encoding="utf-8")
+    assert sinks.keep_backup(spark, str(path), dt.datetime(2024, 1, 1)) == f"{path}.20240101000000.bak" and not path.exists()
+    sinks.copy_tree(spark, f"{path}.20240101000000.bak", str(tmp_path / "y.txt"))
+    assert (tmp_path / "y.txt").read_text(encoding="utf-8") == "a"
+    nobody = ModelClient("http://127.0.0.1:9", "m", timeout=0.2, retries=0)
+    assert nobody.models() == [] and not nobody.healthy() and nobody.chat([]) is None
+    with pytest.raises(ConnectionError):
+        nobody.score([("a", "b")])
