@@ -1,11 +1,11 @@
 """Rebuilding conversations from message rows with keyed streaming state.
 
-The state is keyed by a bucket of rooms and the day, so that a hot room is spread
-over its days and small rooms share a call. It buffers a key's rows, late ones
+The state is keyed by a bucket of rooms and a time block, so that a hot room is
+spread over its blocks and small rooms share a call. It buffers a key's rows, late ones
 included, until the event-time watermark has passed the end of a stretch of talk by the gap; then the stretch is cut out and
-emitted: as a validated conversation if it lies inside its day, else as an edge
-piece. Edge pieces, at most two a room and day and a few numbers each, are put
-together across midnight when the output is read.
+emitted: as a validated conversation if it lies inside its block, else as an edge
+piece. Edge pieces, at most two a room and block and a few numbers each, are put
+together across blocks when the output is read.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from colloqua.functions.blanks import has_visible
 from colloqua.session import shared_path
 
-DAY_US = 86_400_000_000
+#: Length of a time block; many gaps long, so that most conversations lie inside one.
+BLOCK_US = 6 * 3_600_000_000
 _FAR = 4_000_000_000_000_000  # 2096: the event time that closes a finite input
 _NO_ID = -(1 << 62)
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,7 +32,7 @@ PIECE = (
     "room string, first_us long, last_us long, edge boolean, sound boolean, n_msgs long, n_turns long, "
     "first_id long, last_id long, first_side int, last_side int, asked boolean, replied boolean, answered boolean"
 )
-ROW = "room string, bucket int, day long, at timestamp, us long, id long, side int, sound boolean, visible boolean"
+ROW = "room string, bucket int, block long, at timestamp, us long, id long, side int, sound boolean, visible boolean"
 
 
 def message_rows(
@@ -47,15 +48,15 @@ def message_rows(
     """The few columns the state needs. Rows without time are left out.
 
     ``sound``: the side is 0 or 1 and the talker isn't blank. ``buckets`` of rooms
-    share a key of the state; eight for each shuffle partition unless given.
+    share a key of the state; two for each shuffle partition unless given.
     """
     if buckets is None:
-        buckets = max(64, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     us = F.unix_micros(F.col(at).cast("timestamp"))
     return df.where(F.col(at).isNotNull()).select(
         F.col(room).cast("string").alias("room"),
         F.pmod(F.xxhash64(F.col(room).cast("string")), F.lit(buckets)).cast("int").alias("bucket"),
-        F.floor(us / F.lit(float(DAY_US))).cast("long").alias("day"),
+        F.floor(us / F.lit(float(BLOCK_US))).cast("long").alias("block"),
         F.col(at).cast("timestamp").alias("at"),
         us.alias("us"),
         F.col(tie).cast("long").alias("id"),
@@ -81,7 +82,7 @@ def piece(us: np.ndarray, ids: np.ndarray, side: np.ndarray, sound: np.ndarray,
     )
 
 
-def _cut(day: int, rooms: list[str | None], data: np.ndarray, gap_us: int, watermark_us: int) -> tuple[list[tuple], np.ndarray]:
+def _cut(block: int, rooms: list[str | None], data: np.ndarray, gap_us: int, watermark_us: int) -> tuple[list[tuple], np.ndarray]:
     """Pieces whose end the watermark has passed by the gap, and the rows that stay.
 
     ``data`` has the columns place of the room in ``rooms``, us, id, side, sound, visible.
@@ -89,7 +90,7 @@ def _cut(day: int, rooms: list[str | None], data: np.ndarray, gap_us: int, water
     data = data[np.lexsort((data[:, 2], data[:, 1], data[:, 0]))]
     apart = (np.diff(data[:, 1]) > gap_us) | (np.diff(data[:, 0]) != 0)
     starts = np.concatenate(([0], np.flatnonzero(apart) + 1, [len(data)]))
-    low, high = day * DAY_US, (day + 1) * DAY_US
+    low, high = block * BLOCK_US, (block + 1) * BLOCK_US
     out, stay = [], []
     for a, b in zip(starts[:-1], starts[1:]):
         rows = data[a:b]
@@ -140,13 +141,13 @@ def stream_conversations(rows: DataFrame, gap_seconds: int = 3600, delay: str =
 
     return (
         rows.withWatermark("at", delay)
-        .groupBy("bucket", "day")
+        .groupBy("bucket", "block")
         .applyInPandasWithState(step, PIECE, "rows binary", "append", "EventTimeTimeout")
     )
 
 
 def join_pieces(pieces: DataFrame, gap_seconds: int = 3600) -> DataFrame:
-    """Conversations from PIECE rows: inner ones as they are, edges put together across days."""
+    """Conversations from PIECE rows: inner ones as they are, edges put together across blocks."""
     columns = ["room", "first_id", "last_id", "n_msgs", "n_turns", "first_us", "last_us"]
     inner = pieces.where(~F.col("edge")).select(*columns)
     w = Window.partitionBy("room").orderBy("first_us", "last_us")
@@ -194,7 +195,7 @@ def rebuild_conversations(df: DataFrame, gap_seconds: int = 3600, **names: str)
     base = shared_path(spark, "conversations")
     rows = message_rows(df, **names)
     end = spark.sql(
-        f"SELECT CAST(NULL AS STRING) AS room, -1 AS bucket, -1L AS day, timestamp_micros({_FAR}L) AS at, {_FAR}L AS us, "
+        f"SELECT CAST(NULL AS STRING) AS room, -1 AS bucket, -1L AS block, timestamp_micros({_FAR}L) AS at, {_FAR}L AS us, "
         "-1L AS id, 0 AS side, true AS sound, false AS visible"
     )
     rows.unionByName(end).write.parquet(f"{base}/rows")
