@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from colloqua.session import staged
+
 
 def canonical_json(record: Column) -> Column:
     """Records as JSON with sorted keys at the top level, for comparison."""
@@ -65,9 +67,26 @@ def cap_per_group(df: DataFrame, group: str, order: list[str], most: int, always
     return capped if always is None else capped.unionByName(df.where(free))
 
 
+def numbered(df: DataFrame, order: list[str], to: str = "idx") -> DataFrame:
+    """Rows numbered from 0 over the whole table by ``order``, which has to be unique for a defined result.
+
+    Sorted by ranges and written once; a row's number is its place in its range
+    plus the rows of the ranges before, of which there are as many as tasks.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = staged(ranges.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()), "numbered")
+    counts = rows.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__i").alias("__first"))
+    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__p").alias("__q"), "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
+    joined = rows.join(F.broadcast(offsets), F.col("__p") == F.col("__q"))  # a row for each task of the sort
+    return joined.withColumn(to, F.col("__i") - F.col("__first") + F.col("__before")).drop("__p", "__i", "__q", "__first", "__before")
+
+
 def chunked(df: DataFrame, order: list[str], size: int, group: str | None = None, to: str = "chunk") -> DataFrame:
-    """U-8: consecutive chunks of ``size`` rows, numbered from 0, in each ``group``."""
-    w = Window.partitionBy(group).orderBy(*order) if group else Window.partitionBy(F.lit(0)).orderBy(*order)
+    """U-8: consecutive chunks of ``size`` rows, numbered from 0, in each ``group`` or over the whole table."""
+    if group is None:
+        return numbered(df, order, "__idx").withColumn(to, F.floor(F.col("__idx") / F.lit(size)).cast("long")).drop("__idx")
+    w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(to, F.floor((F.row_number().over(w) - 1) / F.lit(size)).cast("long"))
 
 

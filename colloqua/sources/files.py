@@ -40,9 +40,21 @@ def read_scoring_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``_file, line_no, line`` of text files; lines are numbered from 1 in each file."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), F.col("value"))
-    return whole.select("_file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line")).select("_file", (F.col("pos") + 1).alias("line_no"), "line")
+    """``_file, line_no, line`` of text files; lines are numbered from 1 in each file.
+
+    Large files are split: a line's number is its place in its split plus the
+    lines of the file's splits before.
+    """
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("__at"),
+        F.col("value").alias("line"), F.monotonically_increasing_id().alias("__i"),
+    )
+    counts = rows.groupBy("_file", "__at").agg(F.count("*").alias("__n"))
+    w = Window.partitionBy("_file").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_file", "__at", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("_file", "__at").orderBy("__i"))
+    numbered = rows.withColumn("__place", place).join(before, ["_file", "__at"])
+    return numbered.select("_file", (F.col("__before") + F.col("__place")).cast("int").alias("line_no"), "line")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -67,8 +79,6 @@ def read_strict(spark: SparkSession, path: str) -> DataFrame:
     """
     if path.endswith(".jsonl"):
         lines = read_lines(spark, path)
-        last = F.max("line_no").over(Window.partitionBy("_file"))
-        lines = lines.withColumn("__last", last).where("NOT (line_no = __last AND line = '')")
         checked = F.when(F.try_parse_json("line").isNotNull(), F.col("line")).otherwise(
             F.raise_error(F.concat(F.lit("broken record in line "), F.col("line_no").cast("string")))
         )

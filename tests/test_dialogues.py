@@ -160,6 +160,9 @@ def test_sets(spark):
     assert values(numbers, S.nearest(F.col("v"), [5.0, 10.0])) == [5.0, 5.0, 10.0, None]
     capped = S.cap_per_group(spark.createDataFrame([(i, "g", i == 3) for i in range(4)], "id int, g string, r boolean"), "g", ["id"], 2, F.col("r"))
     assert values(capped, "id") == [0, 1, 3]
+    many = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id"))
+    assert {r.id: r.idx for r in S.numbered(many, ["id"]).collect()} == {i: i for i in range(1000)}
+    assert {r.id: r.chunk for r in S.chunked(many, ["id"], 64).collect()} == {i: i // 64 for i in range(1000)}
     mixed = S.mix_by_percentage(records.select("id"), spark.range(100, 200).select(F.col("id").cast("int")), "id", 50)
     assert mixed.count() == 4 + 2
 

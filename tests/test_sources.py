@@ -112,6 +112,19 @@ def test_records_and_pipeline(spark, tmp_path):
     assert [r.record for r in sources.read_strict(spark, str(array)).orderBy("line_no").collect()] == ['{"a":1}', '{"b":[2]}']
 
 
+def test_lines_of_split_files(spark, tmp_path):
+    path = tmp_path / "long.txt"
+    path.write_text("".join(f"line {i}\n" for i in range(1, 2001)), encoding="utf-8")
+    (tmp_path / "short.txt").write_text("line 1\n\nline 3", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        got = sources.read_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 2003 and all(r.line == f"line {r.line_no}" for r in got if r.line)
+
+
 def test_unified_csv(spark, tmp_path):
     rows = spark.createDataFrame(
         [(1, "s", "text", 0, "t", 'a "q"\nb', "", "2024-01-01 08:00:00", "R_1", 0), (2, "s", "text", 1, "t", "an answer", "", "2024-01-01 08:01:00", "R_1", 0)],
