@@ -126,15 +126,15 @@ def build_dialogues(
     context = F.transform("context", lambda m: D.message(role(m), m["msg"]))
     budget = D.budget_prefix(context, F.lit(limit // 2))
     ends = F.array(D.message(F.lit("user"), F.col("msg")), D.message(F.lit("assistant"), F.col("reply")))
-    packed = _once(asked, "messages", D.with_system(F.concat(budget, ends), prompt), ["room", "us", "seq"])
+    packed = evaluated_once(asked, "messages", D.with_system(F.concat(budget, ends), prompt), ["room", "us", "seq"])
     valid = packed.where(D.is_valid_dialogue(F.col("messages")))
     fit = F.when(D.total_length(F.col("messages")) <= limit, F.col("messages")).otherwise(
         D.greedy_reduce(F.col("messages"), F.lit(limit))
     )
-    return _once(valid, "messages", fit, ["room", "us", "seq"]).where(D.is_valid_dialogue(F.col("messages")))
+    return evaluated_once(valid, "messages", fit, ["room", "us", "seq"]).where(D.is_valid_dialogue(F.col("messages")))
 
 
-def _once(df: DataFrame, name: str, value: Column, keep: list[str]) -> DataFrame:
+def evaluated_once(df: DataFrame, name: str, value: Column, keep: list[str]) -> DataFrame:
     """``keep`` and ``value``, evaluated once a row.
 
     As the output of a generator it isn't put in again wherever a later filter

@@ -192,7 +192,7 @@ def context_window(spark, sf_dir):
     rows = B.previous_rows(B.merge_bursts(clean_rows(spark, sf_dir)).select("room", "us", F.col("seq").cast("long").alias("seq"), F.col("side").cast("int").alias("side"), "msg"))
     role = lambda m: F.when(m["side"] == 1, "assistant").otherwise("user")
     context = D.budget_prefix(F.transform("context", lambda m: D.message(role(m), m["msg"])), F.lit(60))
-    return rows.select("room", "us", "seq", D.rendered(context).alias("context")).where("context <> ''")
+    return B.evaluated_once(rows, "context", D.rendered(context), ["room", "us", "seq"]).where("context <> ''")
 
 
 BUILD = REPLIES.replace("replies AS (", "numbered AS (SELECT *, row_number() OVER (PARTITION BY room ORDER BY us, seq) AS k FROM bursts),\n  replies AS (", 1) + f""",
