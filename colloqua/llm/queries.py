@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from colloqua.llm.conversations import rebuild_conversations
 from colloqua.llm.leakage import find_leaks
 from colloqua.llm.personal import find_personal_data, masked
-from colloqua.llm.repeats import collapse_repeats
+from colloqua.llm.repeats import width_table, collapse_repeats
 from colloqua.llm.samelook import one_form, same_look_pairs
 from colloqua.llm.tokenize import encode_corpus
 from colloqua.llm.turns import speaker_turns
@@ -95,7 +95,33 @@ QUERIES = {
     "p10_forms": p10_forms,
 }
 
+def _one_slip(a: str, b: str) -> str:
+    """SQL: ``a`` and ``b`` are equal but for one letter changed, put in or left out."""
+    same = f"coalesce(list_min([i for i in range(1, least(length({a}), length({b})) + 1) if {a}[i] <> {b}[i]]) - 1, least(length({a}), length({b})))"
+    return (
+        f"(CASE WHEN abs(length({a}) - length({b})) > 1 THEN false WHEN length({a}) = length({b}) THEN {a}[{same} + 2:] = {b}[{same} + 2:] "
+        f"WHEN length({a}) > length({b}) THEN {a}[{same} + 2:] = {b}[{same} + 1:] ELSE {a}[{same} + 1:] = {b}[{same} + 2:] END)"
+    )
+
+
+_WIDE, _PLAIN = (x.replace("'", "''") for x in width_table())
+_BARE = f"regexp_replace(low, '[\\p{{P}}\\p{{Sm}}\\p{{Sk}}{INVISIBLE}]+', '', 'g')"
+
 ORACLES = {
+    "p5_found": f"""WITH {DELIVERIES},
+        low AS (SELECT room_name, row_id, is_sender, epoch_us(create_time) AS us, lower(translate(msg, '{_WIDE}', '{_PLAIN}')) AS low FROM ranked
+            WHERE delivery = 1 AND create_time IS NOT NULL AND regexp_matches(msg, '[^{INVISIBLE}]')),
+        bare AS (SELECT *, CASE WHEN {_BARE} <> '' THEN {_BARE} ELSE regexp_replace(low, '[{INVISIBLE}]+', '', 'g') END AS t FROM low),
+        ev AS (SELECT *, array_to_string([t[i] for i in range(1, length(t) + 1) if i = 1 OR t[i] <> t[i - 1] OR regexp_matches(t[i], '\\p{{Nd}}')], '') AS sq,
+            regexp_replace(t, '[^\\p{{Nd}}]+', '', 'g') AS digits, length(regexp_replace(t, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) AS size FROM bare),
+        pairs AS (SELECT *, lag(is_sender) OVER w AS ps, lag(t) OVER w AS pt, lag(sq) OVER w AS psq, lag(digits) OVER w AS pd, lag(size) OVER w AS pn
+            FROM ev WINDOW w AS (PARTITION BY room_name ORDER BY us, row_id)),
+        flagged AS (SELECT *, CASE WHEN ps = is_sender AND (t = pt OR (digits = pd AND (sq = psq OR (greatest(size, pn) >= 8
+            AND ({_one_slip("t", "pt")} OR {_one_slip("sq", "psq")}))))) THEN 0 ELSE 1 END AS brk FROM pairs),
+        grouped AS (SELECT *, sum(brk) OVER (PARTITION BY room_name ORDER BY us, row_id ROWS UNBOUNDED PRECEDING) AS g FROM flagged)
+        SELECT arg_min(row_id, (us, row_id)) AS first_row_id, arg_max(row_id, (us, row_id)) AS last_row_id, count(*) AS n_events,
+            max(us) // 1000000 - min(us) // 1000000 AS duration_s
+        FROM grouped GROUP BY room_name, g HAVING count(*) >= 2""",
     "p6_found": f"""WITH {DELIVERIES},
         ev AS (SELECT *, epoch_us(create_time) AS us, coalesce(regexp_matches(msg, '[^{INVISIBLE}]'), false) AS seen,
             coalesce(is_sender IN (0, 1), false) AND coalesce(regexp_matches(talker, '[^{INVISIBLE}]'), false) AS sound

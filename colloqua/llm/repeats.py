@@ -14,7 +14,7 @@ from colloqua.operators.islands import blocked_islands
 BLOCK_SECONDS = 3600
 
 
-def _width_table() -> tuple[str, str]:
+def width_table() -> tuple[str, str]:
     """Full- and half-width forms with one plain counterpart, made from the Unicode data."""
     pairs = []
     for code in range(0xFF00, 0xFFF0):
@@ -26,7 +26,7 @@ def _width_table() -> tuple[str, str]:
 
 def comparable(text: Column) -> Column:
     """Text without width, case, blanks and punctuation; a text of punctuation only keeps it."""
-    wide, plain = _width_table()
+    wide, plain = width_table()
     folded = F.lower(F.translate(text, wide, plain))
     bare = F.regexp_replace(folded, rf"[\p{{P}}\p{{Sm}}\p{{Sk}}{INVISIBLE}]+", "")
     return F.when(F.length(bare) > 0, bare).otherwise(F.regexp_replace(folded, f"[{INVISIBLE}]+", ""))
