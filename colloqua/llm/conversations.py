@@ -48,10 +48,10 @@ def message_rows(
     """The few columns the state needs. Rows without time are left out.
 
     ``sound``: the side is 0 or 1 and the talker isn't blank. ``buckets`` of rooms
-    share a key of the state; two for each shuffle partition unless given.
+    share a key of the state; one for each shuffle partition unless given.
     """
     if buckets is None:
-        buckets = max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     us = F.unix_micros(F.col(at).cast("timestamp"))
     return df.where(F.col(at).isNotNull()).select(
         F.col(room).cast("string").alias("room"),
