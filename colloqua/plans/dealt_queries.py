@@ -33,10 +33,9 @@ def p4_new_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "messages").select(
         "row_id", "room_name", "msg_svr_id", "msg", "create_time", "batch_id"
     )
-    middle = messages.agg((F.expr("(min(batch_id) + max(batch_id)) div 2")).alias("__middle"))
-    split = messages.join(F.broadcast(middle))  # one row by construction
-    stored = split.where("batch_id <= __middle").drop("__middle")
-    batch = split.where("batch_id > __middle").drop("__middle")
+    middle = messages.agg(F.expr("(min(batch_id) + max(batch_id)) div 2")).first()[0]  # one number
+    stored = messages.where(F.col("batch_id") <= F.lit(middle))
+    batch = messages.where(F.col("batch_id") > F.lit(middle))
     return new_deliveries(batch, stored).select("row_id")
 
 
