@@ -112,7 +112,9 @@ def _odd_forms(texts: DataFrame) -> DataFrame:
     pieces = texts.select(
         "__tid", F.posexplode(F.regexp_extract_all("__text", F.lit(f"(?s)[{stable_class()}]+|."), 0)).alias("pos", "piece")
     )
-    mapped = pieces.join(F.broadcast(table), pieces["piece"] == table["c"], "left").select(
+    # A run of several characters isn't looked up, nor hashed for it.
+    single = F.when(F.octet_length(pieces["piece"]) <= 4, pieces["piece"])
+    mapped = pieces.join(F.broadcast(table), single == table["c"], "left").select(
         "__tid",
         (F.col("pos").cast("long") * 32 + F.coalesce("k", F.lit(0))).alias("at"),
         F.coalesce("x", "piece").alias("x"),
