@@ -574,8 +574,11 @@ def llm_scoring(spark, sf_dir):
 
 def _message_stream(spark, sf_dir):
     source = table(spark, sf_dir, "messages")
-    rows = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/messages.parque[t]")  # a pattern, as the table may be one file
-    return rows.where("create_time IS NOT NULL AND is_sender IN (0, 1) AND room_name IS NOT NULL").select(
+    return _stream_rows(spark.readStream.schema(source.schema).parquet(f"{sf_dir}/messages.parque[t]"))  # a pattern, as the table may be one file
+
+
+def _stream_rows(messages):
+    return messages.where("create_time IS NOT NULL AND is_sender IN (0, 1) AND room_name IS NOT NULL").select(
         F.col("room_name").alias("room"), F.col("is_sender").alias("side"), F.col("create_time").alias("at"),
         F.unix_micros("create_time").alias("us"), F.col("row_id").alias("seq"), F.coalesce("msg", F.lit("")).alias("msg"))
 
@@ -583,9 +586,11 @@ def _message_stream(spark, sf_dir):
 @query()
 def stream_sessionize(spark, sf_dir):
     from colloqua.session import shared_path
-    from colloqua.streaming.messages import run_to_end, stream_bursts
+    from colloqua.streaming.messages import closed_stream, run_to_end, stream_bursts
 
-    return run_to_end(stream_bursts(_message_stream(spark, sf_dir)), shared_path(spark, "stream"))
+    base = shared_path(spark, "stream")
+    rows = closed_stream(_stream_rows(table(spark, sf_dir, "messages")), base)
+    return run_to_end(stream_bursts(rows), base)
 
 
 @query("WITH r AS (SELECT room_name AS room, epoch_us(create_time) AS us, row_id AS seq, is_sender AS side FROM messages WHERE create_time IS NOT NULL AND is_sender IN (0, 1) AND room_name IS NOT NULL) "

@@ -35,8 +35,25 @@ def stream_replies(rows: DataFrame, window_seconds: int = 300, delay: str = "10
     return asked.join(replies, near).select("room", "us", "seq", "msg", "reply_us", "reply")
 
 
+def closed_stream(rows: DataFrame, base: str, gap_seconds: int = 120, delay: str = "10 minutes") -> DataFrame:
+    """The rows of a finite table as a stream that ends every session of :func:`stream_bursts`.
+
+    One row later than all others by the gap and the delay moves the watermark past
+    their sessions' ends. Its room and side are null; its own session is never
+    written, as the watermark stays behind it. All rows are one micro-batch, for
+    which no watermark stands yet, so that none is late.
+    """
+    later = F.max("at") + F.expr(f"INTERVAL {delay}") + F.expr(f"INTERVAL {gap_seconds} SECONDS") + F.expr("INTERVAL 1 DAY")
+    end = rows.agg(later.alias("at")).where("at IS NOT NULL")
+    rows.unionByName(end, allowMissingColumns=True).write.parquet(f"{base}/rows")
+    return rows.sparkSession.readStream.schema(rows.schema).parquet(f"{base}/rows")
+
+
 def run_to_end(stream: DataFrame, base: str) -> DataFrame:
-    """Drive a stream over what there is now; its output as a table."""
+    """Drive a stream over what there is now; its output as a table.
+
+    Sessions that the watermark hasn't passed stay in state; see :func:`closed_stream`.
+    """
     query = (
         stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
         .outputMode("append").trigger(availableNow=True).start()
