@@ -80,7 +80,7 @@ _STEPS = [
     (_WORD_DIGITS, _spell_words, lambda t: t.count(" ") + t.count("-") >= 6),
     (_AT, lambda m: "@", lambda t: "at" in t or "AT" in t or "At" in t or "@" in t or "艾特" in t),
     (_HASH, lambda m: "@", lambda t: "#" in t),
-    (_DOT, lambda m: ".", lambda t: "@" in t),
+    (_DOT, lambda m: ".", lambda t: "dot" in t or "DOT" in t or "Dot" in t or "点" in t or ("." in t and ("(" in t or "[" in t or "{" in t or "<" in t))),
 ]
 
 
@@ -153,6 +153,8 @@ _PHONE = re.compile(
     r"|\+(?!1|44|86)[1-9]\d{0,2}(?:[ .-]?\d{2,4}){2,5}"  # elsewhere
     r")(?![0-9A-Za-z])(?![ .-]\d)"
 )
+#: As many digits as the shortest of the patterns above has, of any script, as ``\d`` takes them.
+_DIGITS_CUE = re.compile(r"(?:\d\D*){4}\d")
 _STREET_ZH = re.compile(
     r"[一-鿿]{2,12}(?:大道|路|街|巷|胡同|弄|里|道)(?:\d{1,5}|[一二三四五六七八九十百零]{1,5})(?:号|弄)"
     r"(?:[\d一二三四五六七八九十-]{0,5}(?:号院?|院|栋|幢|座|单元|室|楼|层)){0,4}\d{0,5}"
@@ -163,7 +165,7 @@ _STREET_EN = re.compile(
     r"(?:, (?:Flat|Apt|Unit|Suite) \w{1,5})?(?:, [A-Z][a-z]+(?: [A-Z][a-z]+)?(?=[ ,\n]|$))?",
     re.I,
 )
-_STREET_CUE = re.compile(r"\d[A-Z]? [A-Za-z]")
+_STREET_CUE = re.compile(r"\d[A-Z]? [A-Z']", re.I)
 _ZN = rf"(?:(?:{'|'.join(SURNAMES_2)})[一-鿿]{{1,2}}|(?!{'|'.join(NOT_NAMES)})[{SURNAMES_1}][一-鿿]{{1,2}})"
 _EN = r"[A-Z][A-Za-z'’]+(?:[ -][A-Z][A-Za-z'’]+){1,3}"
 _N = rf"(?P<n>{_ZN}|{_EN})"
@@ -177,7 +179,7 @@ _NAMES = [
     re.compile(rf"(?<![A-Za-z一-鿿])(?P<n>{_ZN}|{_EN})(?=, (?i:(?:flat|apt|unit|suite) \w+, |\d{{1,5}} [a-z]))"),
 ]
 _AROUND_EN = re.compile(r"^(?:[Tt]his [Ii]s|[Aa]sk [Ff]or|[Mm]y [Nn]ame [Ii]s|THIS IS|ASK FOR|MY NAME IS) ")
-_NAME_CUE = re.compile(r"叫|人|姓名|交|明天|今天|后天|今晚|也来|先生|女士|小姐|(?i:name|this is|ask for|attn|recipient|contact|dear|call me|will join|speaking|, \d|, flat|, apt|, unit|, suite)")
+_NAME_CUE = re.compile(r"叫|名字是|人|收件|姓名|交|转告|明天|今天|后天|今晚|也来|先生|女士|小姐|(?i:name|this is|ask for|attn|recipient|contact|dear|call me|will join|speaking|, \d|, flat|, apt|, unit|, suite)")
 
 
 def _real_date(digits: str) -> bool:
@@ -200,7 +202,7 @@ def detect(text: str) -> list[tuple[str, int, int]]:
         for m in _EMAIL.finditer(text):
             if m[2].lower() not in NOT_DOMAINS:
                 add("email", *m.span())
-    if sum(map(text.count, "0123456789")) >= 6:
+    if _DIGITS_CUE.search(text):
         for m in _CN_ID.finditer(text):
             if _real_date(m[3]):
                 add("id_number", *m.span())

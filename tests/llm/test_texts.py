@@ -1,12 +1,14 @@
 """Personal data, tokenizer, leaks and same-looking texts on small tables."""
 
 import random
+import re
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from colloqua.llm import leakage as L
+from colloqua.llm import personal
 from colloqua.llm.personal import find_personal_data, find_spans, mask, masked, normalised, transduce
 from colloqua.llm.samelook import _target, form_rows, one_form, same_look_pairs, stable_class
 from colloqua.llm.tokenize import VOCABULARY, decode, encode_corpus, encode_texts
@@ -31,6 +33,32 @@ def test_kinds(text, found):
     assert kinds(text) == found
 
 
+CUED = [
+    ("我的名字是王小明", ["name"]), ("麻烦转告张伟带伞", ["name"]), ("收件:李雷", ["name"]), ("收件写王小明", ["name"]), ("I live at 221b Baker Street", ["address"]), ("7a oak lane", ["address"]),
+    ("12B High Street", ["address"]), ("9 'Old Oak' Lane", ["address"]), ("415(.)555(.)2671", ["phone"]), ("415 [dot] 555 [dot] 2671", ["phone"]), ("٩٢٦-٤٩-٤١٤٦", ["id_number"]), ("+7 22 33", ["phone"]),
+    ("明天见", []), ("a dot b", []),
+]
+
+
+@pytest.mark.parametrize("text, found", CUED)
+def test_kinds_whatever_the_cue(text, found):
+    assert kinds(text) == found
+
+
+def test_pre_tests_change_no_result(monkeypatch):
+    rng = random.Random(5)
+    parts = [*"我叫 名字是 转告 收件 寄件人 姓名 交给 王小明 张伟 明天 先生 号 弄 鹤鸣巷 点 艾特 一七二零零零零八九 12b 7 221 +7 22 33 555 415 ٤١٤٦ 2671 A ' - . , : ( ) [ ] dot DOT at AT @ # example.com Baker oak Street lane Ada Byron dear one two".split(),
+             "name: ", "this is ", "ask for ", " will join", " speaking", ", flat 2, ", "one two three four five six seven", " ", " ", " ", "\t"]
+    texts = [t for t, _ in CUED] + ["".join(rng.choice(parts) for _ in range(rng.randrange(2, 14))) for _ in range(20000)]
+    with_tests = [find_spans(t) for t in texts]
+    anything = re.compile("")
+    for name in ("_NAME_CUE", "_STREET_CUE", "_DIGITS_CUE"):
+        monkeypatch.setattr(personal, name, anything)
+    monkeypatch.setattr(personal, "_STEPS", [(pattern, to, lambda t: True) for pattern, to, _ in personal._STEPS])
+    assert with_tests == [find_spans(t) for t in texts]
+    assert len({kind for spans in with_tests for kind, _, _ in spans}) >= 4
+
+
 def test_masking_keeps_the_rest():
     assert mask("简历投到 ｍｏ＠example．com 吧 😀") == "简历投到 [EMAIL] 吧 😀"
     assert mask("加我\u200b１５６００００２００２，谢谢") == "加我\u200b[PHONE]，谢谢"
