@@ -24,20 +24,29 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The table, key and text of each column in which personal data is looked for.
+PERSONAL = (("messages", "row_id", "msg"), ("chatml_messages", "cm_id", "chat_content"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
         find_personal_data(table(spark, sf_dir, name).select(key, text), key, text).select(
             F.lit(name).alias("tab_name"), "row_key", "kind"
         )
-        for name, key, text in (("messages", "row_id", "msg"), ("chatml_messages", "cm_id", "chat_content"))
+        for name, key, text in PERSONAL
     ]
     return parts[0].unionByName(parts[1]).distinct()
 
 
 def p3_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages' texts with placeholders."""
-    messages = table(spark, sf_dir, "messages").select("row_id", "msg")
-    return messages.select("row_id", masked(F.col("msg")).alias("masked"))
+    """The texts of both tables with placeholders."""
+    parts = [
+        table(spark, sf_dir, name).select(
+            F.lit(name).alias("tab_name"), F.col(key).alias("row_key"), masked(F.col(text)).alias("masked")
+        )
+        for name, key, text in PERSONAL
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from colloqua.llm import leakage as L
 from colloqua.llm import personal
 from colloqua.llm.personal import find_personal_data, find_spans, mask, masked, normalised, transduce
+from colloqua.llm.queries import QUERIES
 from colloqua.llm.samelook import _target, form_rows, one_form, same_look_pairs, stable_class
 from colloqua.llm.tokenize import VOCABULARY, decode, encode_corpus, encode_texts
 
@@ -75,6 +76,13 @@ def test_personal_data_of_tables(spark):
     assert [r[0] for r in df.select(masked(F.col("t"))).collect()] == ["[EMAIL] and [EMAIL]"] * 2 + [None, "[PHONE]"]
 
 
+def test_both_tables_are_masked(spark, tmp_path):
+    spark.createDataFrame([(1, "a@b.example", "x"), (2, None, "x")], "row_id long, msg string, talker string").write.parquet(f"{tmp_path}/messages.parquet")
+    spark.createDataFrame([(1, "to c@d.example", "x"), (1, "to c@d.example", "x"), (3, " ", "x")], "cm_id long, chat_content string, chat_role string").write.parquet(f"{tmp_path}/chatml_messages.parquet")
+    got = sorted(map(tuple, QUERIES["p3_masked"](spark, str(tmp_path)).collect()), key=str)
+    assert got == [("chatml_messages", 1, "to [EMAIL]")] * 2 + [("chatml_messages", 3, " "), ("messages", 1, "[EMAIL]"), ("messages", 2, None)]
+
+
 TEXTS = ["", "hello world", " don't WE'LL I'VE  \n\n x", "<|endoftext|> 是普通文字", "a" * 5000, " " * 3000, "ab" * 2500, "𠮷野家 👨‍👩‍👧 שלום", "\x00\x07\r\n", "1234567890" * 300, "é e\u0301 ﬁ"]
 
 
