@@ -550,16 +550,20 @@ def jsonl_roundtrip(spark, sf_dir):
     return read_dialogues(spark, path).select(D.rendered(F.col("messages")).alias("dialogue"))
 
 
+def _varint(n):
+    """A long of up to 35 bits as a varint: seven bits a byte from the lowest, the high bit on all bytes but the last."""
+    groups = [F.shiftright(n, at).bitwiseAND(127) + F.when(F.shiftright(n, at + 7) > 0, 128).otherwise(0) for at in range(0, 35, 7)]
+    return F.unhex(F.concat(*[F.when(F.lit(at == 0) | (F.shiftright(n, at) > 0), F.lpad(F.hex(g), 2, "0")).otherwise("") for at, g in zip(range(0, 35, 7), groups)]))
+
+
 @query("SELECT row_id, msg FROM messages WHERE msg <> ''")
 def protobuf_decode(spark, sf_dir):
     """texts put into length-delimited fields, found again as the first of each body."""
     from colloqua.sources.wire import wire_texts
 
     raw = F.col("msg").cast("binary")
-    n = F.octet_length("msg")
-    size = F.when(n < 128, F.unhex(F.lpad(F.hex(n), 2, "0"))).otherwise(F.unhex(F.concat(F.lpad(F.hex(n % 128 + 128), 2, "0"), F.lpad(F.hex((n / 128).cast("int")), 2, "0"))))
-    body = F.concat(F.unhex(F.lit("0801")), F.unhex(F.lit("0A")), size, raw)
-    rows = table(spark, sf_dir, "messages").where("msg <> '' AND octet_length(msg) < 16384")
+    body = F.concat(F.unhex(F.lit("0801")), F.unhex(F.lit("0A")), _varint(F.octet_length("msg").cast("long")), raw)
+    rows = table(spark, sf_dir, "messages").where("msg <> ''")
     return rows.select("row_id", F.try_element_at(wire_texts(body), F.lit(1)).alias("msg"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from colloqua.config import load_settings, parse_jsonc
 from colloqua.functions import dialogue as D
 from colloqua.plans import pipeline
+from colloqua.plans.reference_queries import _varint, protobuf_decode
 from colloqua.sinks import files as sinks
 from colloqua.sources import files as sources
 from colloqua.sources.sqlite import columns_of, read_qq, read_wechat, tables_of
@@ -171,3 +172,17 @@ def test_small_helpers(spark, tmp_path):
     assert nobody.models() == [] and not nobody.healthy() and nobody.chat([]) is None
     with pytest.raises(ConnectionError):
         nobody.score([("a", "b")])
+
+
+def test_messages_of_any_length_pass_the_wire(spark, tmp_path):
+    sizes = [1, 127, 128, 300, 16383, 16384, 70000, 2097151, 2097152]
+    rows = [(n, "x" * (n % 3) + "字" * (n // 3)) for n in sizes] + [(-1, None), (-2, "")]
+    spark.createDataFrame(rows, "row_id long, msg string").write.parquet(f"{tmp_path}/messages.parquet")
+    assert {r.row_id: r.msg for r in protobuf_decode(spark, str(tmp_path)).collect()} == {n: t for n, t in rows if t}
+
+
+def test_varints(spark):
+    numbers = [0, 1, 127, 128, 16383, 16384, 2097152, 268435455, 268435456, 2147483647]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", _varint(F.col("n")).alias("v"))
+    for r in df.collect():
+        assert read_varint(bytes(r.v), 0) == (r.n, len(r.v)) and len(r.v) == max(1, -(-r.n.bit_length() // 7))
