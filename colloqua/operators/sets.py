@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,9 +13,27 @@ from colloqua.session import staged
 
 
 def canonical_json(record: Column) -> Column:
-    """Records as JSON with sorted keys at the top level, for comparison."""
-    pairs = F.map_entries(F.from_json(record, "map<string,string>"))
-    return F.to_json(F.map_from_entries(F.array_sort(pairs)))
+    """Records as JSON with sorted keys at all levels, for comparison; a text that isn't JSON as it is, null as null.
+
+    Values are compared as the reference does, so 1, 1.0 and "1" differ, which a
+    variant doesn't keep apart (its decimals lose trailing zeros).
+    """
+
+    @F.pandas_udf("string")
+    def canonical(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([_sorted_keys(t) for t in texts.tolist()], dtype=object)
+
+    return canonical(record)
+
+
+def _sorted_keys(text: str | None) -> str | None:
+    if text is None:
+        return None
+    try:
+        return json.dumps(json.loads(text), sort_keys=True)
+    except (ValueError, RecursionError):
+        return text
 
 
 def keep_first(df: DataFrame, identity: Column, order: list[Column]) -> DataFrame:

@@ -167,6 +167,13 @@ def test_sets(spark):
     assert mixed.count() == 4 + 2
 
 
+def test_canonical_json(spark):
+    texts = ['{"a":{"x":1,"y":[2]},"b":2}', '{"b":2, "a":{"y":[2],"x":1}}', '{"k":1}', '{"k":"1"}', '{"k":1.0}', "[1]", "[2]", "[ 1 ]", "3", "{broken", "{broken}", "{broken", "", None, None,
+             '{"k":null}', "{}", '{"k":1,"k":2}', '{"k":2}', '{"k":"\\u4e2d"}', '{"k":"中"}', "[" * 100000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, r string")
+    assert values(S.keep_first(df, S.canonical_json(F.col("r")), [F.col("id")]), "id") == [0, 2, 3, 4, 5, 6, 8, 9, 10, 12, 13, 15, 16, 17, 19, 21]
+
+
 def test_formats(spark):
     cases = spark.createDataFrame(
         [(0, [("user", "q"), ("assistant", "a")], None, None, None, None), (1, None, "i", "x", "o", None), (2, None, "i", "", "o", None),
