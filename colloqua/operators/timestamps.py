@@ -169,8 +169,10 @@ def convert(mask: str, rows: list[list[str]], zone: np.ndarray) -> tuple[np.ndar
         micros = _fraction(rows, f("f"))
     valid = (hour <= 23) & (minute <= 59) & (second <= 59)
     if "half" in fields:
-        half = np.array([HALVES[r[f("half")].lower()] for r in rows])
-        valid &= (hour >= 1) & (hour <= 12) if "AM" in {r[f("half")].upper() for r in rows} else True
+        words = [r[f("half")].lower() for r in rows]
+        half = np.array([HALVES[w] for w in words])
+        # AM and PM go with a clock of 12 hours; the other words also with one of 24, where they don't contradict it.
+        valid &= np.where(np.isin(words, ("am", "pm")), (hour >= 1) & (hour <= 12), (half != "am") | (hour <= 12))
         hour = np.where((half == "pm") & (hour < 12), hour + 12, hour)
         hour = np.where((half == "am") & (hour == 12), 0, hour)
         hour = np.where((half == "noon") & (hour < 11), hour + 12, hour)
@@ -220,8 +222,9 @@ def utc_micros(value: Column, zone: Column) -> Column:
     epoch seconds (10), milli- (13), micro- (16) or nanoseconds (19) or a local
     time written out (12, 14, 17). A time without zone is local in ``zone``; one
     that occurs twice means the earlier instant, one that the clock skips, or
-    that has no known zone, gives null. Dotted dates have the day first. Null,
-    empty, blank and very long values give null.
+    that has no known zone, gives null. AM and PM take hours from 1 to 12; 上午
+    and its like up to 12; 下午, 晚上 and 中午 any. Dotted dates have the day first.
+    Null, empty, blank and very long values give null.
     """
     version = zones.table_version()
 

@@ -60,6 +60,17 @@ def test_forms():
     assert to_micros([None, "2021-03-04 17:06:07", "2021-03-04 17:06:07"], ["UTC", None, "No/Where"]) == [None] * 3
 
 
+def test_hours_go_by_their_own_half_day_word():
+    at = lambda h, m=5: micros(dt.datetime(2024, 3, 10, h, m, tzinfo=UTC))
+    cases = {
+        "Mar 10, 2024 13:05:00 PM": None, "Mar 10, 2024 13:05:00 AM": None, "Mar 10, 2024 00:05:00 PM": None, "Mar 10, 2024 12:05:00 PM": at(12), "Mar 10, 2024 01:05:00 am": at(1),
+        "Mar 10, 2024 12:05:00 AM": at(0), "2024年3月10日 下午13:05": at(13), "2024年3月10日 下午01:05": at(13), "2024年3月10日 晚上23:05": at(23), "2024年3月10日 上午13:05": None,
+        "2024年3月10日 凌晨00:05": at(0), "2024年3月10日 中午12:05": at(12), "2024年3月10日 AM01:05": at(1), "2024年3月10日 PM13:05": None,
+    }
+    assert to_micros(list(cases), ["UTC"] * len(cases)) == list(cases.values())
+    assert [to_micros([c], ["UTC"])[0] for c in cases] == list(cases.values())
+
+
 def test_zone_of_row_before_zone_of_room(spark):
     raw = spark.createDataFrame(
         [(1, "a", "2021-03-04 17:06:07", "UTC", "x"), (2, "a", "2021-03-04 17:06:07", None, "x"),
