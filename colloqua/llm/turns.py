@@ -26,7 +26,7 @@ STOCK_PHRASES = {
 }
 
 _CLOCK = re.compile(r"(?:[\[(（【<]\s*)?(?<![\d:.])\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?(?![\d:])(?:\s*[\])）】>])?")
-_SOUND = re.compile(r"\[[^\[\]]{0,60}\]|【[^【】]{0,60}】|\([^()]{0,60}\)|（[^（）]{0,60}）|<[^<>]{0,60}>|\*[^*\n]{1,60}\*|[♩♪♫♬]+")
+_SOUND = re.compile(r"\[[^\[\]]*\]|【[^【】]*】|\([^()]*\)|（[^（）]*）|<[^<>]*>|\*[^*\n]+\*|[♩♪♫♬]+")
 _LABEL = re.compile(r"\s*([A-Za-z一-鿿][\w .]{0,30}?)\s*[:：]\s*")
 _TRACK = re.compile(r"(?:speaker|spkr?|track|channel|声道|音轨)0*(\d+)")
 _SPLIT = re.compile(r"(\s+[-–—]+\s+|[，,。.…！!？?、；;：:—~～\n]+)")

@@ -150,3 +150,10 @@ def test_turns(spark):
     got = [tuple(r) for r in speaker_turns(df, calls).select("call_id", "turn_no", "speaker", "start_s", "bare_text").orderBy("call_id", "turn_no").collect()]
     assert got == [(1, 1, "user", 10.0, "hellothere"), (1, 2, "assistant", 10.0, "hi"), (1, 3, "user", 12.0, "好的muchlater"), (3, 1, "assistant", 1.0, "alone")]
     assert speaker_turns(df.limit(0), calls).count() == 0
+
+
+@pytest.mark.parametrize("sound", ["[{}]", "【{}】", "({})", "（{}）", "<{}>", "*{}*"])
+def test_sound_annotations_of_any_length(sound):
+    for n in (1, 60, 61, 5000):
+        assert clean_speech(f"hello {sound.format('x' * n)} there")[1].split() == ["hello", "there"]
+    assert "hello" in clean_speech("hello " + sound[0] * 50000)[1]
