@@ -5,7 +5,8 @@ from zoneinfo import ZoneInfo
 import pytest
 
 from colloqua.functions import zones
-from colloqua.operators.timestamps import normalise_timestamps, to_micros
+from colloqua.operators import timestamps
+from colloqua.operators.timestamps import ABBREVIATIONS, normalise_timestamps
 
 UTC = dt.timezone.utc
 EPOCH = dt.datetime(1970, 1, 1, tzinfo=UTC)
@@ -13,6 +14,10 @@ ZONES = ["Asia/Shanghai", "Europe/London", "Australia/Sydney", "Asia/Kolkata", "
          "America/New_York", "Australia/Lord_Howe", "Europe/Berlin"]
 
 
+def to_micros(values, zone):
+    return timestamps.to_micros(values, zone, zones.make_tables(z for z in set(zone) if z)).to_pylist()
+
+
 def micros(when):
     return (when - EPOCH) // dt.timedelta(microseconds=1)
 
@@ -71,6 +76,23 @@ def test_hours_go_by_their_own_half_day_word():
     assert [to_micros([c], ["UTC"])[0] for c in cases] == list(cases.values())
 
 
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "America/New_York", "Asia/Shanghai", "Africa/Casablanca"])
+def test_years_far_from_now(zone):
+    walls = [dt.datetime(year, month, 1, 12) for year in (1, 1850, 1899, 1950, 2099, 2100, 2150, 2499, 2500, 2777, 3500, 9000) for month in (1, 7)]
+    found = to_micros([f"{w.year:04d}-{w:%m-%d %H:%M:%S}" for w in walls], [zone] * len(walls))
+    assert found == [local(w, zone) for w in walls]
+
+
+def test_zone_words_are_a_parameter():
+    at = micros(dt.datetime(2024, 3, 10, 4, tzinfo=UTC))
+    texts = ["2024-03-10 12:00:00 CST", "2024-03-10 04:00:00 UTC", "2024-03-10 12:00 GMT+8", "2024-03-10 12:00 QQQ", "2024-03-10 12:00 QQQ+8"]
+    none = zones.make_tables([])
+    assert to_micros(texts, ["UTC"] * 5) == [at + 14 * 3600 * 10**6, at, at, None, None]
+    assert timestamps.to_micros(texts, [None] * 5, none, {**ABBREVIATIONS, "cst": 8}).to_pylist() == [at, at, at, None, None]
+    assert timestamps.to_micros(["٢٠٢٤-٠٣-١٠ ٠٤:٠٠:٠٠Z", "2024-03-10 04:00:00"], ["UTC", "UTC"], none).to_pylist() == [at, None]
+    assert none.version and zones.make_tables(["Asia/Tokyo"], zones.zoneinfo.TZPATH).get("Asia/Tokyo")[1][-1] == 32400
+
+
 def test_zone_of_row_before_zone_of_room(spark):
     raw = spark.createDataFrame(
         [(1, "a", "2021-03-04 17:06:07", "UTC", "x"), (2, "a", "2021-03-04 17:06:07", None, "x"),
