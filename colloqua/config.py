@@ -38,13 +38,25 @@ def parse_jsonc(text: str) -> dict:
     return json.loads(bare) if bare.strip() else {}
 
 
-def coerce(value: object, like: object) -> object:
-    """``value`` in the type of the default ``like``."""
+#: The least and most of numbers that have bounds; a value outside them gives way to the default.
+BOUNDS: dict[str, tuple[float | None, float | None]] = {
+    "single_combine_time_window": (0, None), "qa_match_time_window": (0, None), "combine_msg_max_length": (1, None), "messages_max_length": (1, None),
+    "context_rows": (0, 1000), "accept_score": (0, 6), "batch_size": (1, None), "retries": (0, None), "entropy_limit": (0, None),
+}
+
+
+def coerce(value: object, like: object, bounds: tuple[float | None, float | None] = (None, None)) -> object:
+    """fn25: ``value`` in the type of the default ``like``, which stands where that or the bounds don't allow it."""
     if isinstance(like, bool):
         return value if isinstance(value, bool) else str(value).strip().lower() in ("1", "true", "yes", "on")
     if isinstance(like, tuple):
         return tuple(map(str, value)) if isinstance(value, (list, tuple)) else tuple(str(value).split(","))
-    return type(like)(value)
+    try:
+        found = type(like)(value)
+    except (TypeError, ValueError):
+        return like
+    least, most = bounds
+    return like if least is not None and found < least or most is not None and found > most else found
 
 
 def load_settings(path: str | None = None, **given: object) -> Settings:
@@ -65,4 +77,4 @@ def load_settings(path: str | None = None, **given: object) -> Settings:
         walk(parse_jsonc(Path(path).read_text(encoding="utf-8")))
     found |= {k: v for k, v in given.items() if v is not None}
     fields = {f.name: f.default for f in dataclasses.fields(Settings)}
-    return Settings(**{k: coerce(v, fields[k]) for k, v in found.items() if k in fields})
+    return Settings(**{k: coerce(v, fields[k], BOUNDS.get(k, (None, None))) for k, v in found.items() if k in fields})

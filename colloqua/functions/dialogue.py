@@ -35,15 +35,17 @@ def budget_prefix(messages: Column, budget: Column) -> Column:
 
 
 def greedy_reduce(messages: Column, limit: Column) -> Column:
-    """fn14: system messages and the last two, plus the newest others while they fit; null if those don't fit.
+    """fn14: a system message in front and the last two, plus the newest others while they fit; null if those don't fit.
 
-    Others are added newest first and stop at the first that doesn't fit.
+    Others are added newest first and stop at the first that doesn't fit. System
+    messages elsewhere count as others. Of less than two messages none is a last
+    one; of two, a system message in front is both.
     """
-    system = F.filter(messages, lambda m: m["role"] == "system")
-    others = F.filter(messages, lambda m: m["role"] != "system")
-    n = F.size(others)
-    tail = F.slice(others, F.greatest(n - 1, F.lit(1)), F.lit(2))
-    middle = F.slice(others, F.lit(1), F.greatest(n - 2, F.lit(0)))
+    n = F.size(messages)
+    leads = F.coalesce(F.try_element_at(messages, F.lit(1))["role"] == "system", F.lit(False)).cast("int")
+    system = F.slice(messages, F.lit(1), leads)
+    tail = F.slice(messages, F.greatest(n - 1, F.lit(1)), F.when(n >= 2, 2).otherwise(0))
+    middle = F.slice(messages, leads + 1, F.greatest(n - 2 - leads, F.lit(0)))
     fixed = total_length(system) + total_length(tail)
     kept = F.size(budget_prefix(F.reverse(middle), limit - fixed))
     context = F.slice(middle, F.greatest(F.size(middle) - kept + 1, F.lit(1)), kept)

@@ -1,32 +1,29 @@
-"""Small expressions: display of sizes and durations, keys inside names, argument checks."""
+"""Small expressions: display of sizes and durations, keys inside names, log lines."""
 
 from __future__ import annotations
 
-import datetime as dt
-import re
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 
 
 def size_text(size: Column) -> Column:
-    """Bytes as text with one decimal, in the largest unit below 1024 of it."""
-    out = F.concat(F.format_number(F.round(size / F.lit(float(1024 ** (len(UNITS) - 1))), 1), 1), F.lit(" " + UNITS[-1]))
-    for power in range(len(UNITS) - 2, -1, -1):
-        step = F.concat(F.format_number(F.round(size / F.lit(float(1024**power)), 1), 1), F.lit(" " + UNITS[power]))
-        out = F.when(size < float(1024 ** (power + 1)), step).otherwise(out)
-    return F.when(size.isNotNull(), out)
+    """fn23: bytes in the first unit that leaves less than 1024 of it; whole bytes, else one decimal, ties to even."""
+    scaled = lambda power: F.bround(size / F.lit(float(1024**power)), 1)
+    out = F.format_string(f"%.1f {UNITS[-1]}", scaled(len(UNITS) - 1))
+    for power in range(len(UNITS) - 2, 0, -1):
+        out = F.when(size < float(1024 ** (power + 1)), F.format_string(f"%.1f {UNITS[power]}", scaled(power))).otherwise(out)
+    whole = F.concat(size.cast("long").cast("string"), F.lit(f" {UNITS[0]}"))
+    return F.when(size < 1024, whole).when(size.isNotNull(), out)
 
 
 def duration_text(seconds: Column) -> Column:
-    """Seconds as ``1h 2m 3s``, without leading zero parts."""
-    whole = F.floor(seconds).cast("long")
-    h, m, s = F.expr("0"), F.pmod(F.floor(whole / F.lit(60)), F.lit(60)), F.pmod(whole, F.lit(60))
-    h = F.floor(whole / F.lit(3600))
-    parts = [F.when(h > 0, F.concat(h.cast("string"), F.lit("h"))), F.when((h > 0) | (m > 0), F.concat(m.cast("string"), F.lit("m"))), F.concat(s.cast("string"), F.lit("s"))]
-    return F.when(seconds.isNotNull(), F.concat_ws(" ", *parts))
+    """fn23: seconds as ``1小时2分3秒`` without parts that are zero; ``0秒`` for none and for negative ones."""
+    whole = F.greatest(seconds.cast("long"), F.lit(0))
+    parts = ((F.floor(whole / F.lit(3600)), "小时"), (F.floor(whole / F.lit(60)) % 60, "分"), (whole % 60, "秒"))
+    shown = F.concat(*[F.when(n > 0, F.concat(n.cast("string"), F.lit(unit))).otherwise("") for n, unit in parts])
+    return F.when(seconds.isNotNull(), F.when(shown == "", "0秒").otherwise(shown))
 
 
 def name_version(requirement: Column) -> Column:
@@ -47,28 +44,17 @@ def layer_key(module: Column) -> Column:
     return F.nullif(F.regexp_extract(module, r"(layers\.\d+|h\.\d+)", 1), F.lit(""))
 
 
-def is_model_file(path: Column) -> Column:
-    """Files of a model folder worth listing."""
-    return path.rlike(r"\.(json|bin|safetensors|txt)")
-
-
-def check_time_range(start: str, end: str, form: str = "%Y-%m-%d") -> tuple[dt.datetime, dt.datetime]:
-    """fn24: both ends of a range, in order; ValueError otherwise."""
-    a, b = dt.datetime.strptime(start, form), dt.datetime.strptime(end, form)
-    if a > b:
-        raise ValueError(f"{start} is after {end}")
-    return a, b
+def training_log(line: Column) -> Column:
+    """fn22: ``struct<loss, step>`` that a line of a training log tells; null where it tells none."""
+    found = lambda pattern, kind: F.nullif(F.regexp_extract(line, pattern, 1), F.lit("")).try_cast(kind)
+    return F.struct(found(r"train_loss:\s*([\d.]+)", "double").alias("loss"), found(r"step:\s*(\d+)", "int").alias("step"))
 
 
-def check_account(number: str) -> str:
-    """fn24: an account number of 5 to 11 digits; ValueError otherwise."""
-    if not re.fullmatch(r"\d{5,11}", number):
-        raise ValueError(f"no account number: {number}")
-    return number
+def ordered_distinct(values: Column) -> Column:
+    """U-6: an array without repeats, each value at its first place."""
+    return F.array_distinct(values)
 
 
-def check_data_path(path: str) -> str:
-    """fn24: a path to a data file of a known kind; ValueError otherwise."""
-    if not path.endswith((".json", ".jsonl", ".csv", ".txt")):
-        raise ValueError(f"no data file: {path}")
-    return path
+def column_width(df: DataFrame, column: str, least: int = 0) -> DataFrame:
+    """``width``: the longest text of a column, ``least`` at least."""
+    return df.agg(F.greatest(F.coalesce(F.max(F.length(column)), F.lit(0)), F.lit(least)).alias("width"))

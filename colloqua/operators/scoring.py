@@ -63,12 +63,14 @@ def score_pairs(df: DataFrame, judge: Judge, batch_size: int = 10, retries: int
     """``df`` (id, messages, images) with ``score``.
 
     Pairs with images have 6 and don't reach the judge. A failed batch has 0, an
-    id without a verdict null. Equal ids get equal scores within a batch.
+    id without a verdict null. Of equal ids the first dialogue by its text is
+    judged, and all have its score; a null id is none and has null.
     """
     has_images = F.coalesce(F.size("images") > 0, F.lit(False)) if "images" in df.columns else F.lit(False)
     pictured = df.where(has_images).withColumn("score", F.lit(IMAGE_SCORE))
-    plain = df.where(~has_images).withColumn("__prompt", D.rendered(F.col("messages")))
-    kind = plain.select("id", "__prompt").withColumn("score", F.lit(None).cast("int"))
+    plain = df.where(~has_images)
+    # One row for each id before the judge, who is slow and paid; the texts are compared on the map side.
+    asked = plain.where("id IS NOT NULL").groupBy("id").agg(F.min(D.rendered(F.col("messages"))).alias("__prompt"))
 
     def step(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -77,13 +79,25 @@ def score_pairs(df: DataFrame, judge: Judge, batch_size: int = 10, retries: int
                 pairs = list(zip(part["id"].astype(str), part["__prompt"]))
                 reply = with_retries(lambda pairs=pairs: judge(pairs), retries, delay)
                 scores = parse_reply(reply) if reply is not None else dict.fromkeys((i for i, _ in pairs), 0)
-                yield part.assign(score=pd.array([scores.get(str(i)) for i in part["id"]], dtype="Int32"))
+                yield pd.DataFrame({"__id": part["id"], "score": pd.array([scores.get(str(i)) for i in part["id"]], dtype="Int32")})
 
-    scored = plain.select("id", "__prompt").mapInPandas(step, kind.schema).select(F.col("id").alias("__id"), "score").dropDuplicates(["__id"])
-    joined = plain.join(scored, plain["id"] == scored["__id"], "left").drop("__id", "__prompt")
+    kind = asked.select(F.col("id").alias("__id"), F.lit(None).cast("int").alias("score")).schema
+    scored = asked.mapInPandas(step, kind)
+    joined = plain.join(scored, plain["id"] == scored["__id"], "left").drop("__id")
     return joined.unionByName(pictured)
 
 
+def histogram(df: DataFrame, score: str = "score") -> DataFrame:
+    """``score, n`` of the scores there are, in order."""
+    return df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n")).orderBy(score)
+
+
+def counters(df: DataFrame, least: int) -> DataFrame:
+    """``total, accepted, missing``: all pairs, those of a score of at least ``least``, those without."""
+    score = F.col("score").try_cast("int")
+    return df.agg(F.count("*").alias("total"), F.count_if(score >= least).alias("accepted"), F.count_if(score.isNull()).alias("missing"))
+
+
 def accepted(df: DataFrame, least: int) -> DataFrame:
     """U4: rows whose score is a number of at least ``least``."""
     return df.where(F.coalesce(F.col("score").try_cast("int"), F.lit(0)) >= least)
@@ -127,16 +141,32 @@ def judge_texts(df: DataFrame, judge: Callable[[str], str], text: str = "text",
     ).drop("__reply")
 
 
-def segment_conversations(df: DataFrame, judge: Callable[[str], str]) -> DataFrame:
-    """``df`` with the messages the judge removes by index taken out; any failure keeps all."""
+def batch_clean(df: DataFrame, judge: Callable[[str], str], text: str = "text", context: str | None = None) -> DataFrame:
+    """:func:`judge_texts` over texts, each after its context where there is one."""
+    if context is None:
+        return judge_texts(df, judge, text)
+    asked = F.when(F.coalesce(F.col(context), F.lit("")) != "", F.concat(F.lit("Context: "), context, F.lit("\n"), text)).otherwise(F.col(text))
+    judged = judge_texts(df.withColumn("__asked", asked), judge, "__asked").drop("__asked")
+    same = judged["verdict"]["cleaned_text"] == asked
+    return judged.withColumn("verdict", F.when(same, judged["verdict"].withField("cleaned_text", F.col(text))).otherwise(judged["verdict"]))
+
+
+def segment_conversations(df: DataFrame, judge: Callable[[str], str], keep_failed: bool = True) -> DataFrame:
+    """``df`` with the messages the judge removes by index taken out.
+
+    If the judge fails, or its reply isn't understood, a conversation is kept
+    whole, or left out with ``keep_failed`` false.
+    """
 
     @F.pandas_udf("string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for prompts in batches:
-            yield pd.Series([with_retries(lambda p=p: judge(p), 0, 0.0) for p in prompts])
+            yield pd.Series([with_retries(lambda p=p: judge(p), 0, 0.0) for p in prompts], dtype=object)
 
     reply = F.from_json(D.without_thought(ask(D.numbered(F.col("messages")))), "struct<removed_indices:array<int>,reason:string>")
     judged = df.withColumn("__removed", reply["removed_indices"])
+    if not keep_failed:
+        judged = judged.where("__removed IS NOT NULL")
     return judged.withColumn("messages", D.without_indices(F.col("messages"), F.col("__removed"))).drop("__removed")
 
 

@@ -105,11 +105,23 @@ def numbered(df: DataFrame, order: list[str], to: str = "idx") -> DataFrame:
 
 
 def chunked(df: DataFrame, order: list[str], size: int, group: str | None = None, to: str = "chunk") -> DataFrame:
-    """U-8: consecutive chunks of ``size`` rows, numbered from 0, in each ``group`` or over the whole table."""
+    """U-8: consecutive chunks of ``size`` rows, numbered from 0, in each ``group`` or over the whole table.
+
+    All rows are numbered in one sort by ranges, which splits a hot group; a
+    group's rows stand next to each other there, so that a row's place in its
+    group is its number less the group's least.
+    """
     if group is None:
         return numbered(df, order, "__idx").withColumn(to, F.floor(F.col("__idx") / F.lit(size)).cast("long")).drop("__idx")
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(to, F.floor((F.row_number().over(w) - 1) / F.lit(size)).cast("long"))
+    rows = numbered(df, [group, *order], "__idx")
+    first = rows.groupBy(group).agg(F.min("__idx").alias("__least")).withColumnRenamed(group, "__group")
+    joined = rows.join(first, F.col(group).eqNullSafe(F.col("__group")))
+    return joined.withColumn(to, F.floor((F.col("__idx") - F.col("__least")) / F.lit(size)).cast("long")).drop("__idx", "__least", "__group")
+
+
+def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order``, a distributed top-k; for the last ones give the order reversed."""
+    return df.orderBy(*order).limit(n)
 
 
 def nearest(value: Column, candidates: list[float]) -> Column:

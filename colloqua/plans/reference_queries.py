@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloqua.config import Settings
 from colloqua.functions import dialogue as D
+from colloqua.functions import misc
 from colloqua.functions import text as T
 from colloqua.operators import bursts as B
+from colloqua.operators import folders, scoring
 from colloqua.operators import sets as S
+from colloqua.plans import pipeline
 from colloqua.session import table
 
 BLOCKED = ("密码", "password", "OOM")
@@ -136,12 +140,8 @@ LINES = "array_to_string([m.role || ': ' || m.content for m in {}], chr(10))"
 
 
 def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = table(spark, sf_dir, "messages").select(
-        "room_name", "create_time", "row_id", "is_sender", "msg", "type_name", "is_forward"
-    )
-    kept = messages.where("type_name = 'text' AND coalesce(is_forward, 0) <> 1 AND msg IS NOT NULL")
-    kept = kept.withColumn("msg", T.squeeze_blanks(F.col("msg"))).where(~T.blocked(F.col("msg"), BLOCKED))
-    return B.ordered_rows(kept, "room_name", "is_sender", "msg", "create_time", "row_id")
+    messages = table(spark, sf_dir, "messages").withColumnsRenamed({"create_time": "CreateTime", "row_id": "_seq"})
+    return pipeline.select_messages(messages, Settings(blocked_words=BLOCKED))
 
 
 def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +215,22 @@ def chatml_build(spark, sf_dir):
     return built.select("room", "us", "seq", D.rendered(F.col("messages")).alias("dialogue"))
 
 
+VALID = (f"ms[-2].role = 'user' AND ms[-1].role = 'assistant' AND length({stripped('ms[-2].content')}) >= 2 AND length({stripped('ms[-1].content')}) >= 2 "
+         f"AND NOT {like(stripped('ms[-2].content'), T.MEANINGLESS)} AND NOT {like(stripped('ms[-1].content'), T.MEANINGLESS)} "
+         "AND len([i for i in range(2, len(ms) + 1) if ms[i].role = ms[i - 1].role]) = 0")
+
+
+@query(f"""WITH {BUILD.replace('so_far <= 1024', 'so_far <= 20')},
+    whole AS (SELECT room, us, seq, ms, list_sum([length(m.content) for m in ms]) AS n, length(ms[-1].content) + length(ms[-2].content) AS fixed, ms[:len(ms) - 2] AS mid FROM packed WHERE {VALID}),
+    fit AS (SELECT room, us, seq, CASE WHEN n <= 40 THEN ms ELSE list_concat(mid[len(mid) - len([i for i in range(1, len(mid) + 1) if list_sum([length(m.content) for m in mid[i:]]) + fixed <= 40]) + 1:], ms[-2:]) END AS ms
+      FROM whole WHERE n <= 40 OR fixed <= 40)
+    SELECT room, us, seq, {LINES.format('ms')} AS dialogue FROM fit WHERE {VALID}""")
+def chatml_build_reduced(spark, sf_dir):
+    """The flagship under a limit so low that most contexts are cut and dialogues reduced or dropped."""
+    built = B.build_dialogues(B.merge_bursts(clean_rows(spark, sf_dir)), limit=40)
+    return built.select("room", "us", "seq", D.rendered(F.col("messages")).alias("dialogue"))
+
+
 @query(f"""WITH {CLEAN}, f AS (SELECT *, CASE WHEN coalesce(side, 0) <> 1 AND lag(side) OVER w = 1 OR lag(seq) OVER w IS NULL THEN 1 ELSE 0 END AS brk
        FROM rows WINDOW w AS (PARTITION BY room ORDER BY us, seq)),
     g AS (SELECT *, sum(brk) OVER (PARTITION BY room ORDER BY us, seq ROWS UNBOUNDED PRECEDING) AS c FROM f)
@@ -244,8 +260,9 @@ def dialogue_validity(spark, sf_dir):
     return dialogues(spark, sf_dir).select("dialogue_id", D.is_valid_dialogue(F.col("messages")).alias("valid"))
 
 
-@query(f"""WITH {DIALOGUES}, p AS (SELECT dialogue_id, [m for m in ms if m.role = 'system'] AS sys, [m for m in ms if m.role <> 'system'] AS o FROM talk),
-    s AS (SELECT *, o[greatest(len(o) - 1, 1):] AS tail, o[:greatest(len(o) - 2, 0)] AS mid FROM p),
+@query(f"""WITH {DIALOGUES}, p AS (SELECT dialogue_id, ms, coalesce(ms[1].role = 'system', false) AS led FROM talk),
+    s AS (SELECT dialogue_id, CASE WHEN led THEN ms[1:1] ELSE [] END AS sys, CASE WHEN len(ms) >= 2 THEN ms[-2:] ELSE [] END AS tail,
+      CASE WHEN len(ms) > 2 THEN ms[CASE WHEN led THEN 2 ELSE 1 END:len(ms) - 2] ELSE [] END AS mid FROM p),
     f AS (SELECT *, coalesce(list_sum([length(m.content) for m in sys]), 0) + coalesce(list_sum([length(m.content) for m in tail]), 0) AS fixed FROM s),
     k AS (SELECT *, len([i for i in range(1, len(mid) + 1) if list_sum([length(m.content) for m in mid[i:]]) + fixed <= 60]) AS kept FROM f WHERE fixed <= 60)
     SELECT dialogue_id, {LINES.format('list_concat(sys, mid[len(mid) - kept + 1:], tail)')} AS dialogue FROM k""")
@@ -352,22 +369,26 @@ def _scored(spark, sf_dir):
 
 @query(f"WITH {SCORED} SELECT cm_id, score FROM scored WHERE score >= 4")
 def score_threshold(spark, sf_dir):
-    return _scored(spark, sf_dir).where("score >= 4")
+    return scoring.accepted(_scored(spark, sf_dir), 4)
 
 
 @query(f"WITH {SCORED} SELECT score, count(*) AS n FROM scored WHERE score IS NOT NULL GROUP BY score")
 def score_histogram(spark, sf_dir):
-    return _scored(spark, sf_dir).where("score IS NOT NULL").groupBy("score").agg(F.count("*").alias("n")).orderBy("score")
+    return scoring.histogram(_scored(spark, sf_dir))
 
 
 @query(f"WITH {SCORED} SELECT count(*) AS total, count(*) FILTER (WHERE score >= 3) AS accepted, count(*) FILTER (WHERE score IS NULL) AS missing FROM scored")
 def score_counters(spark, sf_dir):
-    return _scored(spark, sf_dir).agg(F.count("*").alias("total"), F.count_if(F.col("score") >= 3).alias("accepted"), F.count_if(F.col("score").isNull()).alias("missing"))
+    return scoring.counters(_scored(spark, sf_dir), 3)
 
 
-@query("SELECT cm_id, CASE WHEN contains(coalesce(chat_content, ''), '[图片]') THEN 6 END AS score FROM chatml_messages")
+@query("SELECT cm_id, CASE WHEN cm_id % 7 = 0 THEN 6 ELSE length('user: ' || coalesce(chat_content, '')) % 5 + 1 END AS score FROM chatml_messages")
 def image_bypass_score(spark, sf_dir):
-    return table(spark, sf_dir, "chatml_messages").select("cm_id", F.when(F.contains(F.coalesce("chat_content", F.lit("")), F.lit("[图片]")), 6).alias("score"))
+    """Pairs with images have their score without the judge."""
+    pairs = table(spark, sf_dir, "chatml_messages").select(
+        F.col("cm_id").alias("id"), F.array(D.message(F.lit("user"), F.coalesce("chat_content", F.lit("")))).alias("messages"),
+        F.when(F.col("cm_id") % 7 == 0, F.array(F.lit("a.png"))).alias("images"))
+    return scoring.score_pairs(pairs, scoring.length_judge).select(F.col("id").alias("cm_id"), "score")
 
 
 @query("SELECT event_id, CAST(event_id AS VARCHAR) AS id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS score FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
@@ -395,8 +416,8 @@ _predicate("file_path", T.has_file_path, has("x", T.PATH_MARKS), "hit")
 _predicate("download_link", T.is_download_link, link_sql("x"), "hit")
 _predicate("media_filter", T.is_media, media_sql("x", "t"), "hit")
 _predicate("meaningful_text", T.is_meaningful, meaningful_sql("t"), "hit")
-_predicate("valid_text", T.is_valid,
-           f"(lower(t) NOT IN ('', 'undefined', 'null', 'none') AND NOT {media_sql('x', 't')} AND NOT {like('x', T.SENSITIVE)} AND {meaningful_sql('t')})", "hit")
+VALID_TEXT = f"(lower(t) NOT IN ('', 'undefined', 'null', 'none') AND NOT {media_sql('x', 't')} AND NOT {like('x', T.SENSITIVE)} AND {meaningful_sql('t')})"
+_predicate("valid_text", T.is_valid, VALID_TEXT, "hit")
 _predicate("enhanced_garbled", T.is_garbled_strict, strict_garbled_sql("t"), "hit")
 _predicate("enhanced_valid", T.is_valid_strict, strict_valid_sql("t"), "hit")
 _predicate("export_valid", T.is_chat_export_valid,
@@ -409,9 +430,9 @@ _predicate("meaningful_count", lambda c: T.count_of(c, T.MEANINGFUL).cast("long"
 _predicate("special_count", lambda c: T.special(c).cast("long"), f"CAST({special_sql('x')} AS BIGINT)", "n")
 _predicate("nonprintable", lambda c: T.unprintable(c).cast("long"), f"CAST({unprintable_sql('x')} AS BIGINT)", "n")
 _predicate("double_space_lines", T.double_spaces_to_lines, "regexp_replace(x, ' {2,}', chr(10), 'g')", "out")
-_predicate("clean_text", T.clean_text,
-           stripped("regexp_replace(regexp_replace(" + stripped("regexp_replace(x, '[\\x{202a}-\\x{202e}\\x{2066}-\\x{2069}\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g')")
-                    + ", '^[^0-9A-Za-z\\x{80}-\\x{10ffff}]+', ''), '[^0-9A-Za-z\\x{80}-\\x{10ffff}.!?,;:]+$', '')"), "out")
+CLEANED = stripped("regexp_replace(regexp_replace(" + stripped("regexp_replace(x, '[\\x{202a}-\\x{202e}\\x{2066}-\\x{2069}\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g')")
+                    + ", '^[^0-9A-Za-z\\x{80}-\\x{10ffff}]+', ''), '[^0-9A-Za-z\\x{80}-\\x{10ffff}.!?,;:]+$', '')")
+_predicate("clean_text", T.clean_text, CLEANED, "out")
 QUALITY = (f"CASE WHEN x = '' THEN 0.0 ELSE {share(n_of('x', T.CJK), 'length(x)')} * 2.0 + {share(n_of('x', '[A-Za-z]'), 'length(x)')} * 1.5 "
            f"+ least({share(n_of('x', '[' + chr(92) + 'p{Nd}²³¹]'), 'length(x)')} * 0.5, 0.3) + least({share(n_of('x', T.PUNCTUATION), 'length(x)')} * 0.3, 0.2) "
            "+ CASE WHEN length(x) BETWEEN 5 AND 200 THEN 0.5 WHEN length(x) > 200 THEN 0.2 ELSE 0.0 END END")
@@ -419,19 +440,25 @@ _predicate("text_quality", lambda c: F.round(T.text_quality(c), 6), f"round({QUA
 _predicate("preview_text", T.preview, "CASE WHEN length(x) > 100 THEN substring(x, 1, 100) || '...' ELSE x END", "out")
 
 
-@query("""WITH c AS (SELECT item_id, unnest(string_split(input_text, '')) AS c FROM eval_items), n AS (SELECT item_id, c, count(*) AS k FROM c WHERE c <> '' GROUP BY item_id, c),
-    s AS (SELECT item_id, k * 1.0 / sum(k) OVER (PARTITION BY item_id) AS p FROM n) SELECT item_id, round(-sum(p * log2(p)), 6) AS entropy FROM s GROUP BY item_id""")
+@query("""WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS c FROM documents), n AS (SELECT doc_id, c, count(*) AS k FROM c WHERE c <> '' GROUP BY doc_id, c),
+    s AS (SELECT doc_id, k * 1.0 / sum(k) OVER (PARTITION BY doc_id) AS p FROM n), e AS (SELECT doc_id, abs(round(-sum(p * log2(p)), 6)) AS entropy FROM s GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN text = '' THEN 0.0 WHEN text IS NOT NULL THEN entropy END AS entropy FROM documents LEFT JOIN e USING (doc_id)""")
 def char_entropy(spark, sf_dir):
-    return table(spark, sf_dir, "eval_items").where("input_text <> ''").select("item_id", F.round(T.char_entropy(F.col("input_text")), 6).alias("entropy"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.abs(F.round(T.char_entropy(F.col("text")), 6)).alias("entropy"))
 
 
-@query(f"WITH d AS ({TEXTS}), s AS (SELECT doc_id, source, x, round({QUALITY}, 9) AS score FROM d JOIN documents USING (doc_id)) "
-       "SELECT source, arg_min(doc_id, (-score, -length(x), doc_id)) AS doc_id FROM s GROUP BY source")
+@query(f"""WITH one AS (SELECT dialogue_id, turn_no, cm_id, chat_content AS x, {stripped('chat_content')} AS t FROM chatml_messages WHERE chat_content IS NOT NULL),
+    valid AS (SELECT dialogue_id, turn_no, cm_id, {CLEANED} AS x FROM one WHERE {VALID_TEXT}), scored AS (SELECT *, {QUALITY} AS q FROM valid WHERE x <> ''),
+    best AS (SELECT dialogue_id, arg_max(x, (round(q, 9), length(x), -turn_no, -cm_id)) AS best FROM scored GROUP BY dialogue_id)
+    SELECT dialogue_id, coalesce(best, '') AS best FROM (SELECT DISTINCT dialogue_id FROM one) LEFT JOIN best USING (dialogue_id)""")
 def best_candidate(spark, sf_dir):
-    """of each source the best text by quality, then length, then id."""
-    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "source", "text")
-    key = F.struct(-F.round(T.text_quality(F.col("text")), 9), -F.length("text"), "doc_id")
-    return docs.groupBy("source").agg(F.min_by("doc_id", key).alias("doc_id"))
+    """of a dialogue's texts the best by quality, then length, then place."""
+    from colloqua.sources.wire import best_text
+
+    said = table(spark, sf_dir, "chatml_messages").where("chat_content IS NOT NULL")
+    listed = said.groupBy("dialogue_id").agg(F.array_sort(F.collect_list(F.struct("turn_no", "cm_id", "chat_content"))).alias("m"))
+    texts_of = listed.select("dialogue_id", F.transform("m", lambda m: m["chat_content"]).alias("texts"))
+    return texts_of.select("dialogue_id", best_text(F.col("texts")).alias("best"))
 
 
 # --- records: dedup, union, mix, caps, statistics ---------------------------------------
@@ -483,41 +510,60 @@ def record_stats(spark, sf_dir):
 
 @query("SELECT doc_id, CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END AS shown FROM documents ORDER BY doc_id LIMIT 5")
 def preview_top_n(spark, sf_dir):
-    return table(spark, sf_dir, "documents").orderBy("doc_id").limit(5).select("doc_id", T.preview(F.col("text")).alias("shown"))
+    return S.first_rows(table(spark, sf_dir, "documents"), [F.col("doc_id")], 5).select("doc_id", T.preview(F.col("text")).alias("shown"))
 
 
 @query("SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 50")
 def tail_n(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", "event_type").orderBy(F.col("event_id").desc()).limit(50)
+    return S.first_rows(table(spark, sf_dir, "events").select("event_id", "event_type"), [F.col("event_id").desc()], 50)
+
+
+FILE_NAME = "CASE doc_id % 5 WHEN 0 THEN 'config.json' WHEN 1 THEN 'model-' || doc_id || '.safetensors' WHEN 2 THEN 'sub/pytorch_model.bin' WHEN 3 THEN 'notes.md' ELSE 'vocab-' || doc_id || '.txt' END"
+FILES = f"files AS (SELECT replace(coalesce(source, 'none'), '/', '_') || '-' || (doc_id // 4) % 50 AS folder, {FILE_NAME} AS name, n_chars AS size FROM documents)"
+
 
+def _files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    folder = F.expr("concat(replace(coalesce(source, 'none'), '/', '_'), '-', (doc_id div 4) % 50)")
+    paths = docs.select(F.concat(F.lit("file:///models/"), folder, F.lit("/"), F.expr(FILE_NAME)).alias("path"), F.col("n_chars").alias("length"))
+    return folders.with_folders(paths, "/models")
 
-@query("SELECT source, count(*) AS n_files, CAST(sum(n_chars) AS BIGINT) AS size, bool_or(lang = 'zh') AS any_zh, bool_and(n_chars > 0) AS all_filled FROM documents GROUP BY source")
+
+@query(f"""WITH {FILES} SELECT folder, count(*) AS n_files, CAST(coalesce(sum(size), 0) AS BIGINT) AS size, bool_or(name IN ('config.json', 'configuration.json'))
+    AND bool_or(name IN ('pytorch_model.bin', 'model.safetensors', 'pytorch_model.safetensors') OR name LIKE 'model-%.safetensors') AS complete FROM files GROUP BY folder""")
 def size_rollup(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(
-        F.count("*").alias("n_files"), F.sum("n_chars").alias("size"), F.bool_or(F.col("lang") == "zh").alias("any_zh"), F.bool_and(F.col("n_chars") > 0).alias("all_filled"))
+    return folders.roll_up(_files(spark, sf_dir))
+
+
+@query(f"""WITH {FILES}, n AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY name) AS k, count(*) OVER (PARTITION BY folder) AS total FROM files WHERE NOT name LIKE '%.md')
+    SELECT folder, name, greatest(total - 10, 0) AS more FROM n WHERE k <= 10""")
+def main_files(spark, sf_dir):
+    return folders.main_files(_files(spark, sf_dir)).select("folder", "name", "more")
 
 
-@query("SELECT call_id, seg_id, role, row_number() OVER (PARTITION BY call_id ORDER BY ts_start, CASE WHEN role = 'user' THEN 0 ELSE 1 END, seg_id) AS pos FROM "
-       "(SELECT *, lower(trim(seg_role)) AS role FROM call_segments WHERE lower(trim(seg_role)) IN ('user', 'assistant') AND trim(seg_content) <> '')")
+@query("SELECT call_id, seg_id, role, row_number() OVER (PARTITION BY call_id ORDER BY ts_start NULLS FIRST, CASE WHEN role = 'user' THEN 0 ELSE 1 END, ts_end NULLS FIRST, seg_id) AS pos FROM "
+       "(SELECT *, CASE WHEN seg_id % 2 = 0 THEN 'user' ELSE 'assistant' END AS role FROM call_segments)")
 def segments_union_sort(spark, sf_dir):
-    """U-2, O5: two tracks, one order; user first at equal starts."""
-    rows = table(spark, sf_dir, "call_segments").withColumn("role", F.lower(F.trim("seg_role"))).where("trim(seg_content) <> ''")
-    both = rows.where("role = 'user'").unionByName(rows.where("role = 'assistant'"))
-    w = Window.partitionBy("call_id").orderBy("ts_start", F.when(F.col("role") == "user", 0).otherwise(1), "seg_id")
-    return both.select("call_id", "seg_id", "role", F.row_number().over(w).alias("pos"))
+    """U-2, O5: two tracks of each call, one order; user first at equal starts."""
+    from colloqua.sources.files import merge_tracks
 
+    rows = table(spark, sf_dir, "call_segments").select("call_id", "seg_id", F.struct(F.col("ts_start").alias("start"), F.col("ts_end").alias("end")).alias("timestamp"))
+    return merge_tracks(rows.where("seg_id % 2 = 0"), rows.where("seg_id % 2 <> 0"), ["call_id"], ["seg_id"], "pos").select("call_id", "seg_id", "role", "pos")
 
-@query("SELECT event_id, CAST(nullif(regexp_extract(props, '\"k\":\\s*(\\d+)', 1), '') AS INTEGER) AS step FROM events")
+
+@query("SELECT event_id, event_id * 0.25 AS loss, CAST(json_extract_string(props, '$.k') AS INTEGER) AS step FROM events")
 def regex_extract_log(spark, sf_dir):
-    found = F.nullif(F.regexp_extract("props", r'"k":\s*(\d+)', 1), F.lit(""))
-    return table(spark, sf_dir, "events").select("event_id", found.cast("int").alias("step"))
+    """fn22: losses and steps of log lines."""
+    line = F.concat(F.lit("epoch 1, train_loss: "), (F.col("event_id") * 0.25).cast("string"), F.coalesce(F.concat(F.lit(" step: "), F.get_json_object("props", "$.k")), F.lit("")))
+    return table(spark, sf_dir, "events").select("event_id", misc.training_log(line).alias("r")).select("event_id", "r.*")
 
 
-@query("SELECT row_id, 'WX_' || regexp_replace(talker, '[^\\p{L}\\p{N}_-]', '', 'g') AS room, epoch_us(create_time) // 1000000 || '_' || talker AS ident FROM messages WHERE talker IS NOT NULL AND create_time IS NOT NULL")
+@query("SELECT row_id, 'WX_' || regexp_replace(talker, '[^\\p{L}\\p{N}_-]', '', 'g') || CASE WHEN regexp_matches(talker, '[^\\p{L}\\p{N}_-]') THEN '~' || substring(md5(talker), 1, 6) ELSE '' END AS room FROM messages")
 def room_sanitise(spark, sf_dir):
-    rows = table(spark, sf_dir, "messages").where("talker IS NOT NULL AND create_time IS NOT NULL")
-    ident = F.concat_ws("_", F.unix_seconds("create_time").cast("string"), "talker")
-    return rows.select("row_id", F.concat(F.lit("WX_"), F.regexp_replace("talker", r"[^\p{L}\p{N}_-]", "")).alias("room"), ident.alias("ident"))
+    """Rooms named after talkers; those whose names would collide stay apart."""
+    from colloqua.sources.sqlite import room_of
+
+    return table(spark, sf_dir, "messages").select("row_id", room_of(F.col("talker")).alias("room"))
 
 
 # --- sources, sinks, scoring and streams -------------------------------------------------
@@ -610,27 +656,27 @@ def stream_asof(spark, sf_dir):
 # --- small expressions ---------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, CAST(o_orderkey * 37 AS VARCHAR) AS x, round(o_orderkey * 37.0 / 1024, 1) AS kb FROM orders WHERE o_orderkey * 37 >= 1024 AND o_orderkey * 37 < 1024 * 1000")
+@query("""WITH b AS (SELECT o_orderkey, CAST(o_orderkey % 4999 AS BIGINT) * (1::BIGINT << CAST(10 * (o_orderkey % 6) AS INTEGER)) + o_orderkey % 7 AS n FROM orders)
+    SELECT o_orderkey, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN printf('%.1f KB', n / 1024) WHEN n < 1073741824 THEN printf('%.1f MB', n / 1048576)
+      WHEN n < 1099511627776 THEN printf('%.1f GB', n / 1073741824) WHEN n < 1125899906842624 THEN printf('%.1f TB', n / 1099511627776)
+      ELSE printf('%.1f PB', n / 1125899906842624) END AS shown FROM b""")
 def size_display(spark, sf_dir):
-    from colloqua.functions.misc import size_text
+    """fn23: sizes from nothing to petabytes."""
+    n = F.expr("o_orderkey % 4999 * shiftleft(1L, CAST(10 * (o_orderkey % 6) AS INT)) + o_orderkey % 7")
+    return table(spark, sf_dir, "orders").select("o_orderkey", misc.size_text(n).alias("shown"))
 
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") * 37).alias("b")).where("b >= 1024 AND b < 1024 * 1000")
-    return rows.select("o_orderkey", F.col("b").cast("string").alias("x"), F.split_part(size_text(F.col("b")), F.lit(" "), F.lit(1)).cast("double").alias("kb"))
 
-
-@query("SELECT event_id, concat_ws(' ', CASE WHEN event_id >= 3600 THEN event_id // 3600 || 'h' END, CASE WHEN event_id >= 60 THEN event_id // 60 % 60 || 'm' END, event_id % 60 || 's') AS shown FROM events")
+@query("""WITH s AS (SELECT event_id, event_id * 17.5 - 100 AS n FROM events), w AS (SELECT event_id, greatest(CAST(trunc(n) AS BIGINT), 0) AS n FROM s),
+    t AS (SELECT event_id, CASE WHEN n >= 3600 THEN n // 3600 || '小时' ELSE '' END || CASE WHEN n // 60 % 60 > 0 THEN n // 60 % 60 || '分' ELSE '' END || CASE WHEN n % 60 > 0 THEN n % 60 || '秒' ELSE '' END AS t FROM w)
+    SELECT event_id, CASE WHEN t = '' THEN '0秒' ELSE t END AS shown FROM t""")
 def duration_display(spark, sf_dir):
-    from colloqua.functions.misc import duration_text
-
-    return table(spark, sf_dir, "events").select("event_id", duration_text(F.col("event_id")).alias("shown"))
+    return table(spark, sf_dir, "events").select("event_id", misc.duration_text(F.col("event_id") * 17.5 - 100).alias("shown"))
 
 
 @query("SELECT c_mktsegment, max_by(c_name, CAST(regexp_extract(c_name, '(\\d+)$', 1) AS BIGINT)) AS latest FROM customer GROUP BY c_mktsegment")
 def latest_by_suffix(spark, sf_dir):
     """The name with the largest number at its end."""
-    from colloqua.functions.misc import number_at_end
-
-    return table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.max_by("c_name", number_at_end(F.col("c_name"))).alias("latest"))
+    return table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.max_by("c_name", misc.number_at_end(F.col("c_name"))).alias("latest"))
 
 
 MODULES = "modules AS (SELECT l_orderkey, l_linenumber, l_partkey, 'model.layers.' || l_orderkey % 50 || CASE WHEN l_linenumber % 4 = 0 THEN '.router' ELSE '.expert' END AS name FROM lineitem)"
@@ -640,17 +686,13 @@ MODULES = "modules AS (SELECT l_orderkey, l_linenumber, l_partkey, 'model.layers
        "SELECT l_orderkey, l_linenumber, l_partkey, name FROM k WHERE k <= 6 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, name FROM modules WHERE contains(name, 'router')")
 def module_targets(spark, sf_dir):
     """W8, fn26: a cap for each layer, which routers bypass."""
-    from colloqua.functions.misc import layer_key
-
     name = F.concat(F.lit("model.layers."), (F.col("l_orderkey") % 50).cast("string"), F.when(F.col("l_linenumber") % 4 == 0, ".router").otherwise(".expert"))
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", name.alias("name")).withColumn("layer", layer_key(F.col("name")))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", name.alias("name")).withColumn("layer", misc.layer_key(F.col("name")))
     return S.cap_per_group(rows, "layer", ["l_orderkey", "l_linenumber", "l_partkey"], 6, F.contains("name", F.lit("router"))).drop("layer")
 
 
 @query("SELECT p_partkey, 'part' || p_size AS name, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS version FROM part")
 def requirement_split(spark, sf_dir):
-    from colloqua.functions.misc import name_version
-
     size = F.col("p_size").cast("string")
     text = F.concat(F.lit("part"), size, F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("=="), size)).otherwise(""))
-    return table(spark, sf_dir, "part").select("p_partkey", name_version(text).alias("r")).select("p_partkey", "r.*")
+    return table(spark, sf_dir, "part").select("p_partkey", misc.name_version(text).alias("r")).select("p_partkey", "r.*")

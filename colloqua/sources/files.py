@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import glob
+import operator
 import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,11 +13,19 @@ from pyspark.sql import functions as F
 from colloqua import schemas
 from colloqua.functions import dialogue as D
 from colloqua.functions import text as T
+from colloqua.operators import sets
 
 #: Texts that the table reader of the scoring path takes for missing.
 NA_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern names anything, in any file system Spark knows."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found)
+    return listed is not None and len(listed) > 0
+
+
 def read_unified(spark: SparkSession, path: str) -> DataFrame:
     """A tree of unified CSV files. Rows that don't parse, or whose time doesn't, have null there.
 
@@ -90,7 +100,7 @@ def read_strict(spark: SparkSession, path: str) -> DataFrame:
 
 def read_training(spark: SparkSession, path: str) -> DataFrame:
     """Training dialogues; a missing file is an empty table."""
-    if not glob.glob(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schemas.DIALOGUE)
     return spark.read.schema(schemas.DIALOGUE).json(path)
 
@@ -112,10 +122,22 @@ def read_segments(spark: SparkSession, path: str, role: str | None = None) -> Da
     return rows if role is None else rows.withColumn("role", F.lit(role))
 
 
-def merge_tracks(user: DataFrame, assistant: DataFrame) -> DataFrame:
-    """U-2, O5: two tracks in one order, user first at equal starts."""
+def merge_tracks(user: DataFrame, assistant: DataFrame, of: list[str] = (), tie: list[str] = (), to: str | None = None) -> DataFrame:
+    """U-2, O5: two tracks in one order, user first at equal starts; with ``to``, numbered from 1 in each transcript ``of``.
+
+    The numbers come from one sort by ranges, so that a transcript of any length is many tasks.
+    """
     both = user.withColumn("role", F.lit("user")).unionByName(assistant.withColumn("role", F.lit("assistant")))
-    return both.orderBy("timestamp.start", F.when(F.col("role") == "user", 0).otherwise(1), "timestamp.end")
+    order = {"__start": F.col("timestamp.start"), "__side": F.when(F.col("role") == "user", 0).otherwise(1), "__end": F.col("timestamp.end")}
+    both, names = both.withColumns(order), [*of, *order, *tie]
+    if to is None:
+        return both.orderBy(*names).drop(*order)
+    rows = sets.numbered(both, names, "__idx")
+    if not of:
+        return rows.withColumn(to, F.col("__idx") + 1).drop("__idx", *order)
+    first = rows.groupBy(*of).agg(F.min("__idx").alias("__least")).withColumnsRenamed({c: f"__of_{c}" for c in of})
+    same = functools.reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in of])
+    return rows.join(first, same).withColumn(to, F.col("__idx") - F.col("__least") + 1).drop("__idx", "__least", *order, *[f"__of_{c}" for c in of])
 
 
 def audio_streams(probe: DataFrame, text: str = "value") -> DataFrame:

@@ -7,7 +7,7 @@ import os
 import sqlite3
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -111,6 +111,12 @@ def read_qq(spark: SparkSession, path: str, owner_id: str = "", alnum_rule: bool
     )
 
 
+def room_of(talker: Column) -> Column:
+    """A room named after the letters and digits of a talker; others are told apart by a part of the name's hash."""
+    safe = F.regexp_replace(talker, r"[^\p{L}\p{N}_-]", "")
+    return F.concat(F.lit("WX_"), safe, F.when(safe == talker, "").otherwise(F.concat(F.lit("~"), F.substring(F.md5(talker), 1, 6))))
+
+
 def read_wechat(spark: SparkSession, folder: str) -> DataFrame:
     """Unified messages of the ``MSG*.db`` stores of a folder.
 
@@ -122,12 +128,9 @@ def read_wechat(spark: SparkSession, folder: str) -> DataFrame:
     names = ("MsgSvrID", "IsSender", "CreateTime", "StrTalker", "StrContent", "Type")
     rows = scan(spark, os.path.join(folder, "MSG*.db"), "MSG", names, schemas.WECHAT, "Type = 1 AND StrContent IS NOT NULL AND StrContent <> ''")
     rows = rows.where("coalesce(StrTalker, '') <> '' AND NOT endswith(StrTalker, '@chatroom')").withColumn("msg", T.strip(F.col("StrContent"))).where("msg <> ''")
-    safe = F.regexp_replace("StrTalker", r"[^\p{L}\p{N}_-]", "")
-    plain = safe == F.col("StrTalker")
-    room = F.concat(F.lit("WX_"), safe, F.when(plain, "").otherwise(F.concat(F.lit("~"), F.substring(F.md5("StrTalker"), 1, 6))))
     w = Window.partitionBy("StrTalker").orderBy("CreateTime", "MsgSvrID")
     return rows.select(
         F.row_number().over(w).cast("bigint").alias("id"), "MsgSvrID", F.lit("text").alias("type_name"), F.col("IsSender").alias("is_sender"),
         F.col("StrTalker").alias("talker"), "msg", F.lit("").alias("src"), F.timestamp_seconds("CreateTime").alias("CreateTime"),
-        room.alias("room_name"), F.lit(0).alias("is_forward"),
+        room_of(F.col("StrTalker")).alias("room_name"), F.lit(0).alias("is_forward"),
     )

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from colloqua.functions import text as T
 
-MAX_DEPTH = 32
-
 
 def read_varint(data: bytes, at: int) -> tuple[int, int] | None:
     """(value, next position); None at the end of data or beyond 64 bits."""
@@ -53,15 +51,14 @@ def payloads(data: bytes) -> list[bytes]:
 
 
 def harvest(body: bytes | None) -> list[str]:
-    """Every payload that decodes to a text, outer ones first; nested up to ``MAX_DEPTH``."""
+    """Every payload that decodes to a text, outer ones first, nested to any depth (each level takes two bytes at least)."""
     out: list[str] = []
-    stack = [(p, 1) for p in reversed(payloads(bytes(body or b"")))]
+    stack = list(reversed(payloads(bytes(body or b""))))
     while stack:
-        data, depth = stack.pop()
+        data = stack.pop()
         if found := data.decode("utf-8", errors="ignore"):
             out.append(found)
-        if depth < MAX_DEPTH:
-            stack += [(p, depth + 1) for p in reversed(payloads(data))]
+        stack += reversed(payloads(data))
     return out
 
 

@@ -33,3 +33,20 @@ def test_scans_read_what_they_need(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
     text = plan(reference_queries.msg_clean_filter(spark, FOLDER))
     assert "EqualTo(type_name,text)" in text and "talker" not in text
+
+
+def test_only_the_missing_subpackage_is_passed_over(monkeypatch):
+    import importlib
+
+    import __spark_entry__ as entry
+
+    def without(name):
+        def load(_):
+            raise ModuleNotFoundError(name=name)
+        monkeypatch.setattr(importlib, "import_module", load)
+
+    without("colloqua.llm")
+    assert set(entry.queries()) == {n for m in (dealt_queries, reference_queries) for n in m.QUERIES}
+    without("colloqua.functions.text")
+    with pytest.raises(ModuleNotFoundError):
+        entry.queries()

@@ -32,7 +32,7 @@ def test_wire(spark):
     deep = "x".encode()
     for _ in range(100):
         deep = field(1, deep)
-    assert len(harvest(deep)) <= 40
+    assert len(harvest(deep)) == 100 and harvest(deep)[-1] == "x"
     df = spark.createDataFrame([(1, body), (2, None), (3, b"\xff\xff")], "id int, b binary")
     got = {r.id: r.t for r in df.select("id", best_text(wire_texts(F.col("b"))).alias("t")).collect()}
     assert got == {1: "早上好，我在路上", 2: "", 3: ""}
@@ -153,15 +153,35 @@ def test_small_helpers(spark, tmp_path):
 
     import pytest
 
-    from colloqua.functions import misc
+    from colloqua.functions import checks, misc
     from colloqua.sources.model_client import ModelClient
 
-    df = spark.createDataFrame([(0, 5.0), (1, 1536.0), (2, 3.0 * 1024**3), (3, None)], "id int, n double")
-    assert [r[0] for r in df.orderBy("id").select(misc.size_text(F.col("n"))).collect()] == ["5.0 B", "1.5 KB", "3.0 GB", None]
-    assert [r[0] for r in df.orderBy("id").limit(2).select(misc.duration_text(F.col("n"))).collect()] == ["5s", "25m 36s"]
-    for call in (lambda: misc.check_account("12"), lambda: misc.check_time_range("2024-02-01", "2024-01-01"), lambda: misc.check_data_path("x.bin")):
+    sizes = {0: "0 B", 512: "512 B", 1023: "1023 B", 1024: "1.0 KB", 1536: "1.5 KB", 1280: "1.2 KB", 1030042: "1005.9 KB", 3 * 1024**3: "3.0 GB", 1024**4: "1.0 TB", 5000 * 1024**5: "5000.0 PB", None: None}
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "id int, n long").orderBy("id")
+    assert [r[0] for r in df.select(misc.size_text(F.col("n"))).collect()] == list(sizes.values())
+    spans = {0.0: "0秒", -5.0: "0秒", 0.9: "0秒", 61.5: "1分1秒", 3600.0: "1小时", 3661.5: "1小时1分1秒", 125.3: "2分5秒", 90061.0: "25小时1分1秒", None: None}
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(spans)], "id int, n double").orderBy("id")
+    assert [r[0] for r in df.select(misc.duration_text(F.col("n"))).collect()] == list(spans.values())
+    df = spark.createDataFrame([("train_loss: 0.5 step: 12",), ("step:7",), ("x",), (None,)], "x string")
+    assert [tuple(r[0]) for r in df.select(misc.training_log(F.col("x"))).collect()] == [(0.5, 12), (None, 7), (None, None), (None, None)]
+    assert df.select(misc.ordered_distinct(F.array(F.lit("b"), F.lit("a"), F.lit("b")))).first()[0] == ["b", "a"]
+    assert [r[0] for w in (0, 30) for r in misc.column_width(df, "x", w).collect()] == [24, 30] and misc.column_width(df.limit(0), "x").first()[0] == 0
+    (tmp_path / "model").mkdir()
+    (tmp_path / "model" / "config.json").write_text("{}", encoding="utf-8")
+    (tmp_path / "bad.json").write_text("{", encoding="utf-8")
+    wrong = (
+        lambda: checks.check_account("12"), lambda: checks.check_time_range("2024-02-01,2024-01-01"), lambda: checks.check_time_range("2024-02-01,2024-02-01"),
+        lambda: checks.check_time_range("2024-02-01"), lambda: checks.check_data_path("x.bin"), lambda: checks.check_path(" "), lambda: checks.check_path("../x", False),
+        lambda: checks.check_path(str(tmp_path / "no")), lambda: checks.check_path(str(tmp_path / "no" / "x"), False, True), lambda: checks.check_positive("0", "n"),
+        lambda: checks.check_positive("x", "n"), lambda: checks.check_number("2", "n", 0, 1), lambda: checks.check_number(None, "n"), lambda: checks.check_choice("c", "n", ("a", "b")),
+        lambda: checks.check_url("ftp://x"), lambda: checks.check_url("http://"), lambda: checks.check_model_path(str(tmp_path)), lambda: checks.check_model_path(str(tmp_path / "bad.json")),
+        lambda: checks.check_json_file(str(tmp_path / "bad.json")), lambda: checks.check_json_file(str(tmp_path / "model")))
+    for call in wrong:
         with pytest.raises(ValueError):
             call()
+    assert checks.check_positive("3", "n") == 3 and checks.check_number("0.5", "n", 0, 1) == 0.5 and checks.check_choice("A", "n", ("a",), True) == "a"
+    assert checks.check_url("https://x/y") and checks.check_account(12345) == "12345" and checks.check_time_range("2024-01-01, 2024-02-01")[1].month == 2
+    assert checks.check_model_path(str(tmp_path / "model")) and checks.check_json_file(str(tmp_path / "model" / "config.json")) and checks.check_data_path(str(tmp_path / "bad.json"))
     path = tmp_path / "x.txt"
     assert sinks.keep_backup(spark, str(path)) is None
     path.write_text("a", encoding="utf-8")
@@ -186,3 +206,30 @@ def test_varints(spark):
     df = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", _varint(F.col("n")).alias("v"))
     for r in df.collect():
         assert read_varint(bytes(r.v), 0) == (r.n, len(r.v)) and len(r.v) == max(1, -(-r.n.bit_length() // 7))
+
+
+def test_folders(spark):
+    from colloqua.operators import folders
+
+    files = spark.createDataFrame(
+        [(f"file:/m/whole/{n}", 10) for n in ("config.json", "model.safetensors")] + [("file:/m/parts/config.json", 1), ("file:/m/parts/model-1.safetensors", None)]
+        + [(f"file:/m/many/f{i:02}.txt", 1) for i in range(13)] + [("file:/m/many/x.md", 5), ("file:/m/deep/sub/config.json", 1), ("file:/m/top.json", 9), ("file:/mm/x/config.json", 9)],
+        "path string, length long")
+    placed = folders.with_folders(files, "/m")
+    assert sorted(map(tuple, folders.roll_up(placed).collect())) == [("deep", 1, 1, False), ("many", 14, 18, False), ("parts", 2, 1, True), ("whole", 2, 20, True)]
+    listed = folders.main_files(placed).where("folder = 'many'").collect()
+    assert sorted(r["name"] for r in listed) == [f"f{i:02}.txt" for i in range(10)] and {r["more"] for r in listed} == {3}
+    assert folders.roll_up(placed.limit(0)).count() == 0
+
+
+def test_training_files_of_any_path(spark, tmp_path):
+    assert sources.read_training(spark, f"file://{tmp_path}/none*.json").count() == 0
+    (tmp_path / "a.json").write_text('{"messages":[{"role":"user","content":"x"}]}', encoding="utf-8")
+    assert sources.read_training(spark, f"file://{tmp_path}/*.json").count() == sources.read_training(spark, str(tmp_path / "a.json")).count() == 1
+
+
+def test_texts_nested_forty_deep(spark):
+    body = b"deep"
+    for _ in range(40):
+        body = b"\x0a" + bytes([len(body)]) + body if len(body) < 128 else b"\x0a" + bytes([len(body) & 127 | 128, len(body) >> 7]) + body
+    assert "deep" in harvest(body)
