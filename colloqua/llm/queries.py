@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloqua.llm.conversations import rebuild_conversations
-from colloqua.llm.leakage import find_leaks
+from colloqua.llm.leakage import find_leaks, find_passages
 from colloqua.llm.personal import find_personal_data, masked
 from colloqua.llm.repeats import width_table, collapse_repeats
 from colloqua.llm.samelook import one_form, same_look_pairs
@@ -83,6 +83,11 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each leaked passage lies in its document and its item."""
+    return find_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_look_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -100,6 +105,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p9_passages": p9_passages,
     "p10_found": p10_found,
     "p10_forms": p10_forms,
 }

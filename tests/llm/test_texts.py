@@ -116,16 +116,18 @@ def test_winnowing_guarantees_every_shared_run():
         shared = words(rng, rng.choice([10, 11, 12, 13, 20]))
         a, b = words(rng, rng.randrange(15)) + shared + words(rng, rng.randrange(15)), words(rng, rng.randrange(9)) + shared + words(rng, 9)
         if L.shares_run(a, b, 12):
-            places, kept = L.fingerprints([" ".join(a), "", " ".join(b)], L.WORDS)
-            assert set(kept[places == 0]) & set(kept[places == 2])
+            found = L.fingerprints([" ".join(a), "", " ".join(b)], L.WORDS)
+            assert set(found.hash[found.text == 0]) & set(found.hash[found.text == 2])
 
 
 def test_fingerprints_of_a_text_do_not_depend_on_its_neighbours():
     texts = ["", "one two " * 30, "斑驳的罗盘" * 20, "x" * 40000, "short", "a\0b " * 40, "\ud800 lone " * 30]
     for view in (L.WORDS, L.LETTERS):
-        places, kept = L.fingerprints(texts, view)
+        found = L.fingerprints(texts, view)
         for i, text in enumerate(texts):
-            assert kept[places == i].tolist() == L.fingerprints([text], view)[1].tolist()
+            alone = L.fingerprints([text], view)
+            for name in ("hash", "place", "context"):
+                assert getattr(found, name)[found.text == i].tolist() == getattr(alone, name).tolist()
 
 
 def test_leaks(spark):
@@ -140,6 +142,54 @@ def test_leaks(spark):
     got = sorted(map(tuple, L.find_leaks(docs, items).collect()))
     assert got == [(1, 1), (3, 1), (4, 2), (8, 1), (8, 2), (10, 1)]
     assert L.find_leaks(docs.limit(0), items).count() == 0 and L.find_leaks(docs, items.limit(0)).count() == 0
+    passages = sorted(tuple(r) for r in L.find_passages(docs, items).collect() if r.doc_id in (1, 4, 8))
+    assert passages == [(1, 1, "input_text", 1, 13, 3), (4, 2, "expected_text", 0, 24, 5), (8, 1, "input_text", 60, 90, 0), (8, 2, "expected_text", 0, 60, 0)]
+
+
+def test_passages_against_brute_force(spark):
+    rng = random.Random(8)
+    tests = [words(rng, rng.randrange(10, 60)) for _ in range(6)]
+    docs = []
+    for _ in range(90):
+        doc = []
+        for _ in range(rng.randrange(4)):
+            t = rng.choice(tests)
+            a = rng.randrange(len(t))
+            doc += words(rng, rng.randrange(5)) + t[a : a + rng.randrange(5, 50)]
+        docs.append(doc)
+    want = set()
+    for d, doc in enumerate(docs):
+        for i, t in enumerate(tests):
+            for a in range(len(doc)):
+                for b in range(len(t)):
+                    if doc[a] == t[b] and (a == 0 or b == 0 or doc[a - 1] != t[b - 1]):
+                        n = 0
+                        while a + n < len(doc) and b + n < len(t) and doc[a + n] == t[b + n]:
+                            n += 1
+                        if n >= 12:
+                            want.add((d, i, "input_text", a, a + n, b))
+    left = spark.createDataFrame([(d, " ".join(doc)) for d, doc in enumerate(docs)], "doc_id long, text string")
+    right = spark.createDataFrame([(i, "en", " ".join(t), "") for i, t in enumerate(tests)], "item_id long, lang string, input_text string, expected_text string")
+    assert len(want) > 20
+    assert {tuple(r) for r in L.find_passages(left, right).collect()} == want
+    assert {tuple(r) for r in L.find_leaks(left, right).collect()} == {w[:2] for w in want}
+
+
+def test_no_text_of_the_corpus_is_moved(spark):
+    docs = spark.range(10).select(F.col("id").alias("doc_id"), F.lit("text of the corpus").alias("text"))
+    items = spark.createDataFrame([(1, "en", "a", "b")], "item_id long, lang string, input_text string, expected_text string")
+    for line in L.find_leaks(docs, items)._jdf.queryExecution().executedPlan().toString().split("\n"):
+        assert "text" not in line or "Exchange" not in line
+
+
+def test_filter_passes_all_it_holds(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5000):
+        hashes = rng.integers(-(2**63), 2**63 - 1, n)
+        kept = L._filter(spark.createDataFrame([(int(h),) for h in hashes], "h long"))
+        assert L._passing(hashes.view(np.uint64), kept).all() and L._passing(rng.integers(0, 2**63 - 1, 10000).view(np.uint64), kept).mean() < 0.1
 
 
 def form(text):
