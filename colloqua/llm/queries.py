@@ -9,7 +9,7 @@ from colloqua.llm.conversations import rebuild_conversations
 from colloqua.llm.leakage import find_leaks, find_passages
 from colloqua.llm.personal import find_personal_data, masked
 from colloqua.llm.repeats import width_table, collapse_repeats
-from colloqua.llm.samelook import one_form, same_look_pairs
+from colloqua.llm.samelook import one_form, same_look_classes, same_look_pairs
 from colloqua.llm.tokenize import encode_corpus
 from colloqua.llm.turns import speaker_turns
 from colloqua.operators.deliveries import keep_first_delivery
@@ -92,6 +92,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_look_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that looks like a different one, with its class."""
+    return same_look_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def p10_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in the one form of its look."""
     return one_form(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "form")
@@ -107,6 +112,7 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_passages": p9_passages,
     "p10_found": p10_found,
+    "p10_classes": p10_classes,
     "p10_forms": p10_forms,
 }
 

@@ -11,7 +11,7 @@ from colloqua.llm import leakage as L
 from colloqua.llm import personal
 from colloqua.llm.personal import find_personal_data, find_spans, mask, masked, normalised, transduce
 from colloqua.llm.queries import QUERIES
-from colloqua.llm.samelook import _target, form_rows, one_form, same_look_pairs, stable_class
+from colloqua.llm.samelook import _target, form_rows, one_form, one_forms, same_look_classes, same_look_pairs, tables
 from colloqua.llm.tokenize import VOCABULARY, decode, encode_corpus, encode_texts
 
 
@@ -214,10 +214,31 @@ def test_copies_make_no_pairs(spark):
     assert sorted(tuple(r) for r in same_look_pairs(df).collect()) == [(i, 99) for i in range(50)]
 
 
-def test_table_of_forms_is_bounded():
-    import re
+def test_forms_of_any_sequence():
+    """Ordering by class and recomposition by table against the normaliser, over whatever stands next to each other."""
+    rng = random.Random(9)
+    marks = [chr(c) for c in range(0x300, 0x370)] + ["\u0591", "\u05b0", "\u0e38", "\u1dca", "\u20d0", "\u3099", "\U0001d165"]
+    letters = list("aeiouAEOcnsyz gЕеИйеΑαΩ") + ["é", "ǭ", "ệ", "й", "ё", "ΐ", "ｅ", "ﬁ", "①", "　", "\u200b", "\n", "\r"]
+    jamo = [chr(c) for c in (0x1100, 0x1112, 0x1161, 0x1175, 0x11A8, 0x11C2, 0xAC00, 0xAC01, 0xD788)]
+    indic = ["\u0b47", "\u0b3e", "\u0b56", "\u0dd9", "\u0dcf", "\u0dca", "\u1025", "\u102e", "\u0915", "\u093c", "\U00011131", "\U00011127"]
+    texts = ["".join(rng.choice(rng.choice((letters, marks, marks, jamo, indic))) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    texts += ["e" + "\u0323\u0301" * 3000, "\u0301" * 50, "\u1161" * 50, "x" * 200000 + "é", "", None, "\ud83d".encode("utf-8", "replace").decode()]
+    for at in range(0, len(texts), 97):
+        part = texts[at : at + 97]
+        assert one_forms(part) == [None if t is None else form(t) for t in part]
 
-    assert len(form_rows()) < 30_000
-    body = stable_class()
-    pattern = re.compile("[" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), body) + "]")
-    assert not [c for c in {r[0] for r in form_rows()} if pattern.match(c)]
+
+def test_every_code_point_alone():
+    import sys
+
+    codes = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    assert one_forms(codes) == [form(c) for c in codes]
+    assert len(form_rows()) < 30_000 and len(tables().pairs) < 1_500
+
+
+def test_classes(spark):
+    df = spark.createDataFrame(list(enumerate(["cafe\u0301", "café", "café", "cafe", None, " ", "\u00a0", "fine", "ｆine", "ｆｉne", "alone"], 1)), "doc_id int, text string").withColumn("key", F.lit(1)).withColumn("form_hash", F.lit(1))
+    got = sorted(map(tuple, same_look_classes(df).collect()))
+    assert got == [(1, 1, 2, 3), (2, 1, 2, 3), (3, 1, 2, 3), (8, 8, 3, 3), (9, 8, 3, 3), (10, 8, 3, 3)]
+    assert same_look_classes(df.limit(0)).count() == 0
+    assert one_form(df.withColumn("form", F.lit(3))).where("doc_id = 1").first().form == "café"
