@@ -1,38 +1,45 @@
 """Rebuilding conversations from message rows with keyed streaming state.
 
 The state is keyed by a bucket of rooms and a time block, so that a hot room is
-spread over its blocks and small rooms share a call. It buffers a key's rows, late ones
-included, until the event-time watermark has passed the end of a stretch of talk by the gap; then the stretch is cut out and
-emitted: as a validated conversation if it lies inside its block, else as an edge
-piece. Edge pieces, at most two a room and block and a few numbers each, are put
-together across blocks when the output is read.
+spread over its blocks and small rooms share a key. Rows that arrive, late ones
+included, are appended to the list in their key's state. Timers on the event-time
+watermark, one for each gap's length of time at most, look through it: stretches
+of talk whose end the watermark has passed by the gap are cut out and emitted, as
+a validated conversation if they lie inside their block, else as an edge piece,
+and what is still open goes on. Edge pieces, at most two a room and block and a
+few numbers each, are put together across blocks when the output is read.
 """
 
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from colloqua.functions.blanks import has_visible
 from colloqua.session import shared_path
 
 #: Length of a time block; many gaps long, so that most conversations lie inside one.
-BLOCK_US = 6 * 3_600_000_000
-_FAR = 4_000_000_000_000_000  # 2096: the event time that closes a finite input
-_NO_ID = -(1 << 62)
+BLOCK_SECONDS = 6 * 3600
+#: Keys a block's rooms are spread over, unless given; kept with a stream from its first start on.
+BUCKETS = 16
+_CLOSING = -1  # the bucket of the row that closes a finite input; no room has it
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
+SAID = "array<struct<us:bigint,id:bigint,side:int,text:string>>"
 PIECE = (
     "room string, first_us long, last_us long, edge boolean, sound boolean, n_msgs long, n_turns long, "
-    "first_id long, last_id long, first_side int, last_side int, asked boolean, replied boolean, answered boolean"
+    "first_id long, last_id long, first_side int, last_side int, asked boolean, replied boolean, answered boolean, "
+    f"said {SAID}"
 )
-ROW = "room string, bucket int, block long, at timestamp, us long, id long, side int, sound boolean, visible boolean"
+ROW = "room string, bucket int, at timestamp, us long, id long, side int, sound boolean, visible boolean, text string"
 
 
 def message_rows(
@@ -43,121 +50,217 @@ def message_rows(
     text: str = "msg",
     at: str = "create_time",
     tie: str = "row_id",
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
+    with_text: bool = False,
 ) -> DataFrame:
-    """The few columns the state needs. Rows without time are left out.
+    """The columns the state needs. Rows without time are left out.
 
-    ``sound``: the side is 0 or 1 and the talker isn't blank. ``buckets`` of rooms
-    share a key of the state; one for each shuffle partition unless given.
+    ``sound``: the side is 0 or 1 and the talker isn't blank. The text comes along
+    only where it is asked for.
     """
-    if buckets is None:
-        buckets = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    us = F.unix_micros(F.col(at).cast("timestamp"))
     return df.where(F.col(at).isNotNull()).select(
         F.col(room).cast("string").alias("room"),
         F.pmod(F.xxhash64(F.col(room).cast("string")), F.lit(buckets)).cast("int").alias("bucket"),
-        F.floor(us / F.lit(float(BLOCK_US))).cast("long").alias("block"),
         F.col(at).cast("timestamp").alias("at"),
-        us.alias("us"),
+        F.unix_micros(F.col(at).cast("timestamp")).alias("us"),
         F.col(tie).cast("long").alias("id"),
         F.col(side).cast("int").alias("side"),
         (F.coalesce(F.col(side).isin(0, 1), F.lit(False)) & has_visible(F.col(talker))).alias("sound"),
         has_visible(F.col(text)).alias("visible"),
+        (F.when(has_visible(F.col(text)), F.col(text)) if with_text else F.lit(None).cast("string")).alias("text"),
     )
 
 
-def piece(us: np.ndarray, ids: np.ndarray, side: np.ndarray, sound: np.ndarray, visible: np.ndarray) -> tuple:
-    """The PIECE fields after ``edge`` of rows in order."""
-    ids, side = ids[visible], side[visible]
-    n = len(ids)
+def stored_buckets(spark: SparkSession, checkpoint: str, wanted: int = BUCKETS) -> int:
+    """The number of buckets of the stream with this checkpoint: as it began, else as wanted.
+
+    A room's key mustn't change while its rows are in state, so the number is kept
+    beside the checkpoint, whatever the session's settings are at a restart.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}-buckets")
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(path):
+        return int(spark.read.text(str(path)).first()[0])
+    out = store.create(path, False)
+    out.write(bytearray(str(wanted).encode()))
+    out.close()
+    return wanted
+
+
+def piece(us: np.ndarray, ids: list, side: np.ndarray, sound: np.ndarray, visible: np.ndarray) -> tuple:
+    """The PIECE fields from ``sound`` to ``answered`` of rows in order."""
+    side, shown = side[visible], np.flatnonzero(visible)
+    n = len(shown)
     if not n:
         return bool(sound.all()), 0, 0, None, None, None, None, False, False, False
     users, replies = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     answered = bool(len(users) and len(replies) and users[0] < replies[-1])
     turns = 1 + int((side[1:] != side[:-1]).sum())
-    first, last = (None if i == _NO_ID else int(i) for i in (ids[0], ids[-1]))
     return (
-        bool(sound.all()), n, turns, first, last, int(side[0]), int(side[-1]),
+        bool(sound.all()), n, turns, ids[shown[0]], ids[shown[-1]], int(side[0]), int(side[-1]),
         bool(len(users)), bool(len(replies)), answered,
     )
 
 
-def _cut(block: int, rooms: list[str | None], data: np.ndarray, gap_us: int, watermark_us: int) -> tuple[list[tuple], np.ndarray]:
-    """Pieces whose end the watermark has passed by the gap, and the rows that stay.
+#: Columns of the numbers in state: place of the room, us, whether there is an id, id, side, sound, visible.
+_ROOM, _US, _HAS, _ID, _SIDE, _SOUND, _VISIBLE = range(7)
 
-    ``data`` has the columns place of the room in ``rooms``, us, id, side, sound, visible.
-    """
-    data = data[np.lexsort((data[:, 2], data[:, 1], data[:, 0]))]
-    apart = (np.diff(data[:, 1]) > gap_us) | (np.diff(data[:, 0]) != 0)
-    starts = np.concatenate(([0], np.flatnonzero(apart) + 1, [len(data)]))
-    low, high = block * BLOCK_US, (block + 1) * BLOCK_US
+
+class _Chunk:
+    """Rows in state: names of rooms, numbers by the columns above, and texts or None."""
+
+    def __init__(self, rooms: list, data: np.ndarray, texts: np.ndarray | None) -> None:
+        self.rooms, self.data, self.texts = rooms, data, texts
+
+    @classmethod
+    def of(cls, frame: pd.DataFrame) -> _Chunk:
+        codes, rooms = pd.factorize(frame["room"], use_na_sentinel=False)
+        ids = frame["id"]
+        data = np.column_stack([
+            codes, frame["us"], ids.notna(), pd.array(ids, dtype="Int64").fillna(0), frame["side"].fillna(-9), frame["sound"], frame["visible"],
+        ]).astype(np.int64)
+        texts = frame["text"].to_numpy(object) if frame["text"].notna().any() else None
+        return cls([None if pd.isna(r) else r for r in rooms], data, texts)
+
+    @classmethod
+    def joined(cls, chunks: list[_Chunk]) -> _Chunk:
+        if len(chunks) == 1:
+            return chunks[0]
+        rooms = list(dict.fromkeys(r for c in chunks for r in c.rooms))
+        place = {r: i for i, r in enumerate(rooms)}
+        data = np.concatenate([c.data for c in chunks])
+        data[:, _ROOM] = np.concatenate([np.array([place[r] for r in c.rooms])[c.data[:, _ROOM]] for c in chunks])
+        texts = None
+        if any(c.texts is not None for c in chunks):
+            texts = np.concatenate([np.full(len(c.data), None, dtype=object) if c.texts is None else c.texts for c in chunks])
+        return cls(rooms, data, texts)
+
+    def taken(self, rows: np.ndarray) -> _Chunk:
+        return _Chunk(self.rooms, self.data[rows], None if self.texts is None else self.texts[rows])
+
+    def packed(self) -> bytes:
+        return pickle.dumps((self.rooms, self.data, self.texts), protocol=5)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> _Chunk:
+        return cls(*pickle.loads(data))
+
+
+def _cut(block: int, chunk: _Chunk, gap_us: int, block_us: int, watermark_us: int) -> tuple[list[tuple], _Chunk | None]:
+    """Pieces whose end the watermark has passed by the gap, and the rows that stay."""
+    d = chunk.data
+    order = np.lexsort((d[:, _ID], d[:, _HAS], d[:, _US], d[:, _ROOM]))
+    d = d[order]
+    apart = (np.diff(d[:, _US]) > gap_us) | (np.diff(d[:, _ROOM]) != 0)
+    starts = np.concatenate(([0], np.flatnonzero(apart) + 1, [len(d)]))
+    low, high = block * block_us, (block + 1) * block_us
     out, stay = [], []
     for a, b in zip(starts[:-1], starts[1:]):
-        rows = data[a:b]
-        first, last = int(rows[0, 1]), int(rows[-1, 1])
+        rows = d[a:b]
+        first, last = int(rows[0, _US]), int(rows[-1, _US])
         if last + gap_us >= watermark_us:
-            stay.append(rows)
+            stay.append(order[a:b])
             continue
         edge = first - low <= gap_us or high - last <= gap_us
-        fields = piece(rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4] == 1, rows[:, 5] == 1)
+        ids = [int(i) if has else None for i, has in zip(rows[:, _ID].tolist(), rows[:, _HAS].tolist())]
+        visible = rows[:, _VISIBLE] == 1
+        fields = piece(rows[:, _US], ids, rows[:, _SIDE], rows[:, _SOUND] == 1, visible)
         if edge or (fields[0] and fields[-1]):
-            out.append((rooms[rows[0, 0]], first, last, edge, *fields))
-    return out, np.concatenate(stay) if stay else data[:0]
-
-
-def stream_conversations(rows: DataFrame, gap_seconds: int = 3600, delay: str = "0 seconds") -> DataFrame:
-    """PIECE rows of a stream of :func:`message_rows`; ``delay`` is how late a row may come."""
-    names = [f.split()[0] for f in PIECE.split(", ")]
-    gap_us = gap_seconds * 1_000_000
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        rooms, kept = pickle.loads(state.get[0]) if state.exists else ([], None)
-        data = [] if kept is None else [kept]
-        if not state.hasTimedOut:
-            for batch in batches:
-                batch = batch[batch["us"] < _FAR]
-                if len(batch):
-                    codes, own = pd.factorize(batch["room"], use_na_sentinel=False)
-                    place = {room: i for i, room in enumerate(rooms)}
-                    own = [None if pd.isna(room) else room for room in own]
-                    rooms += [room for room in own if room not in place]
-                    place = {room: i for i, room in enumerate(rooms)}
-                    codes = np.array([place[room] for room in own], dtype=np.int64)[codes]
-                    side = batch["side"].fillna(-9).to_numpy(np.int64)
-                    data.append(np.column_stack([codes, batch["us"], batch["id"].fillna(_NO_ID), side, batch["sound"], batch["visible"]]).astype(np.int64))
-        if not data:
+            said = None
+            if chunk.texts is not None:
+                shown = np.flatnonzero(visible).tolist()
+                texts = chunk.texts[order[a:b]]
+                said = [(int(rows[i, _US]), ids[i], int(rows[i, _SIDE]), texts[i]) for i in shown]
+            out.append((chunk.rooms[rows[0, _ROOM]], first, last, edge, *fields, said))
+    return out, chunk.taken(np.concatenate(stay)) if stay else None
+
+
+class _Rebuild(StatefulProcessor):
+    def __init__(self, gap_us: int, block_us: int) -> None:
+        self.gap_us, self.block_us = gap_us, block_us
+        self.names = [f.split()[0] for f in PIECE.split(", ")]
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "chunk binary")
+
+    def _wake(self, last_us: int, watermark_ms: int) -> None:
+        """A timer for the end of the last stretch, on a grid of gaps, so that a key is looked through a few times only."""
+        gap_ms = max(self.gap_us // 1000, 1)
+        due = (max((last_us + self.gap_us) // 1000, watermark_ms) // gap_ms + 1) * gap_ms
+        self.handle.registerTimer(due)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [f for f in rows if len(f)]
+        if key[0] != _CLOSING and frames:
+            chunk = _Chunk.of(frames[0] if len(frames) == 1 else pd.concat(frames))
+            self.rows.appendValue((chunk.packed(),))
+            self._wake(int(chunk.data[:, _US].max()), timerValues.getCurrentWatermarkInMs())
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        chunks = [_Chunk.unpacked(bytes(row[0])) for row in self.rows.get()]
+        if not chunks:
             return
-        mark = state.getCurrentWatermarkMs()
-        done, stay = _cut(key[1], rooms, np.concatenate(data), gap_us, mark * 1000)
-        if len(stay):
-            state.update((pickle.dumps((rooms, stay), protocol=5),))
-            closes = int(stay[:, 1].min() + gap_us) // 1000 + 1
-            state.setTimeoutTimestamp(max(closes, mark + 1, 1))
-        elif state.exists:
-            state.remove()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        done, stay = _cut(key[1], _Chunk.joined(chunks), self.gap_us, self.block_us, watermark * 1000)
         if done:
-            frame = pd.DataFrame(done, columns=names).astype(object)
+            if stay is None:
+                self.rows.clear()
+            else:
+                self.rows.put([(stay.packed(),)])
+                self._wake(int(stay.data[:, _US].max()), watermark)
+            frame = pd.DataFrame(done, columns=self.names).astype(object)
             yield frame.where(frame.notna(), None)
+        elif stay is None:
+            self.rows.clear()
 
+
+def stream_conversations(
+    rows: DataFrame, gap_seconds: int = 3600, delay: str = "0 seconds", block_seconds: int = BLOCK_SECONDS
+) -> DataFrame:
+    """PIECE rows of a stream of :func:`message_rows`; ``delay`` is how late a row may come.
+
+    Needs the state store of RocksDB, see :func:`with_rocksdb`. A room's rows have
+    to keep their bucket over restarts, see :func:`stored_buckets`.
+    """
+    block_us = block_seconds * 1_000_000
+    # The processor is also started on the driver, in a process that hasn't got the shipped package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return (
         rows.withWatermark("at", delay)
+        .withColumn("block", F.floor(F.col("us") / F.lit(float(block_us))).cast("long"))
         .groupBy("bucket", "block")
-        .applyInPandasWithState(step, PIECE, "rows binary", "append", "EventTimeTimeout")
+        .transformWithStateInPandas(_Rebuild(gap_seconds * 1_000_000, block_us), PIECE, "Append", "EventTime")
     )
 
 
-def join_pieces(pieces: DataFrame, gap_seconds: int = 3600) -> DataFrame:
-    """Conversations from PIECE rows: inner ones as they are, edges put together across blocks."""
-    columns = ["room", "first_id", "last_id", "n_msgs", "n_turns", "first_us", "last_us"]
-    inner = pieces.where(~F.col("edge")).select(*columns)
+def with_rocksdb(spark: SparkSession) -> SparkSession:
+    """A session of its own with RocksDB as state store, so that the caller's settings stay as they are."""
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    return own
+
+
+def _near(gap_seconds: int, w) -> Column:
+    return F.col("first_us") - F.lag("last_us").over(w) <= gap_seconds * 1_000_000
+
+
+def _members(pieces: DataFrame, gap_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """(edge pieces without texts, with ``__g``, what they belong to, and ``before``: the messages before them; conversations of them)."""
+    edges = pieces.where("edge").drop("said", "edge")
     w = Window.partitionBy("room").orderBy("first_us", "last_us")
-    near = F.col("first_us") - F.lag("last_us").over(w) <= gap_seconds * 1_000_000
-    edges = pieces.where("edge").withColumn("__brk", F.when(near, 0).otherwise(1))
+    edges = edges.withColumn("__brk", F.when(_near(gap_seconds, w), 0).otherwise(1))
     edges = edges.withColumn("__g", F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     before = Window.partitionBy("room", "__g").orderBy("first_us", "last_us").rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.withColumn("__side", F.last("last_side", ignorenulls=True).over(before)).withColumn(
-        "__asked", F.coalesce(F.max("asked").over(before), F.lit(False))
-    )
+    edges = edges.withColumns({
+        "__side": F.last("last_side", ignorenulls=True).over(before),
+        "__asked": F.coalesce(F.max("asked").over(before), F.lit(False)),
+        "before": F.coalesce(F.sum("n_msgs").over(before), F.lit(0)),
+    })
     at = F.struct("first_us", "last_us")
     seen: Column = F.col("n_msgs") > 0
     whole = edges.groupBy("room", "__g").agg(
@@ -170,10 +273,63 @@ def join_pieces(pieces: DataFrame, gap_seconds: int = 3600) -> DataFrame:
         F.min("sound").alias("__sound"),
         F.max(F.col("answered") | (F.col("__asked") & F.col("replied"))).alias("__answered"),
     )
-    return inner.unionByName(whole.where(F.col("__sound") & F.col("__answered")).select(*columns))
+    return edges, whole.where(F.col("__sound") & F.col("__answered")).drop("__sound", "__answered")
+
+
+def join_pieces(pieces: DataFrame, gap_seconds: int = 3600) -> DataFrame:
+    """Conversations from PIECE rows: inner ones as they are, edges put together across blocks."""
+    columns = ["room", "first_id", "last_id", "n_msgs", "n_turns", "first_us", "last_us"]
+    _, whole = _members(pieces, gap_seconds)
+    return pieces.where(~F.col("edge")).select(*columns).unionByName(whole.select(*columns))
+
+
+def join_messages(pieces: DataFrame, gap_seconds: int = 3600) -> DataFrame:
+    """``room, first_us, first_id, pos, us, id, role, text`` of each visible message of the conversations, ``pos`` from 1.
+
+    One row a message, so that a conversation of any length is never one row. What
+    is put together across blocks are numbers; texts are joined to them by piece.
+    """
+    edges, whole = _members(pieces, gap_seconds)
+    of = whole.select(F.col("room").alias("__r"), F.col("__g").alias("__h"), F.col("first_us").alias("__from"), F.col("first_id").alias("__first"))
+    placed = edges.join(of, edges["room"].eqNullSafe(of["__r"]) & (edges["__g"] == of["__h"])).select(
+        F.col("room").alias("__room"), F.col("first_us").alias("__us"), "before", "__from", "__first"
+    )
+    own = pieces.where("edge").select("room", "first_us", "said")
+    own = own.join(placed, own["room"].eqNullSafe(placed["__room"]) & (own["first_us"] == placed["__us"])).select(
+        "room", F.col("__from").alias("first_us"), F.col("__first").alias("first_id"), "before", "said"
+    )
+    inner = pieces.where(~F.col("edge")).select("room", "first_us", "first_id", F.lit(0).cast("long").alias("before"), "said")
+    said = inner.unionByName(own).select("room", "first_us", "first_id", "before", F.posexplode("said").alias("__k", "m"))
+    return said.select(
+        "room", "first_us", "first_id", (F.col("before") + F.col("__k") + 1).alias("pos"), "m.us", "m.id",
+        F.when(F.col("m.side") == 0, "user").otherwise("assistant").alias("role"), "m.text",
+    )
 
 
-def rebuild_conversations(df: DataFrame, gap_seconds: int = 3600, **names: str) -> DataFrame:
+def _pieces(df: DataFrame, gap_seconds: int, block_seconds: int, with_text: bool, **names) -> DataFrame:
+    """PIECE rows of a finite table, run through the stream."""
+    spark = df.sparkSession
+    base = shared_path(spark, "conversations")
+    message_rows(df, with_text=with_text, **names).write.parquet(f"{base}/rows")
+    rows = spark.read.schema(ROW).parquet(f"{base}/rows")
+    later = F.max("at") + F.expr(f"INTERVAL {2 * gap_seconds + 86400} SECONDS")
+    end = rows.agg(later.alias("at"), F.lit(_CLOSING).alias("bucket"), F.lit(0).cast("long").alias("us")).where("at IS NOT NULL")
+    rows.limit(0).unionByName(end, allowMissingColumns=True).write.mode("append").parquet(f"{base}/rows")
+    own = with_rocksdb(spark)
+    query = (
+        stream_conversations(own.readStream.schema(ROW).parquet(f"{base}/rows"), gap_seconds, block_seconds=block_seconds)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/pieces")
+        .option("checkpointLocation", f"{base}/state")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(PIECE).parquet(f"{base}/pieces")
+
+
+def rebuild_conversations(df: DataFrame, gap_seconds: int = 3600, block_seconds: int = BLOCK_SECONDS, **names) -> DataFrame:
     """``room, first_id, last_id, n_msgs, n_turns, first_us, last_us`` of each sound conversation.
 
     In each room, by time and tie, a conversation ends where the next row comes
@@ -183,39 +339,20 @@ def rebuild_conversations(df: DataFrame, gap_seconds: int = 3600, **names: str)
     visible rows; n_turns counts runs of one side.
 
     Rows without time are left out; a null room is a room; ties are ordered by
-    ``tie``, a null one first and given as null; repeated rows count each. An empty table gives an empty result.
+    ``tie``, a null one first and given as null; repeated rows count each; very
+    long texts are kept whole; other columns are ignored. An empty table gives an
+    empty result.
 
     A finite table is run through the stream as one micro-batch, for which no
-    watermark stands yet, so that no row is late, together with one row in the
-    far future; the batch after it sees the watermark that row sets and times out
-    every key. State is kept by RocksDB, outside the heap; input, checkpoint and
-    output lie in the shared folder, so that executors may be lost.
+    watermark stands yet, so that no row is late, together with one row, in a
+    bucket of its own, that is later than all others; the batch after it sees the
+    watermark that row sets, and every timer expires. State is kept by RocksDB,
+    outside the heap; input, checkpoint and output lie in the shared folder, so
+    that executors may be lost. A live stream is :func:`stream_conversations`.
     """
-    spark: SparkSession = df.sparkSession
-    base = shared_path(spark, "conversations")
-    rows = message_rows(df, **names)
-    end = spark.sql(
-        f"SELECT CAST(NULL AS STRING) AS room, -1 AS bucket, -1L AS block, timestamp_micros({_FAR}L) AS at, {_FAR}L AS us, "
-        "-1L AS id, 0 AS side, true AS sound, false AS visible"
-    )
-    rows.unionByName(end).write.parquet(f"{base}/rows")
-    stream = spark.readStream.schema(ROW).parquet(f"{base}/rows")
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        query = (
-            stream_conversations(stream, gap_seconds)
-            .writeStream.format("parquet")
-            .option("path", f"{base}/pieces")
-            .option("checkpointLocation", f"{base}/state")
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
-    return join_pieces(spark.read.schema(PIECE).parquet(f"{base}/pieces"), gap_seconds)
+    return join_pieces(_pieces(df, gap_seconds, block_seconds, False, **names), gap_seconds)
+
+
+def rebuild_messages(df: DataFrame, gap_seconds: int = 3600, block_seconds: int = BLOCK_SECONDS, **names) -> DataFrame:
+    """The messages of :func:`rebuild_conversations` in order and with their roles; columns as of :func:`join_messages`."""
+    return join_messages(_pieces(df, gap_seconds, block_seconds, True, **names), gap_seconds)

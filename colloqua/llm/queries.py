@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloqua.llm.conversations import rebuild_conversations
+from colloqua.llm.conversations import rebuild_conversations, rebuild_messages
 from colloqua.llm.leakage import find_leaks, find_passages
 from colloqua.llm.personal import find_personal_data, masked
 from colloqua.llm.repeats import width_table, collapse_repeats
@@ -61,11 +61,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "messages").select(
         "row_id", "room_name", "msg_svr_id", "msg", "create_time", "is_sender", "talker"
     )
-    found = rebuild_conversations(keep_first_delivery(messages))
+    return keep_first_delivery(messages)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rebuild_conversations(_delivered(spark, sf_dir))
     return found.select(
         F.col("room").alias("room_name"),
         F.col("first_id").alias("first_row_id"),
@@ -75,6 +79,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p6_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation's messages in order, with speaker roles."""
+    found = rebuild_messages(_delivered(spark, sf_dir))
+    return found.select(
+        F.col("room").alias("room_name"), F.col("first_id").alias("first_row_id"), F.col("pos").cast("long").alias("pos"),
+        F.col("id").alias("row_id"), "role", F.col("text").alias("content"),
+    )
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -108,6 +121,7 @@ QUERIES = {
     "p3_masked": p3_masked,
     "p5_found": p5_found,
     "p6_found": p6_found,
+    "p6_messages": p6_messages,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
@@ -128,6 +142,20 @@ def _one_slip(a: str, b: str) -> str:
 _WIDE, _PLAIN = (x.replace("'", "''") for x in width_table())
 _BARE = f"regexp_replace(low, '[\\p{{P}}\\p{{Sm}}\\p{{Sk}}{INVISIBLE}]+', '', 'g')"
 
+#: DuckDB: the visible rows of conversations whose rows are all sound, in order.
+SHOWN = f"""WITH {DELIVERIES},
+        ev AS (SELECT *, epoch_us(create_time) AS us, coalesce(regexp_matches(msg, '[^{INVISIBLE}]'), false) AS seen,
+            coalesce(is_sender IN (0, 1), false) AND coalesce(regexp_matches(talker, '[^{INVISIBLE}]'), false) AS sound
+            FROM ranked WHERE delivery = 1 AND create_time IS NOT NULL),
+        flagged AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 3600000000 THEN 0 ELSE 1 END AS brk
+            FROM ev WINDOW w AS (PARTITION BY room_name ORDER BY us, row_id)),
+        grouped AS (SELECT *, sum(brk) OVER (PARTITION BY room_name ORDER BY us, row_id ROWS UNBOUNDED PRECEDING) AS g FROM flagged),
+        good AS (SELECT room_name AS room, g AS conv FROM grouped GROUP BY room_name, g HAVING bool_and(sound)),
+        shown AS (SELECT *, row_number() OVER v AS pos, CASE WHEN lag(is_sender) OVER v = is_sender THEN 0 ELSE 1 END AS turn
+            FROM grouped JOIN good ON room IS NOT DISTINCT FROM room_name AND conv = g WHERE seen
+            WINDOW v AS (PARTITION BY room_name, g ORDER BY us, row_id))
+"""
+
 ORACLES = {
     "p5_found": f"""WITH {DELIVERIES},
         low AS (SELECT room_name, row_id, is_sender, epoch_us(create_time) AS us, lower(translate(msg, '{_WIDE}', '{_PLAIN}')) AS low FROM ranked
@@ -143,19 +171,12 @@ ORACLES = {
         SELECT arg_min(row_id, (us, row_id)) AS first_row_id, arg_max(row_id, (us, row_id)) AS last_row_id, count(*) AS n_events,
             max(us) // 1000000 - min(us) // 1000000 AS duration_s
         FROM grouped GROUP BY room_name, g HAVING count(*) >= 2""",
-    "p6_found": f"""WITH {DELIVERIES},
-        ev AS (SELECT *, epoch_us(create_time) AS us, coalesce(regexp_matches(msg, '[^{INVISIBLE}]'), false) AS seen,
-            coalesce(is_sender IN (0, 1), false) AND coalesce(regexp_matches(talker, '[^{INVISIBLE}]'), false) AS sound
-            FROM ranked WHERE delivery = 1 AND create_time IS NOT NULL),
-        flagged AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 3600000000 THEN 0 ELSE 1 END AS brk
-            FROM ev WINDOW w AS (PARTITION BY room_name ORDER BY us, row_id)),
-        grouped AS (SELECT *, sum(brk) OVER (PARTITION BY room_name ORDER BY us, row_id ROWS UNBOUNDED PRECEDING) AS g FROM flagged),
-        good AS (SELECT room_name AS room, g AS conv FROM grouped GROUP BY room_name, g HAVING bool_and(sound)),
-        shown AS (SELECT *, row_number() OVER v AS pos, CASE WHEN lag(is_sender) OVER v = is_sender THEN 0 ELSE 1 END AS turn
-            FROM grouped JOIN good ON room IS NOT DISTINCT FROM room_name AND conv = g WHERE seen
-            WINDOW v AS (PARTITION BY room_name, g ORDER BY us, row_id))
-        SELECT room_name, arg_min(row_id, pos) AS first_row_id, arg_max(row_id, pos) AS last_row_id,
+    "p6_found": f"""{SHOWN} SELECT room_name, arg_min(row_id, pos) AS first_row_id, arg_max(row_id, pos) AS last_row_id,
             count(*) AS n_msgs, CAST(sum(turn) AS BIGINT) AS n_turns
         FROM shown GROUP BY room_name, g
         HAVING min(pos) FILTER (WHERE is_sender = 0) < max(pos) FILTER (WHERE is_sender = 1)""",
+    "p6_messages": f"""{SHOWN}, kept AS (SELECT room_name AS kept_room, g AS kept_g, arg_min(row_id, pos) AS first_row_id FROM shown GROUP BY room_name, g
+            HAVING min(pos) FILTER (WHERE is_sender = 0) < max(pos) FILTER (WHERE is_sender = 1))
+        SELECT room_name, first_row_id, pos, row_id, CASE WHEN is_sender = 0 THEN 'user' ELSE 'assistant' END AS role, msg AS content
+        FROM shown JOIN kept ON kept_room IS NOT DISTINCT FROM room_name AND kept_g = g""",
 }

@@ -7,12 +7,14 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from oracle import assert_same, connect  # noqa: E402
 
-from colloqua.llm.conversations import rebuild_conversations  # noqa: E402
+from colloqua.llm import conversations as C  # noqa: E402
+from colloqua.llm.conversations import rebuild_conversations, rebuild_messages  # noqa: E402
 from colloqua.llm.queries import ORACLES, QUERIES  # noqa: E402
 from colloqua.llm.repeats import collapse_repeats  # noqa: E402
 from colloqua.llm.turns import bare, clean_speech, resolve_labels, speaker_turns  # noqa: E402
@@ -122,6 +124,76 @@ def test_conversations_against_plain_loop(spark):
     assert conversations(messages(spark, rows)) == sorted(want)
 
 
+def test_conversations_of_any_year(spark):
+    far = 73 * 365 * 86400  # 2096-12
+    df = messages(spark, [("a", 0, 0, "q", "t"), ("a", 1, 1, "r", "t"), ("a", far, 0, "q", "t"), ("a", far + 60 * 86400, 0, "q", "t"), ("a", far + 60 * 86400 + 1, 1, "r", "t"), ("b", -40 * 365 * 86400, 0, "q", "t"),
+                          ("b", -40 * 365 * 86400, 1, "r", "t")])
+    assert conversations(df) == [("a", 0, 1, 2, 2), ("a", 3, 4, 2, 2), ("b", 5, 6, 2, 2)]
+
+
+def test_messages_in_order_with_roles(spark):
+    block = 6 * 3600
+    df = messages(spark, [
+        ("a", 5, 1, "r", "t"), ("a", 0, 0, "q", "t"), ("a", 5, 1, " ", "t"), ("a", 9, 0, "x" * 100000, "t"), ("b", 0, 0, "alone", "t"),
+        (None, block - 2, 0, "q", "t"), (None, block - 1, 0, None, "t"), (None, block, 1, "r", "t"), (None, 2 * block - 3, 0, "apart", "t"), (None, block + 3000, 0, "more", "t")])
+    got = sorted((str(r.room), r.first_id, r.pos, r.id, r.role, r.text[:5]) for r in rebuild_messages(df).collect())
+    assert got == [("None", 5, 1, 5, "user", "q"), ("None", 5, 2, 7, "assistant", "r"), ("None", 5, 3, 9, "user", "more"),
+                   ("a", 1, 1, 1, "user", "q"), ("a", 1, 2, 0, "assistant", "r"), ("a", 1, 3, 3, "user", "xxxxx")]
+    assert rebuild_messages(df.limit(0)).collect() == []
+
+
+def test_live_stream(spark, tmp_path):
+    """Micro-batches with late rows, a restart under another number of shuffle partitions, and rows too late to count."""
+    rng = random.Random(11)
+    rows, t = [], 0
+    for i in range(300):
+        t += rng.choice([5, 60, 900, 3600, 3601, 4000, 9000])
+        rows.append((rng.choice("abc"), t, rng.randrange(2), f"m{i}", "t"))
+    end = [("z", rows[-1][1] + 40 * 86400, 0, "end", "t")]
+    late = [r for r in rows if rng.random() < 0.1]
+    parts, left = [], [r for r in rows if r not in late]
+    while left:
+        parts.append(left[:40])
+        left = left[40:]
+        # A late row comes one part after its own; the watermark waits that long.
+        parts[-1] += [r for r in late if len(parts) > 1 and r[1] <= parts[-2][-1][1] and r not in sum(parts, [])]
+    parts[-1] += [r for r in late if r not in sum(parts, [])]
+    assert sum(parts[k][0][1] < parts[k - 1][-1][1] or any(r[1] < parts[k - 1][39][1] for r in parts[k]) for k in range(1, len(parts))) > 2
+    folder, state, out = (str(tmp_path / n) for n in ("rows", "state", "out"))
+    buckets = C.stored_buckets(spark, state, 5)
+    ids = {r: i for i, r in enumerate(rows + end)}
+
+    def feed(part):
+        df = messages(spark, rows + end).where(F.col("row_id").isin([ids[r] for r in part]))
+        C.message_rows(df, buckets=C.stored_buckets(spark, state, 7)).coalesce(1).write.mode("append").parquet(folder)
+
+    def drive(partitions):
+        own = C.with_rocksdb(spark)
+        own.conf.set("spark.sql.shuffle.partitions", partitions)
+        stream = C.stream_conversations(own.readStream.schema(C.ROW).option("maxFilesPerTrigger", 1).parquet(folder), delay="10 days")
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    for k, part in enumerate(parts):
+        feed(part)
+        drive("3" if k % 2 else "4")
+    feed(end)
+    drive("2")
+    feed([rows[0]])  # the watermark is past it: neither counted again nor the start of anything
+    drive("2")
+    assert buckets == 5 == C.stored_buckets(spark, state, 9)
+    whole = conversations(messages(spark, rows))
+    got = sorted((str(r.room), r.first_id, r.last_id, r.n_msgs, r.n_turns) for r in C.join_pieces(spark.read.schema(C.PIECE).parquet(out)).collect())
+    assert got == whole and len(whole) > 10
+
+
+def test_settings_of_the_session_stay(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    C.with_rocksdb(spark)
+    assert spark.conf.get(key, None) == before
+
+
 @pytest.mark.parametrize("text, label, out", [
     ("[00:31.72] Um, um, morning!", None, "morning"), ("00:00:15.100 like, I like the quiet", None, "ilikethequiet"), ("用户：嗯…额，名额只有3个", "用户", "名额只有3个"),
     ("my （掌声） train ♪ is late, you know.", None, "mytrainislate"), ("那个，那个文件发我一下，那个。", None, "那个文件发我一下"), ("uhh - uh, SPEAKER", None, "speaker"),
