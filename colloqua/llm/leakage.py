@@ -146,17 +146,17 @@ def fingerprints(texts: Sequence[str], view: View, passes: np.ndarray | None = N
         for j in range(view.k):
             hashes = hashes * _BASE + values[j : j + len(hashes)]
         hashes = _mixed(hashes)
-    least, at = hashes[:n].copy(), np.arange(n)
+    least = hashes[:n].copy()
     for j in range(1, view.window):
-        less = hashes[j : j + n] < least
-        least[less] = hashes[j : j + n][less]
-        at[less] = np.flatnonzero(less) + j
-    at = at[text[:n] == text[view.least - 1 :]]
-    new = np.ones(len(at), dtype=bool)
-    new[1:] = at[1:] != at[:-1]
-    at = at[new]
+        np.minimum(least, hashes[j : j + n], out=least)
+    kept = text[:n] == text[view.least - 1 :]
     if passes is not None:
-        at = at[_passing(hashes[at], passes)]
+        # Looked up once for each run of windows with one least hash.
+        new = np.concatenate(([True], least[1:] != least[:-1]))
+        kept &= _passing(least[new], passes)[np.cumsum(new) - 1]
+    windows = np.flatnonzero(kept)
+    at = windows + np.argmin(hashes[windows[:, None] + np.arange(view.window)], axis=1)
+    at = at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
     owner = text[at]
     ranks = at[:, None] + np.arange(-view.around, view.k + view.around)
     inside = (ranks >= 0) & (ranks < len(values))
