@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import difflib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 import pandas as pd
@@ -12,24 +12,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloqua.operators.islands import blocked_islands
+from colloqua.session import staged
 
 #: Seconds of a call's time block.
 BLOCK_SECONDS = 600
 
 #: What the two sides of a transcript are called.
 USER_NAMES = ("user", "用户", "human", "customer", "caller", "client", "客户", "访客")
-ASSISTANT_NAMES = ("assistant", "助手", "助理", "ai", "bot", "agent", "客服")
+ASSISTANT_NAMES = ("assistant", "助手", "助理", "ai", "bot", "agent", "客服", "support", "operator", "customersupport", "customerservice")
+#: The speaker of segments that have no label at all.
+UNKNOWN = "unknown"
 #: Phrases that say nothing when punctuation sets them off.
 STOCK_PHRASES = {
     "you know", "i mean", "like", "you see", "sort of", "kind of", "basically", "literally",
     "就是说", "你知道吧", "那个", "怎么说呢", "怎么讲呢", "你知道", "就是", "然后呢", "这个",
 }
 
-_CLOCK = re.compile(r"(?:[\[(（【<]\s*)?(?<![\d:.])\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?(?![\d:])(?:\s*[\])）】>])?")
-_SOUND = re.compile(r"\[[^\[\]]*\]|【[^【】]*】|\([^()]*\)|（[^（）]*）|<[^<>]*>|\*[^*\n]+\*|[♩♪♫♬]+")
+#: Beginnings of words that tell a sound, a voice or a silence, in the languages of the transcripts.
+SOUND_WORDS = (
+    "music", "song", "singing", "sings", "humming", "laugh", "chuckl", "giggl", "applau", "clap", "cheer", "nois", "sound of", "sound effect", "static", "beep",
+    "ringing", "rings", "phone ring", "knock", "click", "sigh", "cough", "sneez", "sniff", "crying", "sobb", "gasp", "breath", "whisper", "shout", "groan", "yawn",
+    "inaudib", "unintell", "indistinct", "crosstalk", "overlapping", "silen", "paus", "door open", "door clos", "door slam", "typing", "mumbl", "clears throat",
+    "musik", "lacht", "lachen", "applaus", "räusper", "husten", "hustet", "seufz", "stille", "rauschen", "unverständlich", "musique", "rires", "toux", "soupir", "bruit",
+    "música", "risas", "aplauso", "suspir", "ruido", "музык", "смех", "смеёт", "аплодисмент", "кашель", "вздох", "шум", "пауза", "тишина", "неразборчиво",
+)
+SOUND_WORDS_ZH = (
+    "音乐", "歌声", "唱歌", "哼", "笑声", "大笑", "轻笑", "笑）", "笑)", "掌声", "鼓掌", "欢呼", "噪", "杂音", "铃声", "哭", "叹气", "叹息", "咳", "喷嚏", "喘", "呼吸声", "低语", "喊", "哈欠",
+    "听不清", "不清楚", "停顿", "沉默", "静音", "背景音", "敲门", "脚步声",
+)
+
+_TIME = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?"
+#: A time in brackets, or a time code that no speaker says: with seconds and more, or with a fraction.
+_CLOCK = re.compile(rf"[\[(（【<]\s*{_TIME}\s*[\])）】>]|(?<![\d:.])\d{{1,3}}:\d{{2}}(?::\d{{2}}(?:[.,]\d{{1,3}})?|[.,]\d{{1,3}})(?![\d:])")
+_LEAD_CLOCK = re.compile(rf"\s*{_TIME}(?![\d:])[\s\-–—|]*")
+_SOUND = re.compile(r"\[[^\[\]]*\]|【[^【】]*】|<[^<>]*>|\*[^*\n]+\*|[♩♪♫♬]+")
+_ROUND = re.compile(r"\([^()]*\)|（[^（）]*）")
+_SOUND_WORD = re.compile(rf"(?<![^\W\d_])(?:{'|'.join(SOUND_WORDS)})|{'|'.join(map(re.escape, SOUND_WORDS_ZH))}", re.I)
 _LABEL = re.compile(r"\s*([A-Za-z一-鿿][\w .]{0,30}?)\s*[:：]\s*")
 _TRACK = re.compile(r"(?:speaker|spkr?|track|channel|声道|音轨)0*(\d+)")
-_SPLIT = re.compile(r"(\s+[-–—]+\s+|[，,。.…！!？?、；;：:—~～\n]+)")
+_SPLIT = re.compile(r"(\s+[-–—]+\s+|(?:(?<!\d)[,.:]|[,.:](?!\d)|[，。…！!？?、；;：—~～\n])+)")
 _HESITATION_WORD = re.compile(r"(?<![A-Za-z'’])(?:u+h*m+|u+h+|e+r+m*|h+m+|m{2,})(?![A-Za-z'’])", re.I)
 _HESITATION = re.compile(r"[嗯呃额唔呣\s]+")
 _HESITATION_LEAD = re.compile(r"^\s*[嗯呃唔呣]+")
@@ -45,40 +66,64 @@ def track_of(label: str) -> int | None:
     return int(m[1]) if m else None
 
 
+_ROLES = frozenset((*USER_NAMES, *ASSISTANT_NAMES))
+
+
 def _abbreviates(short: str, long: str) -> bool:
-    """Same initial, and the letters of one come in order in the other."""
-    if not short or len(short) < 2 or len(short) > len(long) or short[0] != long[0]:
+    """Same initial, and the letters of ``short`` come in order in ``long``."""
+    if len(short) < 3 or len(short) > len(long) or short[0] != long[0]:
         return False
     rest = iter(long)
     return all(c in rest for c in short)
 
 
+def _words(label: str) -> list[str]:
+    return [w for w in _EDGES.split(label.casefold()) if w]
+
+
 def similar(a: str, b: str) -> bool:
-    """Variants of one label: alike by initial and by their letters."""
-    if a == b:
+    """Variants of one label: alike by their initials and by their letters.
+
+    Equal but for punctuation; word for word with the same initials, one being
+    short for the other; a name without its other words; the abbreviation of a
+    role (usr, asst.); or a slip of letters.
+    """
+    x, y = bare_label(a), bare_label(b)
+    if x == y:
         return True
-    if a[:1] != b[:1]:
+    if not x or not y or x[0] != y[0]:
         return False
-    return _abbreviates(*sorted((a, b), key=len)) or difflib.SequenceMatcher(None, a, b).ratio() >= 0.75
+    if y in _ROLES and _abbreviates(x, y) or x in _ROLES and _abbreviates(y, x):
+        return True
+    u, v = _words(a), _words(b)
+    if len(u) == len(v) > 1 and all(p.startswith(q) or q.startswith(p) for p, q in zip(u, v)):
+        return True
+    if len(u) != len(v) and 1 in (len(u), len(v)) and u[0] == v[0] and len(u[0]) >= 3:
+        return True
+    return min(len(x), len(y)) >= 4 and difflib.SequenceMatcher(None, x, y).ratio() >= 0.75
 
 
-def resolve_labels(labels: list[str]) -> dict[str, str]:
-    """Label -> ``user``, ``assistant`` or ``track N`` within one transcript; unknown labels are left out.
+def resolve_labels(labels: Mapping[str, int] | list[str]) -> dict[str, str]:
+    """Label -> ``user``, ``assistant``, ``track N`` or the speaker's commonest label within one transcript.
 
-    Label variants and the known names are nodes; similar ones are united by
-    union-find, names of one side from the start. A cluster goes by the names in
-    it; a label in a cluster with both sides goes by the closest name.
+    ``labels`` tells how often each occurs. Label variants and the known names are
+    nodes; similar ones of one initial are united by union-find, names of one side
+    from the start, and never both sides. A cluster goes by the side of the names
+    in it, else by its commonest label, of equally common ones the least. A label
+    without a letter or digit is none.
     """
+    counts = labels if isinstance(labels, Mapping) else dict.fromkeys(labels, 1)
     found: dict[str, str] = {}
-    bare: dict[str, str] = {}
-    for label in labels:
-        own = bare_label(label)
+    plain: dict[str, str] = {}
+    for label in counts:
+        own = " ".join(_words(label))
         track = track_of(label)
         if track is not None:
             found[label] = f"track {track}"
-        elif own:
-            bare[label] = own[len("speaker"):] if own.startswith("speaker") and own != "speaker" else own
-    nodes = list(dict.fromkeys([*USER_NAMES, *ASSISTANT_NAMES, *bare.values()]))
+        elif any(c.isalnum() for c in own):
+            own = own[len("speaker "):] if own.startswith("speaker ") else own
+            plain[label] = bare_label(own) if bare_label(own) in _ROLES else own
+    nodes = list(dict.fromkeys([*USER_NAMES, *ASSISTANT_NAMES, *plain.values()]))
     parent = {n: n for n in nodes}
 
     def root(n: str) -> str:
@@ -90,17 +135,20 @@ def resolve_labels(labels: list[str]) -> dict[str, str]:
     for names in (USER_NAMES, ASSISTANT_NAMES):
         for name in names[1:]:
             parent[root(name)] = root(names[0])
+    sides = {"user", "assistant"}
     by_initial: dict[str, list[str]] = {}
     for n in nodes:
         for other in by_initial.setdefault(n[0], []):
-            if similar(n, other) and {root(n), root(other)} != {root("user"), root("assistant")}:
-                parent[root(other)] = root(n)
+            a, b = root(n), root(other)
+            if a != b and {a, b} != sides and similar(n, other):
+                # A side stays the root of its cluster.
+                parent[b if a in sides else a] = a if a in sides else b
         by_initial[n[0]].append(n)
-    for label, own in bare.items():
-        if root(own) == root("user"):
-            found[label] = "user"
-        elif root(own) == root("assistant"):
-            found[label] = "assistant"
+    common: dict[str, tuple[int, str]] = {}
+    for label, own in plain.items():
+        common[root(own)] = min(common.get(root(own), (0, label)), (-counts[label], label))
+    for label, own in plain.items():
+        found[label] = root(own) if root(own) in sides else common[root(own)][1].strip()
     return found
 
 
@@ -112,16 +160,31 @@ def _is_label(text: str) -> bool:
     if known is None:
         if len(_KNOWN) > 10_000:
             _KNOWN.clear()
-        known = _KNOWN[text] = bool(resolve_labels([text]))
+        known = _KNOWN[text] = track_of(text) is not None or resolve_labels([text]).get(text) in ("user", "assistant")
     return known
 
 
+def without_sounds(text: str) -> str:
+    """Text without sound annotations of any length: in square, pointed or Chinese brackets or between stars anything
+    with a letter, in round brackets what tells a sound."""
+    text = _SOUND.sub(lambda m: " " if any(c.isalpha() for c in m[0]) or not m[0][-1].isascii() and m[0][0] in "♩♪♫♬" else m[0], text)
+    return _ROUND.sub(lambda m: " " if _SOUND_WORD.search(m[0]) else m[0], text)
+
+
 def clean_speech(text: str) -> tuple[str | None, str]:
-    """(label the text begins with, clean text) of a segment."""
-    text = _CLOCK.sub(" ", text)
+    """(label the text begins with, clean text) of a segment.
+
+    Times go in brackets, as time codes, and in front; a time of day that is
+    spoken of stays. A leading label is known by its names, as any short stretch
+    before a colon looks like one.
+    """
     label = None
-    lead = _SOUND.sub(" ", text)
-    while (m := _LABEL.match(lead)) and _is_label(m[1].strip()):
+    lead = without_sounds(_CLOCK.sub(" ", text))
+    while True:
+        if m := _LEAD_CLOCK.match(lead):
+            lead = lead[m.end():]
+        if not ((m := _LABEL.match(lead)) and _is_label(m[1].strip())):
+            break
         label = label or m[1].strip()
         lead = lead[m.end():]
     kept, parts = [], _SPLIT.split(lead)
@@ -152,7 +215,7 @@ def clean_segments(df: DataFrame, call: str, seg: str, role: str, text: str, sta
             labels, contents, bares = [], [], []
             for r, t in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
                 lead, content = clean_speech(t)
-                labels.append((r.strip() if r and r.strip() else lead))
+                labels.append(r.strip() if r and any(c.isalnum() for c in r) else lead or "")
                 contents.append(content)
                 bares.append(bare(content))
             yield pa.RecordBatch.from_arrays(
@@ -163,7 +226,7 @@ def clean_segments(df: DataFrame, call: str, seg: str, role: str, text: str, sta
     clean = rows.mapInArrow(
         step, "call long, seg long, start_s double, end_s double, label string, content string, bare_text string"
     )
-    return clean.where("label IS NOT NULL AND bare_text <> ''")
+    return clean.where("bare_text <> ''")
 
 
 def speaker_turns(
@@ -178,63 +241,72 @@ def speaker_turns(
 ) -> DataFrame:
     """``call_id, turn_no, speaker, start_s, end_s, content, bare_text`` of each call's turns.
 
-    A segment's speaker is user or assistant, from its label or, without one, from
-    the label its text begins with; labels are resolved among those of its call,
-    track labels by ``calls``. Clock times, labels, sound annotations, hesitation
-    sounds and stock phrases set off by punctuation are taken out. Equal segments
-    (speaker, start, text) count once; segments left with no word are dropped, as
-    are those without start, text, call or a speaker that can be told. By start,
-    user first, then ``seg``, a turn is a longest run of one speaker, numbered
-    from 1 in its call; ``end_s`` is the latest known end.
-
-    Plan: cleaning is one pass. Labels go to a small table of distinct labels for
-    each call, which is resolved and joined back. Runs are formed over (call, ten
-    minutes), see :mod:`colloqua.operators.islands`, and numbered by a running
-    sum of the blocks' counts, so one call may hold any share of the rows.
+    A segment's speaker comes from its label or, without one, from the label its
+    text begins with; labels are resolved among those of its call, track labels by
+    ``calls``: to user or assistant, or, where they name neither, to the commonest
+    label of their cluster, or to ``unknown`` without any label. Clock times,
+    labels, sound annotations, hesitation sounds and stock phrases set off by
+    punctuation are taken out. Equal segments (speaker, start, text) count once;
+    segments left with no word are dropped, as are those without start or text. By
+    start, user first, then assistant, then others by name, then ``seg``, a turn is
+    a longest run of one speaker, numbered from 1 in its call; ``end_s`` is the
+    latest known end. A null call is a call; ties are settled by ``seg``; empty
+    tables give an empty result; other columns are ignored.
+
+    Plan: cleaning is one pass, written once. Labels with their counts go to a
+    small table for each call, which is resolved and joined back. Runs are formed
+    over (call, ten minutes), see :mod:`colloqua.operators.islands`, and numbered
+    by a running sum of the blocks' counts, so one call may hold any share of the
+    rows.
     """
-    clean = clean_segments(segments, call, seg, role, text, start, end)
-    sets = clean.groupBy("call").agg(F.collect_set("label").alias("labels"))
+    clean = staged(clean_segments(segments, call, seg, role, text, start, end), "segments")
+    counts = clean.where("label <> ''").groupBy("call", "label").agg(F.count("*").alias("n"))
+    sets = counts.groupBy("call").agg(F.collect_list(F.struct("label", "n")).alias("labels"))
 
     @F.pandas_udf("array<struct<label:string,side:string>>")
     def resolve(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for labels in batches:
-            yield pd.Series([[{"label": k, "side": v} for k, v in resolve_labels(sorted(x)).items()] for x in labels])
+            of = [resolve_labels({r["label"]: r["n"] for r in sorted(x, key=lambda r: r["label"])}) for x in labels]
+            yield pd.Series([[{"label": k, "side": v} for k, v in found.items()] for found in of])
 
     known = sets.select("call", F.explode(resolve("labels")).alias("r")).select("call", "r.label", "r.side")
     tracks = calls.groupBy(F.col(call).cast("long").alias("call")).agg(
         F.min("user_track").alias("ut"), F.min("assistant_track").alias("at")
     )
     known = known.join(tracks, "call", "left")
-    side = (
-        F.when(F.col("side").isin("user", "assistant"), F.col("side"))
-        .when(F.col("side") == F.concat(F.lit("track "), F.col("ut").cast("string")), "user")
+    speaker = (
+        F.when(F.col("side") == F.concat(F.lit("track "), F.col("ut").cast("string")), "user")
         .when(F.col("side") == F.concat(F.lit("track "), F.col("at").cast("string")), "assistant")
+        .otherwise(F.col("side"))
     )
-    known = known.select("call", "label", side.alias("speaker")).where("speaker IS NOT NULL")
+    known = known.select(F.col("call").alias("__call"), F.col("label").alias("__label"), speaker.alias("speaker"))
     spoken = (
-        clean.join(known, ["call", "label"])
-        .withColumn("side", F.when(F.col("speaker") == "user", 0).otherwise(1))
-        .groupBy("call", "side", "start_s", "bare_text")
+        clean.join(known, clean["call"].eqNullSafe(known["__call"]) & (clean["label"] == known["__label"]), "left")
+        .withColumn("speaker", F.coalesce("speaker", F.lit(UNKNOWN)))
+        .withColumn("side", F.when(F.col("speaker") == "user", 0).when(F.col("speaker") == "assistant", 1).otherwise(2))
+        .groupBy("call", "side", "speaker", "start_s", "bare_text")
         .agg(F.min_by(F.struct("seg", "content"), "seg").alias("one"), F.max("end_s").alias("end_s"))
-        .select("call", "side", "start_s", "end_s", "bare_text", "one.seg", "one.content")
+        .select("call", "side", "speaker", "start_s", "end_s", "bare_text", "one.seg", "one.content")
     )
     block = F.floor(F.col("start_s") / F.lit(float(BLOCK_SECONDS)))
-    said = F.struct("start_s", "side", "seg", "content", "bare_text")
+    order = ["start_s", "side", "speaker", "seg"]
+    said = F.struct(*order, "content", "bare_text")
     turns = blocked_islands(
-        spoken, ["call"], ["start_s", "side", "seg"], block, [],
-        lambda p, c: p["side"] == c["side"],
+        spoken, ["call"], order, block, [],
+        lambda p, c: p["speaker"] == c["speaker"],
         {"said": (F.collect_list(said), lambda c: F.flatten(F.collect_list(c))), "end_s": (F.max("end_s"), F.max)},
     ).withColumn("blk", F.floor(F.col("first.start_s") / F.lit(float(BLOCK_SECONDS))))
-    local = Window.partitionBy("call", "blk").orderBy("first.start_s", "first.side", "first.seg")
+    local = Window.partitionBy("call", "blk").orderBy(*[f"first.{c}" for c in order])
     running = Window.partitionBy("call").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     counts = turns.groupBy("call", "blk").agg(F.count("*").alias("n"))
-    before = counts.select("call", "blk", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"))
-    numbered = turns.withColumn("rank", F.row_number().over(local)).join(before, ["call", "blk"])
+    before = counts.select(F.col("call").alias("__call"), F.col("blk").alias("__blk"), F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"))
+    ranked = turns.withColumn("rank", F.row_number().over(local))
+    numbered = ranked.join(before, ranked["call"].eqNullSafe(before["__call"]) & (ranked["blk"] == before["__blk"]))
     ordered = F.array_sort("said")
     return numbered.select(
         F.col("call").alias(call),
         (F.col("before") + F.col("rank")).cast("int").alias("turn_no"),
-        F.when(F.col("first.side") == 0, "user").otherwise("assistant").alias("speaker"),
+        F.col("first.speaker").alias("speaker"),
         F.col("first.start_s").alias("start_s"),
         "end_s",
         F.array_join(F.transform(ordered, lambda s: s["content"]), " ").alias("content"),

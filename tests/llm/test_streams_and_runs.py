@@ -208,24 +208,39 @@ def test_clean_speech(text, label, out):
 def test_labels():
     got = resolve_labels(["USER", "usr", "speaker user", " assistant", "asst.", "Assitant", "AI", "助手", "用户", "spk1", "SPEAKER_00", "track 2", "Bob", "", "?"])
     assert got == {"USER": "user", "usr": "user", "speaker user": "user", "用户": "user", " assistant": "assistant", "asst.": "assistant", "Assitant": "assistant",
-                   "AI": "assistant", "助手": "assistant", "spk1": "track 1", "SPEAKER_00": "track 0", "track 2": "track 2"}
+                   "AI": "assistant", "助手": "assistant", "spk1": "track 1", "SPEAKER_00": "track 0", "track 2": "track 2", "Bob": "Bob"}
+
+
+def test_people_are_speakers_of_their_own():
+    got = resolve_labels({"Alice": 3, "ALICE": 5, "Al": 1, "Bob": 2, "Bob Smith": 4, "Dr. Lee": 2, "dr lee": 1, "R. Jones": 1, "Robert Jones": 2, "Customer Support": 1, "patient": 3, "Patent": 1, "张医生": 2, "Ann": 1, "Anthony": 1})
+    assert got == {"Alice": "ALICE", "ALICE": "ALICE", "Al": "Al", "Bob": "Bob Smith", "Bob Smith": "Bob Smith", "Dr. Lee": "Dr. Lee", "dr lee": "Dr. Lee", "R. Jones": "Robert Jones",
+                   "Robert Jones": "Robert Jones", "Customer Support": "assistant", "patient": "patient", "Patent": "patient", "张医生": "张医生", "Ann": "Ann", "Anthony": "Anthony"}
 
 
 def test_turns(spark):
     seg = "seg_id long, call_id long, seg_role string, seg_content string, ts_start double, ts_end double, speaker string, label string"
     rows = [
         (1, 1, "user", "Hello there", 10.0, 11.0), (2, 1, "SPEAKER_00", "Hi", 10.0, None), (3, 1, None, "用户: 嗯，好的", 12.0, 13.0), (4, 1, "usr", "Hello there!", 10.0, 11.0),
-        (5, 1, "user", None, 13.0, 14.0), (6, 1, "user", "um.", 14.0, 15.0), (7, 1, "Bob", "who", 15.0, 16.0), (8, 1, " ", "no label", 16.0, 17.0),
-        (9, 1, "user", "much later", 2000.0, 2001.0), (10, 2, "track 5", "x", 1.0, 2.0), (11, 3, "AI", "alone", 1.0, 2.0), (12, 1, "user", "no start", None, 2.0)]
+        (5, 1, "user", None, 13.0, 14.0), (6, 1, "user", "um.", 14.0, 15.0), (7, 1, "Bob", "who", 15.0, 16.0), (8, 1, " ", "no label", 16.0, 17.0), (13, 1, "bob", "is it", 15.5, 16.0),
+        (9, 1, "user", "much later", 2000.0, 2001.0), (10, 2, "track 5", "x", 1.0, 2.0), (11, 3, "AI", "alone", 1.0, 2.0), (12, 1, "user", "no start", None, 2.0),
+        (14, None, "Alice", "lost call", 1.0, 2.0), (15, None, "assistant", "answer", 1.0, 2.0)]
     df = spark.createDataFrame([(*r, "s", "l") for r in rows], seg)
     calls = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "call_id long, user_track int, assistant_track int")
     got = [tuple(r) for r in speaker_turns(df, calls).select("call_id", "turn_no", "speaker", "start_s", "bare_text").orderBy("call_id", "turn_no").collect()]
-    assert got == [(1, 1, "user", 10.0, "hellothere"), (1, 2, "assistant", 10.0, "hi"), (1, 3, "user", 12.0, "好的muchlater"), (3, 1, "assistant", 1.0, "alone")]
+    assert got == [(None, 1, "assistant", 1.0, "answer"), (None, 2, "Alice", 1.0, "lostcall"), (1, 1, "user", 10.0, "hellothere"), (1, 2, "assistant", 10.0, "hi"), (1, 3, "user", 12.0, "好的"), (1, 4, "Bob", 15.0, "whoisit"),
+                   (1, 5, "unknown", 16.0, "nolabel"), (1, 6, "user", 2000.0, "muchlater"), (2, 1, "track 5", 1.0, "x"), (3, 1, "assistant", 1.0, "alone")]
     assert speaker_turns(df.limit(0), calls).count() == 0
 
 
-@pytest.mark.parametrize("sound", ["[{}]", "【{}】", "({})", "（{}）", "<{}>", "*{}*"])
+@pytest.mark.parametrize("sound", ["[{}]", "【{}】", "(noise {})", "（笑声{}）", "<{}>", "*{}*"])
 def test_sound_annotations_of_any_length(sound):
     for n in (1, 60, 61, 5000):
         assert clean_speech(f"hello {sound.format('x' * n)} there")[1].split() == ["hello", "there"]
     assert "hello" in clean_speech("hello " + sound[0] * 50000)[1]
+
+
+@pytest.mark.parametrize("text, out", [
+    ("meet me at 10:30", "meet me at 10:30"), ("see [1] and (optional) args", "see [1] and (optional) args"), ("it is 2 * 3 * 4", "it is 2 * 3 * 4"), ("10:30 - hello", "hello"),
+    ("[10:30] user: 10:31 hello at 10:32:05.5", "hello at"), ("we (laughing) stayed", "we stayed"), ("（轻微的咳嗽）好", "好"), ("the string (and the rest)", "the string (and the rest)"), ("Alice: hi", "Alice: hi")])
+def test_content_stays(text, out):
+    assert clean_speech(text)[1].split() == out.split()
