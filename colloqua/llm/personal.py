@@ -32,8 +32,28 @@ SURNAMES_1 = (
     "王李张刘陈杨黄赵吴周徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾萧田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈姚卢姜崔钟谭陆汪范金石廖贾夏韦付方白"
     "邹孟熊秦邱江尹薛闫段雷侯龙史陶黎贺顾毛郝龚邵万钱严覃武戴莫孔向汤温阮康施文牛樊葛邢安齐伍庞颜倪庄聂章鲁岳翟殷詹申欧耿关兰焦俞左柳甘祝包宁"
 )
-#: Words that begin like a surname with a given name.
+#: Characters that are common in Chinese given names; where little else tells a name, all of it has to be of these.
+GIVEN = (
+    "伟芳娜敏静丽强磊军洋勇艳杰娟涛明超秀霞平刚桂英华玉萍红玲芬燕彩春菊兰凤洁梅琳素云莲雪荣爱妹香月媛瑞凡佳嘉琼勤珍莉岚欣怡婷雅慧颖倩薇梦琪瑶诗涵梓轩浩宇晨辰阳旭俊豪博文泽睿子墨思"
+    "远哲翔鹏飞龙斌波辉健峰宁建国志海亮东林森鑫凯帆诚悦然心妍可依语彤若曦恒毅立新胜民永良才发武力光昌庆义兴仁清友保富顺信德世广生福全祥松柏晓紫靖萌璐婧妮娇蕾倪昊宏振少大小春秋冬夏元启家伯仲叔季文"
+)
+#: Words that begin like a surname with a given name: with whatever follows, and alone.
 NOT_NAMES = ("程序", "白天", "江边", "温度", "许多", "陆续", "谢谢", "高兴", "马上", "任何", "方便", "于是", "安全", "文件", "金额", "关于", "何时", "包裹", "向前", "万一", "石头", "钱包", "龙头", "左边", "严重", "毛毯")
+NOT_NAMES_ALONE = frozenset((
+    "程序 程度 白天 白色 白酒 白菜 白费 江边 江湖 温度 温柔 温暖 温泉 许多 许可 陆续 陆地 谢谢 高兴 高考 高速 高级 高度 马上 马路 马桶 任何 任务 任意 任性 方便 方法 方案 方向 方式 方面 于是 安全 安排 安装 安静 安心 安慰 "
+    "文件 文章 文字 文档 文化 文本 金额 金钱 金属 金融 关于 关系 关闭 关心 关注 关键 关机 何时 何必 何况 何处 包裹 包子 包括 包含 包装 向前 向上 向下 向来 向导 万一 万能 石头 石油 钱包 钱财 龙头 龙虾 左边 左右 左手 "
+    "严重 严格 严禁 毛毯 毛病 毛巾 毛衣 周末 周一 周二 周三 周四 周五 周六 周日 周年 周围 王者 王子 李子 黄金 黄色 黄瓜 曾经 董事 叶子 苏州 范围 范例 夏天 夏季 付款 付费 付钱 付出 熊猫 段落 雷雨 雷达 史上 "
+    "陶瓷 黎明 贺卡 顾客 顾问 顾虑 武器 武术 戴上 戴着 莫非 莫名 孔雀 汤圆 康复 施工 牛奶 牛肉 齐全 庞大 颜色 章节 岳父 岳母 申请 申报 欧元 欧洲 兰花 焦虑 焦点 柳树 甘心 祝福 祝贺 祝你 祝大 宁愿 宁可 胡说 胡子 "
+    "孙子 孙女 罗列 田野 张开 张嘴 余额 余下 林子 韩国 韩语 郑重 成功 杜绝 钟头 钟表 唐突 萧条 丁点 贾宝"
+).split())
+#: Capitalised words that no full name holds.
+NOT_NAME_WORDS = frozenset(
+    "customer service support team all users user sir madam everyone everybody friend friends colleague colleagues very important urgent the this that our your my his her their new old please "
+    "great good best happy dear hello hi thanks thank regards sincerely monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december "
+    "street road avenue lane drive square north south east west university college school hospital bank company limited inc ltd gmbh department office manager director group committee board city county state republic united "
+    "kingdom states america china germany france spain russia europe asia london paris berlin madrid moscow beijing shanghai microsoft google windows android linux python java machine learning deep language model open source "
+    "sehr geehrte geehrter damen herren liebe lieber alle kunden madame monsieur mesdames messieurs cher chère clients estimado estimada señores todos clientes уважаемые друзья коллеги not only just from here there what when".split()
+)
 #: Endings of file names that look like mail domains.
 NOT_DOMAINS = {"png", "jpg", "jpeg", "gif", "webp", "svg", "bmp", "ico", "pdf", "zip", "js", "css", "json", "py"}
 _SPELLED = {c: str(i) for i, c in enumerate("零一二三四五六七八九")} | {"〇": "0", "幺": "1", "两": "2"}
@@ -165,21 +185,59 @@ _STREET_EN = re.compile(
     r"(?:, (?:Flat|Apt|Unit|Suite) \w{1,5})?(?:, [A-Z][a-z]+(?: [A-Z][a-z]+)?(?=[ ,\n]|$))?",
     re.I,
 )
+#: A number with a letter before it, or a word after it.
+_HOUSE_CUE = re.compile(r"[^\W\d_]\.?,? ?(?:[^\W\d_]{1,4}\.? ?)?\d|\d(?: ?(?:bis|ter))?,? [^\W\d_]", re.I)
 _STREET_CUE = re.compile(r"\d[A-Z]? [A-Z']", re.I)
+_UP = "[A-ZÀ-ÖØ-ÞĀĂĄĆČĎĐĒĖĘĚĞĪİŁŃŇŌŐŘŚŞŠŤŪŮŰŹŻŽА-ЯЁІЇЄ]"
+_LOW = "[A-Za-zÀ-ÖØ-öø-ÿĀ-žА-яЁёІіЇїЄє]"
+
+
+def _as_folded(text: str) -> str:
+    """A pattern's letters as :func:`transduce` leaves them, with look-alikes as Latin ones; ranges of letters stay."""
+    return "".join(part if part.startswith("[") else "".join(LOOK_ALIKES.get(c, c) for c in part) for part in re.split(r"(\[[^\]]*\])", text))
+
+
+_STREETS = [
+    # German: the kind of street ends its name, or stands behind it.
+    re.compile(rf"(?<![\w-])(?:{_UP}{_LOW}+[ -]){{0,3}}(?:{_UP}{_LOW}+(?:straße|strasse|str\.|weg|platz|allee|gasse|ring|ufer|damm)|(?<=[ -])(?:Straße|Strasse|Str\.|Weg|Platz|Allee|Gasse|Ring|Ufer|Damm)) ?"
+               rf"\d{{1,4}} ?[a-z]?(?![\w])(?:, (?:\d{{5}} )?{_UP}{_LOW}+)?"),
+    # French: number, kind, name, which begins with an article or a capital.
+    re.compile(rf"(?<![\w.-])\d{{1,4}}(?: ?(?:bis|ter))?,? (?i:rue|avenue|av\.|boulevard|bd|place|chemin|allée|impasse|quai|cours|route|square) (?:(?:de la|de l['’]|du|des|de|d['’]|la|le) ?{_LOW}|{_UP})(?:{_LOW}|['’-])*"
+               rf"(?: (?:(?:de|du|des|la|le) )?{_UP}(?:{_LOW}|['’-])+){{0,3}}(?:, (?:\d{{5}} )?{_UP}{_LOW}+)?"),
+    # Spanish: kind, name, number.
+    re.compile(rf"(?<![\w])(?:calle|c/|avenida|avda\.?|av\.|plaza|paseo|camino|ronda|carrera) ?(?:(?:de la|de los|de las|del|de|la|el) )?(?:{_LOW}|['’-])+(?: (?:(?:de|del|la|y) ){{0,2}}(?:{_LOW}|['’-])+){{0,3}},? ?(?:n[ºo°.]+ ?|núm\.? ?)?\d{{1,4}}(?![\w])"
+               rf"(?:, (?:\d{{5}} )?{_UP}{_LOW}+)?", re.I),
+    # Russian: kind, name, house; or a name and the kind behind it.
+    re.compile(_as_folded(rf"(?<![\w])(?:(?:ул\.?|улица|улице|проспект|проспекте|просп\.|пр-т|пр\.|переулок|пер\.|площадь|пл\.|шоссе|бульвар|набережная|наб\.) ?{_UP}(?:{_LOW}|-)+(?: {_UP}(?:{_LOW}|-)+){{0,2}}"
+               rf"|{_UP}(?:{_LOW}|-)+(?:ий|ый|ая|ой) (?:проспект|переулок|улица|площадь|бульвар|шоссе)),? ?(?:дом|д\.)? ?\d{{1,4}}(?:/\d{{1,3}})?(?![\d])(?:,? ?(?:кв\.|квартира|корп\.|к\.) ?\d{{1,4}}){{0,2}}"), re.I),
+]
 _ZN = rf"(?:(?:{'|'.join(SURNAMES_2)})[一-鿿]{{1,2}}|(?!{'|'.join(NOT_NAMES)})[{SURNAMES_1}][一-鿿]{{1,2}})"
-_EN = r"[A-Z][A-Za-z'’]+(?:[ -][A-Z][A-Za-z'’]+){1,3}"
+#: A name all of whose given name is common in names.
+_ZG = rf"(?:(?:{'|'.join(SURNAMES_2)})[{GIVEN}]{{1,2}}|(?!{'|'.join(NOT_NAMES)})[{SURNAMES_1}][{GIVEN}]{{1,2}})"
+_EN = rf"{_UP}(?:{_LOW}|['’])+(?:(?:[ -]|(?: (?:de|del|de la|van|von|van der|von der|da|di|dos|bin|al|el|ben) ))(?!(?:{'|'.join(('de', 'von', 'van'))})\b){_UP}(?:{_LOW}|['’])+){{1,3}}"
 _N = rf"(?P<n>{_ZN}|{_EN})"
+_END = r"(?= at the| speaking| here| from | / |[ ,.;:，。、；!！?？)）\n]|$)"
+_OPEN = r"(?:^|(?<=[\s，。！？、；：,.!?;:“”\"'（(]))"
 _NAMES = [
     re.compile(rf"(?:我叫|我的名字是|名字叫|名叫|联系人(?:是|写|填)?[::]? ?|收件人?(?:是|写|填)?[::]? ?|寄件人[::]? ?|姓名[::]? ?|交给|转交|转告){_N}"),
-    re.compile(rf"(?<![A-Za-z])(?:(?i:my name is|name is|this is|ask for|name ?:|attn:?|recipient ?:|contact ?:|dear|call me) )(?P<n>{_ZN}|{_EN})(?= at the| speaking| here| / |[ ,.，。!！\n]|$)"),
+    re.compile(rf"(?<![A-Za-z])(?:(?i:my name is|name is|name's|this is|ask for|name ?:|attn:?|attention:?|recipient ?:|contact ?:|dear|call me) )(?P<n>{_ZN}|{_EN}){_END}"),
     re.compile(r"(?<![A-Za-z])(?i:name ?:) ?" + _N),
     re.compile(rf"(?<![一-鿿])(?P<n>{_ZN})(?=明天|今天|后天|今晚|也来|先生|女士|小姐)"),
     re.compile(rf"(?<![A-Za-z])(?P<n>{_EN})(?=明天|今天|后天|今晚|也来|先生|女士|小姐)"),
     re.compile(rf"(?<![A-Za-z一-鿿])(?P<n>{_ZN}|{_EN})(?= (?i:will join|is speaking|speaking\b))"),
     re.compile(rf"(?<![A-Za-z一-鿿])(?P<n>{_ZN}|{_EN})(?=, (?i:(?:flat|apt|unit|suite) \w+, |\d{{1,5}} [a-z]))"),
+    # Introductions, signatures and titles, by language.
+    re.compile(rf"(?:我是|他是|她是|这是|这位是|叫做|认识|找|联系|问问|问一下|通知|告诉|@|来自|对方是|法人|患者|客户|同事|室友|老师|同学|朋友|给|和|跟|与)(?P<n>{_ZG})(?=[ ,.;，。、；！!？?\n：:（(]|的|吗|吧|说|就|来|去|在|$)"),
+    re.compile(rf"{_OPEN}(?P<n>{_ZG})(?=说|讲|问|告诉|表示|觉得|认为|来了|来不|不来|到了|没到|走了|去了|在家|在吗|在哪|请假|生病|结婚|住在|住|的电话|的手机|的地址|的微信|的邮箱|的生日|的身份|的简历|和|跟|与|给我|约我|发来|同学|老师|医生|律师|经理|教授|师傅|已经|昨天|刚才|刚刚|上周|下周|明早|明晚)"),
+    re.compile(rf"(?<![A-Za-z])(?i:(?:best|kind|warm|many)?,? ?(?:regards|wishes)|sincerely|yours(?: truly| faithfully)?|cheers|many thanks|thanks|signed|sent by|written by|from|to|by|with|cc)[,:]?\s(?P<n>{_EN})(?=\s*(?:$|\n|[,.;!?]))"),
+    re.compile(rf"(?<![A-Za-z])(?i:i am|i'm|i’m|we met|met|meet|met with|spoke to|spoke with|talked to|talk to|contact|call|email|ask|tell|told|thank|patient|client|tenant|mr|mrs|ms|miss|dr|prof)\.? (?P<n>{_EN})(?=[ ,.;:!?)\n]|'s|’s|$)"),
+    re.compile(rf"(?<!\w)(?P<n>{_EN})(?=(?:'s|’s) (?i:phone|number|email|address|birthday|house|flat|passport|account)| (?i:said|says|told|asked|called|wrote|writes|emailed|replied|phoned|lives|lived|works|worked|can't|cannot|won't|will|joined|left|signed|moved|arrived|is (?:coming|late|here|sick|my|our|the)|has|was))"),
+    re.compile(rf"(?<!\w)(?i:ich hei(?:ß|ss)e|ich bin|mein name ist|hei(?:ß|ss)t|herrn?|frau|grü(?:ß|ss)en?,?|gru(?:ß|ss),?|ihre?|deine?|je m['’]appelle|je suis|mon nom est|s['’]appelle|monsieur|madame|m\.|mme|cordialement,?|me llamo|mi nombre es|se llama|soy|señora?|sra?\.|saludos,?|atentamente,?)\s(?P<n>{_EN})(?=[ ,.;:!?)\n]|$)"),
+    re.compile(rf"(?<!\w)(?i:{_as_folded('меня зовут|моё имя|мое имя|его зовут|её зовут|ее зовут|зовут|господин|госпожа|с уважением,?|я —|пациент|клиент')})\s(?P<n>{_EN})(?=[ ,.;:!?)\n]|$)"),
 ]
+#: What all of the patterns above hold.
+_NAME_CUE = re.compile(rf"[{SURNAMES_1}][一-鿿]|{'|'.join(SURNAMES_2)}|{_UP}(?:{_LOW}|['’])+[ -]")
 _AROUND_EN = re.compile(r"^(?:[Tt]his [Ii]s|[Aa]sk [Ff]or|[Mm]y [Nn]ame [Ii]s|THIS IS|ASK FOR|MY NAME IS) ")
-_NAME_CUE = re.compile(r"叫|名字是|人|收件|姓名|交|转告|明天|今天|后天|今晚|也来|先生|女士|小姐|(?i:name|this is|ask for|attn|recipient|contact|dear|call me|will join|speaking|, \d|, flat|, apt|, unit|, suite)")
 
 
 def _real_date(digits: str) -> bool:
@@ -215,6 +273,10 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     if _STREET_CUE.search(text):
         for m in _STREET_EN.finditer(text):
             add("address", *m.span())
+    if _HOUSE_CUE.search(text):
+        for pattern in _STREETS:
+            for m in pattern.finditer(text):
+                add("address", *m.span())
     if _NAME_CUE.search(text):
         for pattern in _NAMES:
             for m in pattern.finditer(text):
@@ -223,6 +285,8 @@ def detect(text: str) -> list[tuple[str, int, int]]:
                     a += lead.end()
                     if " " not in text[a:b]:
                         continue
+                if text[a:b] in NOT_NAMES_ALONE or not NOT_NAME_WORDS.isdisjoint(re.split(r"[ -]", text[a:b].lower())):
+                    continue
                 add("name", a, b)
     return sorted(found, key=lambda f: f[1])
 

@@ -50,10 +50,11 @@ def test_pre_tests_change_no_result(monkeypatch):
     rng = random.Random(5)
     parts = [*"我叫 名字是 转告 收件 寄件人 姓名 交给 王小明 张伟 明天 先生 号 弄 鹤鸣巷 点 艾特 一七二零零零零八九 12b 7 221 +7 22 33 555 415 ٤١٤٦ 2671 A ' - . , : ( ) [ ] dot DOT at AT @ # example.com Baker oak Street lane Ada Byron dear one two".split(),
              "name: ", "this is ", "ask for ", " will join", " speaking", ", flat 2, ", "one two three four five six seven", " ", " ", " ", "\t"]
+    parts += ["Rosenweg ", "straße", "rue de ", " bis ", "Calle ", "n.º ", "ул. ", "д. ", "дом", "Иван Петров", "меня зовут ", "Ich bin ", "说", "李娜", "我是", "Regards, "]
     texts = [t for t, _ in CUED] + ["".join(rng.choice(parts) for _ in range(rng.randrange(2, 14))) for _ in range(20000)]
     with_tests = [find_spans(t) for t in texts]
     anything = re.compile("")
-    for name in ("_NAME_CUE", "_STREET_CUE", "_DIGITS_CUE"):
+    for name in ("_NAME_CUE", "_STREET_CUE", "_HOUSE_CUE", "_DIGITS_CUE"):
         monkeypatch.setattr(personal, name, anything)
     monkeypatch.setattr(personal, "_STEPS", [(pattern, to, lambda t: True) for pattern, to, _ in personal._STEPS])
     assert with_tests == [find_spans(t) for t in texts]
