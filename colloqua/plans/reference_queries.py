@@ -613,6 +613,63 @@ def protobuf_decode(spark, sf_dir):
     return rows.select("row_id", F.try_element_at(wire_texts(body), F.lit(1)).alias("msg"))
 
 
+@query("SELECT row_id, talker, is_sender, msg FROM messages WHERE is_forward = 0 AND msg IS NOT NULL")
+def sqlite_scan(spark, sf_dir):
+    """Stores written by tasks, scanned again with a filter that SQLite evaluates."""
+    from colloqua.session import shared_path
+    from colloqua.sinks.stores import write_sqlite
+    from colloqua.sources.sqlite import scan
+
+    path = shared_path(spark, "stores")
+    rows = table(spark, sf_dir, "messages").select("row_id", "talker", "is_sender", "msg", "is_forward")
+    write_sqlite(rows, path, "MSG", key="row_id")
+    path = path.removeprefix("file://")
+    return scan(spark, f"{path}/*.db", "MSG", ("row_id", "talker", "is_sender", "msg"), "row_id bigint, talker string, is_sender int, msg string", "is_forward = 0 AND msg IS NOT NULL")
+
+
+@query(f"""SELECT CAST(row_id AS VARCHAR) AS "MsgSvrID", coalesce(is_sender, 7) AS is_sender, talker, {stripped('msg')} AS msg, epoch_us(create_time) // 1000000 AS at FROM messages
+    WHERE type_name = 'text' AND {stripped('msg')} <> '' AND coalesce(talker, '') <> '' AND NOT ends_with(talker, '@chatroom')""")
+def wechat_scan(spark, sf_dir):
+    """Message stores of one messenger, unified."""
+    from colloqua.session import shared_path
+    from colloqua.sinks.stores import write_sqlite
+    from colloqua.sources.sqlite import read_wechat
+
+    path = shared_path(spark, "stores")
+    rows = table(spark, sf_dir, "messages").select(
+        F.col("row_id").cast("string").alias("MsgSvrID"), F.coalesce("is_sender", F.lit(7)).alias("IsSender"), F.unix_seconds("create_time").alias("CreateTime"),
+        F.col("talker").alias("StrTalker"), F.col("msg").alias("StrContent"), F.when(F.col("type_name") == "text", 1).otherwise(3).alias("Type"))
+    write_sqlite(rows, path, "MSG")
+    found = read_wechat(spark, path.removeprefix("file://"))
+    return found.select("MsgSvrID", "is_sender", "talker", "msg", F.unix_seconds("CreateTime").alias("at"))
+
+
+@query(f"""WITH t AS (SELECT row_id, create_time, talker, is_forward, row_id % 3 AS k, {stripped('msg')} AS x FROM messages WHERE create_time IS NOT NULL),
+    f AS (SELECT *, CASE WHEN x <> '' AND lower(x) NOT IN ('null', 'undefined') AND {share(n_of('x', T.MEANINGFUL), 'length(x)')} >= 0.3 THEN regexp_replace(x, ' {{2,}}', chr(10), 'g') ELSE '' END AS clean FROM t),
+    m AS (SELECT *, CASE WHEN k = 1 THEN '[图片]' || CASE WHEN coalesce(clean, '') <> '' THEN ' ' || clean ELSE '' END ELSE clean END AS msg FROM f)
+    SELECT row_id || '_7' AS "MsgSvrID", CASE WHEN k = 1 THEN 'image' ELSE 'text' END AS type_name, coalesce(nullif(talker, ''), 'unknown') AS talker, msg,
+      epoch_us(create_time) // 1000000 AS at, 'TG_chat_7' AS room_name, CASE WHEN is_forward = 1 THEN 1 ELSE 0 END AS is_forward FROM m WHERE msg <> ''""")
+def telegram_variant(spark, sf_dir):
+    """Exports written by tasks, read as variants: texts plain, in parts, and with a photo."""
+    from colloqua.session import shared_path
+    from colloqua.sinks.stores import write_telegram
+    from colloqua.sources.telegram import read_telegram
+
+    kind, text = F.col("row_id") % 3, F.coalesce("msg", F.lit(""))
+    rows = table(spark, sf_dir, "messages").where("create_time IS NOT NULL")
+    plain = F.struct(
+        F.col("row_id").alias("id"), F.lit("message").alias("type"), F.unix_seconds("create_time").cast("string").alias("date_unixtime"), F.col("talker").alias("from"),
+        F.when(F.col("is_forward") == 1, "x").alias("forwarded_from"), F.when(kind == 1, "photo.jpg").alias("photo"), text.alias("text"))
+    half = F.floor(F.length(text) / 2).cast("int")
+    parts = F.array(F.to_json(F.struct(F.lit("bold").alias("type"), F.substring(text, F.lit(1), half).alias("text"))), F.to_json(F.struct(F.lit("plain").alias("type"), F.substring(text, half + 1, F.length(text)).alias("text"))))
+    listed = F.regexp_replace(F.to_json(plain.dropFields("text")), r"\}$", "")
+    message = F.when(kind == 2, F.concat(listed, F.lit(', "text": ['), F.array_join(parts, ", "), F.lit("]}"))).otherwise(F.to_json(plain))
+    path = shared_path(spark, "exports")
+    write_telegram(rows.select(message.alias("message")), path, 7)
+    found = read_telegram(spark, path.removeprefix("file://"))
+    return found.select("MsgSvrID", "type_name", "talker", "msg", F.unix_seconds("CreateTime").alias("at"), "room_name", "is_forward")
+
+
 @query(f"WITH {DIALOGUES} SELECT dialogue_id AS id, length({LINES.format('ms')}) % 5 + 1 AS score FROM talk")
 def llm_scoring(spark, sf_dir):
     """U3 with the deterministic judge."""

@@ -18,7 +18,6 @@ RECORD = (
     "turns array<struct<role:string,text:string>>, instruction string, input string, output string, text string, expected string"
 )
 SEGMENT = "role string, content string, timestamp struct<start:double,`end`:double>"
-TELEGRAM = "name string, type string, id bigint, messages array<variant>"
 QQ_COLUMNS = ("40050", "40030", "40033", "40800")
 QQ = "ts bigint, peer bigint, sender bigint, body binary"
 WECHAT = "MsgSvrID string, IsSender int, CreateTime bigint, StrTalker string, StrContent string, Type int"

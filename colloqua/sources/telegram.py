@@ -1,12 +1,15 @@
-"""Telegram exports: one JSON document for each chat, read as variants."""
+"""Telegram exports: one JSON document for each chat, read as a stream of variants."""
 
 from __future__ import annotations
 
+import glob
 import json
 import os
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from colloqua import schemas
 from colloqua.functions import text as T
@@ -22,14 +25,163 @@ TYPES = {"message": "text", "service": "system"} | {key: kind for key, kind, _ i
 REQUIRED = ("name", "type", "id", "messages")
 
 
+_CHUNK = 1 << 20
+_BLANK = " \t\r\n"
+
+
+class _Scanner:
+    """Walks through a JSON document a value at a time, holding no more than a value and a chunk of it."""
+
+    def __init__(self, file) -> None:
+        self.file, self.text, self.at, self.done = file, "", 0, False
+        self.decode = json.JSONDecoder().raw_decode
+
+    def _more(self) -> bool:
+        chunk = self.file.read(_CHUNK)
+        self.text, self.at, self.done = self.text[self.at:] + chunk, 0, not chunk
+        return bool(chunk)
+
+    def peek(self) -> str:
+        """The next character that isn't blank, or the empty text at the end."""
+        while True:
+            while self.at < len(self.text) and self.text[self.at] in _BLANK:
+                self.at += 1
+            if self.at < len(self.text) or not self._more():
+                return self.text[self.at : self.at + 1]
+
+    def take(self, expected: str) -> str:
+        found = self.peek()
+        if not found or found not in expected:
+            raise ValueError(f"{expected} expected, {found or 'the end'} found")
+        self.at += 1
+        return found
+
+    def value(self) -> tuple[object, str]:
+        """(the next value, its text)."""
+        self.peek()
+        while True:
+            try:
+                found, end = self.decode(self.text, self.at)
+            except ValueError:
+                if not self._more():
+                    raise
+                continue
+            # A number at the end of a chunk may go on in the next.
+            if end < len(self.text) or self.done or not self._more():
+                text = self.text[self.at : end]
+                self.at = end
+                return found, text
+
+    def fields(self) -> Iterator[str]:
+        """Keys of the object that comes next; the caller takes each key's value."""
+        self.take("{")
+        if self.peek() == "}":
+            self.take("}")
+            return
+        while True:
+            key, _ = self.value()
+            self.take(":")
+            yield key
+            if self.take(",}") == "}":
+                return
+
+    def items(self) -> Iterator[str]:
+        """Texts of the elements of the array that comes next."""
+        self.take("[")
+        if self.peek() == "]":
+            self.take("]")
+            return
+        while True:
+            yield self.value()[1]
+            if self.take(",]") == "]":
+                return
+
+
+def header_of(file, whole: bool = True) -> dict | None:
+    """The required fields of an export, of ``messages`` whether it is a list; None for what is no export.
+
+    Without ``whole``, reading ends as soon as all fields have been seen.
+    """
+    found: dict = {}
+    scanner = _Scanner(file)
+    try:
+        if scanner.peek() != "{":
+            return None
+        for key in scanner.fields():
+            if key == "messages" and scanner.peek() == "[":
+                found[key] = True
+                if not whole and all(k in found for k in REQUIRED):
+                    return found
+                for _ in scanner.items():
+                    pass
+            else:
+                value, _ = scanner.value()
+                if key in REQUIRED:
+                    found[key] = False if key == "messages" else value
+                    if not whole and all(k in found for k in REQUIRED):
+                        break
+        if whole and scanner.peek():
+            return None
+    except (ValueError, RecursionError):
+        return None
+    return found if all(k in found for k in REQUIRED) and found["messages"] else None
+
+
 def is_export(path: str) -> bool:
-    """Whether a file is an export: an object with the required keys and a list of messages."""
+    """Whether a file begins like an export: an object with the required keys and a list of messages."""
     try:
         with open(path, encoding="utf-8") as file:
-            found = json.load(file)
-    except (OSError, ValueError):
+            return header_of(file, whole=False) is not None
+    except (OSError, UnicodeDecodeError):
         return False
-    return isinstance(found, dict) and all(k in found for k in REQUIRED) and isinstance(found["messages"], list)
+
+
+class _Export(InputPartition):
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+
+class TelegramReader(DataSourceReader):
+    """One partition for each export, read as a stream of messages, so that an export of any size takes little memory."""
+
+    def __init__(self, options: dict) -> None:
+        self.options = options
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Export(p) for p in sorted(glob.glob(self.options["path"]))] or [_Export("")]
+
+    def read(self, partition: _Export) -> Iterator[tuple]:
+        if partition is None or not partition.path:
+            return
+        try:
+            with open(partition.path, encoding="utf-8") as file:
+                head = header_of(file)
+        except UnicodeDecodeError:
+            head = None
+        if head is None:
+            return
+        with open(partition.path, encoding="utf-8") as file:
+            scanner = _Scanner(file)
+            for key in scanner.fields():
+                if key == "messages":
+                    for pos, text in enumerate(scanner.items()):
+                        yield str(head["name"]), str(head["id"]), pos, text
+                else:
+                    scanner.value()
+
+
+class TelegramSource(DataSource):
+    """``spark.read.format("telegram")`` with path (a glob): a row for each message of each export that parses as a whole."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "telegram"
+
+    def schema(self) -> str:
+        return "chat string, chat_id string, pos bigint, message string"
+
+    def reader(self, schema) -> TelegramReader:
+        return TelegramReader(dict(self.options))
 
 
 def _has(m: Column, key: str) -> Column:
@@ -77,9 +229,9 @@ def message_kind(m: Column) -> Column:
 
 def read_telegram(spark: SparkSession, folder: str, owner: str = "") -> DataFrame:
     """Unified messages of ``folder/*/result.json``; files without the required keys are left out."""
-    chats = spark.read.option("multiLine", True).schema(schemas.TELEGRAM).json(os.path.join(folder, "*", "result.json"))
-    chats = chats.where("name IS NOT NULL AND type IS NOT NULL AND id IS NOT NULL AND messages IS NOT NULL")
-    rows = chats.select(F.col("name").alias("chat"), F.col("id").alias("chat_id"), F.posexplode("messages").alias("pos", "m"))
+    spark.dataSource.register(TelegramSource)
+    messages = spark.read.format("telegram").option("path", os.path.join(folder, "*", "result.json")).load()
+    rows = messages.where("chat_id IS NOT NULL").withColumn("m", F.try_parse_json("message")).where("m IS NOT NULL")
     m = F.col("m")
     sender = F.coalesce(F.nullif(_get(m, "from"), F.lit("")), F.nullif(F.regexp_replace(_get(m, "from_id"), "^user", ""), F.lit("")), F.lit("unknown"))
     unix = F.try_variant_get(m, "$.date_unixtime", "string").try_cast("bigint")
@@ -88,13 +240,13 @@ def read_telegram(spark: SparkSession, folder: str, owner: str = "") -> DataFram
     ident = F.coalesce(_get(m, "id"), (F.col("pos") + 1).cast("string"))
     return rows.where(F.coalesce(_get(m, "type"), F.lit("message")) != "service").select(
         (F.col("pos") + 1).cast("bigint").alias("id"),
-        F.concat_ws("_", ident, F.col("chat_id").cast("string")).alias("MsgSvrID"),
+        F.concat_ws("_", ident, F.col("chat_id")).alias("MsgSvrID"),
         message_kind(m).alias("type_name"),
         F.when(F.lit(bool(owner)) & (_get(m, "from") == owner), 1).otherwise(0).alias("is_sender"),
         sender.alias("talker"),
         content.alias("msg"),
         F.lit("").alias("src"),
         at.alias("CreateTime"),
-        F.concat_ws("_", F.lit("TG"), "chat", F.col("chat_id").cast("string")).alias("room_name"),
+        F.concat_ws("_", F.lit("TG"), "chat", F.col("chat_id")).alias("room_name"),
         F.when(_has(m, "forwarded_from"), 1).otherwise(0).alias("is_forward"),
     ).where("msg <> ''")

@@ -3,6 +3,7 @@
 import json
 import sqlite3
 
+import pytest
 from pyspark.sql import functions as F
 
 from colloqua.config import load_settings, parse_jsonc
@@ -233,3 +234,67 @@ def test_texts_nested_forty_deep(spark):
     for _ in range(40):
         body = b"\x0a" + bytes([len(body)]) + body if len(body) < 128 else b"\x0a" + bytes([len(body) & 127 | 128, len(body) >> 7]) + body
     assert "deep" in harvest(body)
+
+
+def test_stores_of_any_keys(spark, tmp_path):
+    from colloqua.sources import sqlite as Q
+
+    with sqlite3.connect(tmp_path / "a.db") as store:
+        store.execute("CREATE TABLE t (id INTEGER PRIMARY KEY, x TEXT)")
+        store.executemany("INSERT INTO t VALUES (?, ?)", [(k, f"v{i}") for i, k in enumerate([-5, 1, 2, 3, 9_000_000_000_000_000_000, 9_000_000_000_000_000_001, 1704067200000000000])])
+    with sqlite3.connect(tmp_path / "b.db") as store:
+        store.execute("CREATE TABLE t (id TEXT PRIMARY KEY, x TEXT) WITHOUT ROWID")
+        store.executemany("INSERT INTO t VALUES (?, ?)", [("p", "w0"), ("q", "w1")])
+    with sqlite3.connect(tmp_path / "c.db") as store:
+        store.execute("CREATE TABLE t (id INT, x TEXT)")
+    everything = Q.scan(spark, str(tmp_path / "*.db"), "t", ("id", "x", Q.FILE, Q.ROWID), "id string, x string, _file string, _rowid bigint")
+    got = sorted((r.x, r._rowid) for r in everything.collect())
+    assert [x for x, _ in got] == [*(f"v{i}" for i in range(7)), "w0", "w1"] and got[0][1] == -5 and got[-1][1] is None
+    reader = Q.SqliteReader({"path": str(tmp_path / "*.db"), "table": "t", "columns": "x", "rows": "2"}, None)
+    parts = reader.partitions()
+    assert [(p.low, p.high) for p in parts if p.keyed] == [(-5, 1), (2, 3), (1704067200000000000, 9_000_000_000_000_000_000), (9_000_000_000_000_000_001, 9_000_000_000_000_000_001)]
+    assert sorted(x for p in parts for (x,) in reader.read(p)) == [x for x, _ in got]
+    counted = Q.query(spark, str(tmp_path / "[ab].db"), "SELECT count(*) AS n, max(x) AS top FROM t", ("n", "top"), "n bigint, top string")
+    assert sorted(map(tuple, counted.collect())) == [(2, "w1"), (7, "v6")]
+    (tmp_path / "d.db").write_bytes(b"no store at all" * 100)
+    assert [f[0] for f in Q.broken_stores(str(tmp_path / "*.db"), "t")] == [str(tmp_path / "d.db")]
+    assert Q.scan(spark, str(tmp_path / "*.db"), "t", ("x",), "x string", mode="permissive").count() == 9
+    with pytest.raises(Exception, match="database"):
+        Q.scan(spark, str(tmp_path / "*.db"), "t", ("x",), "x string").count()
+
+
+def test_wechat_numbers_in_the_order_of_stores(spark, tmp_path):
+    from colloqua.sources.sqlite import peers
+
+    for n, rows in enumerate([[("1", 9), ("2", 5), ("3", 5)], [("4", 1), ("5", 7000), ("6", 3)]]):
+        with sqlite3.connect(tmp_path / f"MSG{n}.db") as store:
+            store.execute("CREATE TABLE MSG (MsgSvrID TEXT, IsSender INT, CreateTime INT, StrTalker TEXT, StrContent TEXT, Type INT)")
+            store.executemany("INSERT INTO MSG VALUES (?, 0, ?, 'a', 'hi', 1)", rows)
+    (tmp_path / "MSG2.db").write_bytes(b"broken" * 500)
+    got = {r.MsgSvrID: r.id for r in read_wechat(spark, str(tmp_path)).collect()}
+    assert got == {"2": 1, "3": 2, "1": 3, "4": 4, "6": 5, "5": 6}
+    for n, who in enumerate([(1, 2, 2), (2, 3, None)]):
+        with sqlite3.connect(tmp_path / f"q{n}.db") as store:
+            store.execute('CREATE TABLE c2c_msg_table ("40030" INT)')
+            store.executemany("INSERT INTO c2c_msg_table VALUES (?)", [(w,) for w in who])
+    assert sorted(r.peer for r in peers(spark, str(tmp_path / "q*.db")).collect()) == [1, 2, 3]
+
+
+def test_exports_as_streams(tmp_path, monkeypatch):
+    import io
+
+    from colloqua.sources import telegram
+
+    items = [{"id": i, "text": "x" * i, "n": 10**i, "e": [1, {"a": "]}\\\""}]} for i in range(30)]
+    head = {"name": "n", "type": "t", "id": 5}
+    good = [json.dumps({**head, "messages": items}), json.dumps({"messages": items, **head}, indent=2), json.dumps({"x": {"messages": 1}, **head, "messages": []})]
+    bad = ["", "[]", "{", json.dumps(head), json.dumps({**head, "messages": {}}), good[0][:-1], good[0][:200], good[0] + "x", "nul"]
+    for size in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(telegram, "_CHUNK", size)
+        assert all(telegram.header_of(io.StringIO(t)) == {**head, "messages": True} for t in good)
+        assert [telegram.header_of(io.StringIO(t)) for t in bad] == [None] * len(bad)
+        for k, text in enumerate(good):
+            (tmp_path / f"{k}.json").write_text(text, encoding="utf-8")
+            rows = list(telegram.TelegramReader({}).read(telegram._Export(str(tmp_path / f"{k}.json"))))
+            assert [json.loads(r[3]) for r in rows] == (items if k < 2 else []) and all(r[:2] == ("n", "5") for r in rows)
+            assert telegram.is_export(str(tmp_path / f"{k}.json"))
