@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from colloqua.functions import dialogue as D
 from colloqua.operators.islands import blocked_islands
+from colloqua.session import staged
 
 BLOCK_SECONDS = 3600
+#: Rows of a room that are one block of the context window, besides the rows before it that it looks back to.
+BLOCK_ROWS = 1000
 _US = 1_000_000
 
 
@@ -58,57 +61,80 @@ def merge_bursts(rows: DataFrame, gap_seconds: float = 120, most: int = 2048) ->
     )
 
 
-def next_reply(rows: DataFrame, window_seconds: float = 300) -> DataFrame:
-    """``rows`` with ``reply_us, reply``: the first later row of side 1 within the window, else null.
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__k``, the room as a key that is never null, and ``__blk``, the block of time.
 
-    A row stands in its block and, if it comes within the window of the block's
-    start, as a look-ahead in the block before; time is descending, so that the
-    nearest follower is a running value.
+    Windows and joins on a key that may be null don't share a partitioning; this one does.
     """
+    return rows.withColumns({"__k": F.struct("room"), "__blk": _block()})
+
+
+def _replied(keyed: DataFrame, window_seconds: float) -> DataFrame:
+    """:func:`next_reply` of keyed rows, still partitioned by key and block."""
     reach = int(window_seconds * _US)
     step = BLOCK_SECONDS * _US
     back = -(-reach // step)
-    here = _block()
+    here = F.col("__blk")
     blocks = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(back)), lambda k: here - k),
         lambda b: (b == here) | (F.col("us") - (b + 1) * step <= reach),
     )
-    spread = rows.withColumn("__here", here).withColumn("__blk", F.explode(blocks))
-    w = Window.partitionBy("room", "__blk").orderBy(F.col("us").desc(), F.col("seq").desc())
+    spread = keyed.withColumn("__to", F.explode(blocks)).withColumn("__own", F.col("__to") == here).drop("__blk").withColumnRenamed("__to", "__blk")
+    w = Window.partitionBy("__k", "__blk").orderBy(F.col("us").desc(), F.col("seq").desc())
     answer = F.when(F.col("side") == 1, F.struct("us", "msg"))
     found = F.last(answer, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    out = spread.withColumn("__reply", found).where("__blk = __here")
+    out = spread.withColumn("__reply", found).where("__own").drop("__own")
     near = F.col("__reply.us") - F.col("us") <= reach
-    return out.withColumn("reply_us", F.when(near, F.col("__reply.us"))).withColumn(
-        "reply", F.when(near, F.col("__reply.msg"))
-    ).drop("__here", "__blk", "__reply")
+    return out.withColumns({"reply_us": F.when(near, F.col("__reply.us")), "reply": F.when(near, F.col("__reply.msg"))}).drop("__reply")
 
 
-def previous_rows(rows: DataFrame, n: int = 10) -> DataFrame:
-    """``rows`` with ``context``: up to ``n`` earlier rows of the room, oldest first.
+def next_reply(rows: DataFrame, window_seconds: float = 300) -> DataFrame:
+    """``rows`` with ``reply_us, reply``: the first later row of side 1 within the window, else null.
 
-    Inside a block by a bounded frame; rows from before it come from the blocks'
-    last ``n`` rows, carried over a window of blocks.
+    A row stands in its block and, if it comes within the window of the block's
+    start, as a look-ahead in the block before; time is descending, so that the
+    nearest follower is a running value.
     """
-    one = F.struct("us", "seq", "side", "msg")
-    blocked = rows.withColumn("__blk", _block())
-    w = Window.partitionBy("room", "__blk").orderBy("us", "seq")
-    local = blocked.withColumn("__own", F.collect_list(one).over(w.rowsBetween(-n, -1)))
-    last = Window.partitionBy("room", "__blk").orderBy(F.col("us").desc(), F.col("seq").desc())
-    tails = (
-        blocked.withColumn("__k", F.row_number().over(last))
-        .where(F.col("__k") <= n)
-        .groupBy("room", "__blk")
-        .agg(F.array_sort(F.collect_list(one)).alias("__tail"))
-    )
-    over = Window.partitionBy("room").orderBy("__blk").rowsBetween(-n, -1)
-    carried = tails.select(
-        F.col("room").alias("__r"), F.col("__blk").alias("__b"), F.flatten(F.collect_list("__tail").over(over)).alias("__before")
+    return _replied(_keyed(rows), window_seconds).drop("__k", "__blk")
+
+
+def _numbered(keyed: DataFrame, rows: DataFrame, to: str) -> DataFrame:
+    """Keyed rows numbered from 1 in their room: place in the block plus the rows of earlier blocks, counted in ``rows``."""
+    w = Window.partitionBy("__k").orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = _keyed(rows.select("room", "us")).groupBy("__k", "__blk").agg(F.count("*").alias("__n"))
+    before = counts.select(
+        F.col("__k").alias("__r"), F.col("__blk").alias("__b"), F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before")
     )
-    joined = local.join(carried, local["room"].eqNullSafe(carried["__r"]) & (local["__blk"] == carried["__b"]), "left")
-    both = F.concat(F.coalesce("__before", F.array().cast("array<struct<us:bigint,seq:bigint,side:int,msg:string>>")), "__own")
-    kept = F.slice(both, F.greatest(F.size(both) - n + 1, F.lit(1)), F.lit(n))
-    return joined.withColumn("context", kept).drop("__blk", "__own", "__r", "__b", "__before")
+    own = F.row_number().over(Window.partitionBy("__k", "__blk").orderBy("us", "seq"))
+    placed = keyed.withColumn("__own", own)
+    joined = placed.join(before, (placed["__k"] == before["__r"]) & (placed["__blk"] == before["__b"]))
+    return joined.withColumn(to, F.col("__before") + F.col("__own")).drop("__own", "__r", "__b", "__before")
+
+
+def row_numbers(rows: DataFrame, to: str = "idx") -> DataFrame:
+    """``rows`` numbered from 1 in their room by time: place in the block plus the rows of earlier blocks."""
+    return _numbered(_keyed(rows), rows, to).drop("__k", "__blk")
+
+
+def _with_context(numbered: DataFrame, n: int, wanted: Column) -> DataFrame:
+    """The ``wanted`` ones of numbered rows with ``context``, the ``n`` rows before.
+
+    A room's rows are cut into blocks of ``BLOCK_ROWS``, whatever their times; the
+    last ``n`` of a block stand in the next one too.
+    """
+    last = (F.col("__idx") - 1 + n) / F.lit(BLOCK_ROWS)
+    first = F.floor((F.col("__idx") - 1) / F.lit(BLOCK_ROWS)).cast("long")
+    spread = numbered.withColumn("__first", first).withColumn("__to", F.explode(F.sequence("__first", F.floor(last).cast("long"))))
+    w = Window.partitionBy("__k", "__to").orderBy("__idx").rowsBetween(-n, -1)
+    context = F.collect_list(F.struct("us", "seq", "side", "msg")).over(w)
+    return spread.withColumn("context", context).where((F.col("__to") == F.col("__first")) & wanted).drop("__first", "__to")
+
+
+def previous_rows(rows: DataFrame, n: int = 10) -> DataFrame:
+    """``rows`` with ``context``: up to ``n`` earlier rows of the room, oldest first."""
+    rows = staged(rows, "rows")  # read twice: whole, and for the numbers of rows
+    numbered = _numbered(_keyed(rows), rows, "__idx")
+    return _with_context(numbered, n, F.lit(True)).drop("__k", "__blk", "__idx")
 
 
 def build_dialogues(
@@ -119,9 +145,16 @@ def build_dialogues(
     The context takes its oldest messages within half the limit (W3). A dialogue
     that isn't valid is dropped; one that is too long is reduced (fn14) and has
     to be valid still.
+
+    Plan: bursts are written once. One exchange by room and block of time serves
+    replies and numbers, a second one by room and block of rows the context,
+    which only rows with a reply take along.
     """
-    rows = bursts.select("room", "us", F.col("seq").cast("long").alias("seq"), F.col("side").cast("int").alias("side"), "msg")
-    asked = next_reply(previous_rows(rows, n_context), window_seconds).where("side <> 1 AND reply IS NOT NULL")
+    rows = staged(bursts.select("room", "us", F.col("seq").cast("long").alias("seq"), F.col("side").cast("int").alias("side"), "msg"), "bursts")
+    replied = _replied(_keyed(rows), window_seconds)
+    asks = (F.col("side") != 1) & F.col("reply").isNotNull()
+    replied = replied.withColumn("reply", F.when(asks, F.col("reply"))).drop("reply_us")
+    asked = _with_context(_numbered(replied, rows, "__idx"), n_context, asks)
     role = lambda m: F.when(m["side"] == 1, "assistant").otherwise("user")
     context = F.transform("context", lambda m: D.message(role(m), m["msg"]))
     budget = D.budget_prefix(context, F.lit(limit // 2))
@@ -160,17 +193,3 @@ def split_conversations(rows: DataFrame) -> DataFrame:
     return runs.where("n >= 2").select(
         "room", F.col("first.us").alias("start_us"), F.col("first.seq").alias("start_seq"), F.col("last.us").alias("end_us"), "n", roles.alias("roles")
     )
-
-
-def row_numbers(rows: DataFrame, to: str = "idx") -> DataFrame:
-    """``rows`` numbered from 1 in their room by time: place in the block plus the rows of earlier blocks."""
-    blocked = rows.withColumn("__blk", _block())
-    counts = blocked.groupBy("room", "__blk").agg(F.count("*").alias("__n"))
-    w = Window.partitionBy("room").orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
-        F.col("room").alias("__r"), F.col("__blk").alias("__b"), F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before")
-    )
-    own = F.row_number().over(Window.partitionBy("room", "__blk").orderBy("us", "seq"))
-    joined = blocked.withColumn("__own", own)
-    joined = joined.join(before, joined["room"].eqNullSafe(before["__r"]) & (joined["__blk"] == before["__b"]))
-    return joined.withColumn(to, F.col("__before") + F.col("__own")).drop("__blk", "__own", "__r", "__b", "__before")
