@@ -28,6 +28,10 @@ class Settings:
     accept_score: int = 2
     batch_size: int = 10
     retries: int = 3
+    delay: float = 1.0
+    base_url: str = ""
+    model: str = ""
+    api_key: str = ""
     entropy_limit: float = 5.0
     alnum_rule: bool = True
 

@@ -181,15 +181,20 @@ def split_conversations(rows: DataFrame) -> DataFrame:
 
     A conversation begins at a user row whose predecessor is an assistant row.
     """
+    roles = F.array_join(F.transform("said", lambda s: F.when(s["side"] == 1, "a").otherwise("u")), "")
+    return conversations(rows.withColumn("msg", F.lit(None).cast("string"))).where("n >= 2").select(
+        "room", F.col("us").alias("start_us"), F.col("seq").alias("start_seq"), "end_us", "n", roles.alias("roles")
+    )
+
+
+def conversations(rows: DataFrame) -> DataFrame:
+    """A4: ``room, us, seq, end_us, n, said`` of each conversation, ``said`` with ``us, seq, side, msg`` of its rows in order."""
     runs = blocked_islands(
         rows, ["room"], ["us", "seq"], _block(), ["side"],
         lambda p, c: (F.coalesce(p["side"], F.lit(0)) != 1) | (c["side"] == 1),
         {
-            "said": (F.collect_list(F.struct("us", "seq", "side")), lambda c: F.flatten(F.collect_list(c))),
+            "said": (F.collect_list(F.struct("us", "seq", "side", "msg")), lambda c: F.flatten(F.collect_list(c))),
             "n": (F.count("*"), F.sum),
         },
     )
-    roles = F.array_join(F.transform(F.array_sort("said"), lambda s: F.when(s["side"] == 1, "a").otherwise("u")), "")
-    return runs.where("n >= 2").select(
-        "room", F.col("first.us").alias("start_us"), F.col("first.seq").alias("start_seq"), F.col("last.us").alias("end_us"), "n", roles.alias("roles")
-    )
+    return runs.select("room", F.col("first.us").alias("us"), F.col("first.seq").alias("seq"), F.col("last.us").alias("end_us"), "n", F.array_sort("said").alias("said"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import sys
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloqua.config import Settings
@@ -10,6 +14,7 @@ from colloqua.functions import dialogue as D
 from colloqua.functions import text as T
 from colloqua.operators import bursts as B
 from colloqua.operators import scoring, sets
+from colloqua.session import staged
 from colloqua.sinks import files as sinks
 from colloqua.sources import files as sources
 
@@ -30,8 +35,8 @@ def select_messages(df: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:
-    """Unified rows whose time doesn't parse, for quarantine."""
-    return df.where(F.col("CreateTime").isNull())
+    """Unified rows that don't parse, or whose time doesn't, for quarantine."""
+    return df.where(F.col("CreateTime").isNull() | F.col("_corrupt_record").isNotNull())
 
 
 def clean_raw(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -45,20 +50,92 @@ def clean_raw(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def scoring_pairs(df: DataFrame) -> DataFrame:
-    """A4: unified rows of files to ``id, messages`` conversations, in file order."""
-    w = Window.partitionBy("_file").orderBy("_seq")
-    turned = (F.lag("is_sender").over(w) == 1) & (F.col("is_sender") != 1)
-    rows = df.withColumn("__c", F.sum(F.when(turned, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    role = F.when(F.col("is_sender") == 1, "assistant").otherwise("user")
-    said = F.array_sort(F.collect_list(F.struct("_seq", role.alias("role"), F.col("msg").alias("content"))))
-    convs = rows.groupBy("_file", "__c").agg(F.transform(said, lambda s: D.message(s["role"], s["content"])).alias("messages"))
-    name = F.element_at(F.split("_file", "/"), -1)
-    return convs.where(F.size("messages") >= 2).select(F.concat_ws("_", name, F.col("__c").cast("string")).alias("id"), "messages")
+    """A4: unified rows of files to ``id, messages, _file, line_no`` conversations of two rows or more, in file order.
+
+    A conversation begins at a user row whose predecessor is an assistant row.
+    Files are cut into blocks of their rows' numbers, so that one may hold any
+    share of the rows; ``id`` counts a file's conversations from 0.
+    """
+    rows = df.select(F.col("_file").alias("room"), (F.col("_seq") * 1_000_000).alias("us"), F.col("id").alias("seq"), F.col("is_sender").alias("side"), "msg")
+    convs = staged(B.conversations(rows), "pairs")
+    name = F.element_at(F.split("room", "/"), -1)
+    role = lambda s: F.when(s["side"] == 1, "assistant").otherwise("user")
+    return B.row_numbers(convs).where("n >= 2").select(
+        F.concat_ws("_", name, (F.col("idx") - 1).cast("string")).alias("id"),
+        F.transform("said", lambda s: D.message(role(s), s["msg"])).alias("messages"), F.col("room").alias("_file"), F.col("idx").alias("line_no"),
+    )
 
 
-def clean_llm(pairs: DataFrame, judge: scoring.Judge, settings: Settings = Settings()) -> DataFrame:
-    """Conversations with a judge's score; see :func:`colloqua.operators.scoring.score_pairs`."""
-    return scoring.score_pairs(pairs, judge, settings.batch_size, settings.retries)
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """``id, messages, images, _file, line_no`` of dialogues in JSON lines, or of a tree or file of unified CSV."""
+    if path.endswith(".jsonl"):
+        return sources.read_dialogues(spark, path)
+    return scoring_pairs(sources.read_scoring_rows(spark, path))
+
+
+def clean_llm(
+    spark: SparkSession, path: str, out: str, judge: Callable, settings: Settings = Settings(), strategy: str = "scoring", scored: str | None = None
+) -> DataFrame:
+    """Dialogues judged and written to ``out``; what was there is moved aside.
+
+    By ``scoring``, pairs of at least the accepted score, all with their scores to
+    ``scored`` where it is given; the counters are returned. By ``segment``,
+    dialogues without the messages the judge removes, those without a verdict
+    left out; the number written is returned. An input without dialogues is an
+    error.
+    """
+    if strategy not in ("scoring", "segment"):
+        raise ValueError(f"no strategy: {strategy}")
+    pairs = read_pairs(spark, path)
+    if pairs.isEmpty():
+        raise ValueError(f"no dialogues in {path}")
+    sinks.keep_backup(spark, out)
+    if strategy == "segment":
+        kept = staged(scoring.segment_conversations(pairs, judge, keep_failed=False).where(F.size("messages") > 0), "segments")
+        sinks.write_chatml(kept.orderBy("_file", "line_no"), out, settings.system_prompt)
+        return kept.agg(F.count("*").alias("accepted"))
+    judged = staged(scoring.score_pairs(pairs, judge, settings.batch_size, settings.retries, settings.delay), "scored")
+    sinks.write_accepted(judged, out, settings.accept_score, settings.system_prompt)
+    if scored is not None:
+        sinks.keep_backup(spark, scored)
+        sinks.write_scored(judged, scored, ("_file", "line_no"))
+    return scoring.counters(judged, settings.accept_score)
+
+
+def clean(spark: SparkSession, path: str, out: str, judge: Callable | None, settings: Settings = Settings(), strategy: str = "scoring", scored: str | None = None) -> str:
+    """Cleaning by a judge, or by rules where there is none or judging fails; which of the two it was."""
+    if judge is not None:
+        try:
+            clean_llm(spark, path, out, judge, settings, strategy, scored)
+            return strategy
+        except Exception as error:  # noqa: BLE001 - any failure falls back to the rules
+            print(f"judged cleaning failed, cleaning by rules: {error}", file=sys.stderr)
+    found = clean_raw(sources.read_unified(spark, path), settings)
+    sinks.write_chatml(found.orderBy("room", "us", "seq"), out, settings.system_prompt)
+    return "rules"
+
+
+def batch_infer(spark: SparkSession, path: str, out: str, model: Callable[[str], str], model_path: str = "") -> DataFrame:
+    """``input, output`` of each record, written with the model's path and the time; a record without input fails the run."""
+    rows = sources.read_strict(spark, path)
+    given = F.get_json_object("record", "$.input")
+    checked = F.when(given.isNotNull(), given).otherwise(F.raise_error(F.concat(F.lit("no input in record "), F.col("line_no").cast("string"))))
+
+    @F.pandas_udf("string")
+    def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([model(t) for t in texts], dtype=object)
+
+    answered = staged(rows.select("_file", "line_no", checked.alias("input")).withColumn("output", answer("input")), "answers")
+    meta = F.struct(F.unix_micros(F.current_timestamp()).cast("double").__truediv__(1e6).alias("timestamp"), F.lit(model_path).alias("model_path"))
+    sinks.write_records(answered.orderBy("_file", "line_no").select(F.to_json(F.struct("input", "output", meta.alias("metadata"))).alias("record")), out)
+    return answered.select("input", "output")
+
+
+def mean_similarity(df: DataFrame, output: str = "output", expected: str = "expected") -> DataFrame:
+    """``similarity``: the mean share of characters that outputs and expected texts have in common; null without rows."""
+    either = (F.coalesce(F.col(output), F.lit("")) == "") | (F.coalesce(F.col(expected), F.lit("")) == "")
+    return df.agg(F.avg(F.when(either, 0.0).otherwise(T.char_jaccard(F.col(output), F.col(expected)))).alias("similarity"))
 
 
 def convert_records(df: DataFrame, prompt: str = "") -> DataFrame:
@@ -79,7 +156,7 @@ def mix(original: DataFrame, foreign: DataFrame, percentage: float, key: str = "
 def merge(spark: SparkSession, paths: list[str], out: str, deduplicate: bool = True) -> DataFrame:
     """U-5, A9, K7: records of files in order, copies (keys in any order) once."""
     frames = [sources.read_strict(spark, p) for p in paths]
-    identity = F.to_json(F.parse_json("record")) if deduplicate else None
+    identity = sets.canonical_json(F.col("record")) if deduplicate else None
     whole = sets.merge_records(frames, identity, ["line_no"])
     sinks.write_records(whole, out)
     return whole
@@ -87,7 +164,8 @@ def merge(spark: SparkSession, paths: list[str], out: str, deduplicate: bool = T
 
 def preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     """The first records, long texts cut."""
-    return sources.read_lines(spark, path).where("line <> ''").orderBy("_file", "line_no").limit(n).select(T.preview(F.col("line")).alias("line"))
+    lines = sources.read_lines(spark, path).where("line <> ''")
+    return sets.first_rows(lines, [F.col("_file"), F.col("line_no")], n).select(T.preview(F.col("line")).alias("line"))
 
 
 def stats(spark: SparkSession, path: str) -> DataFrame:

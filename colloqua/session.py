@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -29,7 +30,9 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset, as in tests, a temporary folder is made and set.
+    Only where that is unset and the session is local, as in tests, a temporary
+    folder is made and set; on a cluster no executor would find it on another
+    machine, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -37,6 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder; a cluster needs one that all its machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="colloqua-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     elif not spark.sparkContext.getCheckpointDir():
@@ -44,9 +49,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths made for running applications, which :func:`clean_shared` deletes.
+_MADE: dict[str, set[str]] = {}
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/colloqua-{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, deleted when the driver's program ends."""
+    path = f"{shared_folder(spark)}/colloqua-{label}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_clean_all)
+    _MADE.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def clean_shared(spark: SparkSession) -> int:
+    """Delete what this application has staged; results that read it can't be read any more. The number of paths deleted."""
+    context, n = spark.sparkContext, 0
+    for path in _MADE.pop(context.applicationId, set()):
+        found = context._jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(found.getFileSystem(context._jsc.hadoopConfiguration()).delete(found, True))
+    return n
+
+
+def _clean_all() -> None:
+    spark = SparkSession.getActiveSession()
+    try:
+        if spark is not None:
+            clean_shared(spark)
+    except Exception:  # noqa: BLE001 - at the end of the program the context may be gone
+        pass
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

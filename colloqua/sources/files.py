@@ -14,6 +14,7 @@ from colloqua import schemas
 from colloqua.functions import dialogue as D
 from colloqua.functions import text as T
 from colloqua.operators import sets
+from colloqua.sources.json_stream import JsonArraySource, Scanner
 
 #: Texts that the table reader of the scoring path takes for missing.
 NA_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -27,14 +28,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_unified(spark: SparkSession, path: str) -> DataFrame:
-    """A tree of unified CSV files. Rows that don't parse, or whose time doesn't, have null there.
+    """A tree of unified CSV files, or one. Rows that don't parse have their text in ``_corrupt_record``, times that don't are null.
 
     ``_file`` and ``_seq`` give the order inside a file: the message's own number,
     as Spark may split a file among tasks.
     """
     rows = (
-        spark.read.schema(schemas.UNIFIED_CSV)
-        .options(header=True, multiLine=True, quote='"', escape='"', recursiveFileLookup=True, pathGlobFilter="*.csv", mode="PERMISSIVE",
+        spark.read.schema(f"{schemas.UNIFIED_CSV}, _corrupt_record string")
+        .options(header=True, multiLine=True, quote='"', escape='"', recursiveFileLookup=True, pathGlobFilter="*.csv", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record",
                  ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
@@ -83,9 +84,10 @@ def read_dialogues(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_strict(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines all of which have to parse, or a JSON array, one record a row as JSON text.
+    """JSON lines all of which have to parse, or a JSON array, one record a row as JSON text.
 
-    A blank or broken line fails the whole read.
+    A blank or broken line, or a document that is no array, fails the whole read.
+    An array is read by one task as a stream, a record at a time.
     """
     if path.endswith(".jsonl"):
         lines = read_lines(spark, path)
@@ -93,9 +95,9 @@ def read_strict(spark: SparkSession, path: str) -> DataFrame:
             F.raise_error(F.concat(F.lit("broken record in line "), F.col("line_no").cast("string")))
         )
         return lines.select("_file", "line_no", checked.alias("record"))
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), F.parse_json("value").alias("v"))
-    listed = F.try_variant_get("v", "$", "array<variant>")
-    return whole.select("_file", F.posexplode(listed).alias("pos", "x")).select("_file", (F.col("pos") + 1).alias("line_no"), F.to_json("x").alias("record"))
+    spark.dataSource.register(JsonArraySource)
+    rows = spark.read.format("json_array").option("path", path).load()
+    return rows.select(F.col("file").alias("_file"), F.col("pos").cast("int").alias("line_no"), "record")
 
 
 def read_training(spark: SparkSession, path: str) -> DataFrame:
@@ -167,8 +169,12 @@ def detect_sources(folder: str) -> list[str]:
     return found
 
 
-def read_all(spark: SparkSession, folder: str, prefer: str | None = None, owner_id: str = "", owner_name: str = "", alnum_rule: bool = True) -> DataFrame | None:
-    """The preferred source if it is there, else the union of all; None without any."""
+def read_all(spark: SparkSession, folder: str, prefer: str | None = None, owner_id: str = "", owner_name: str = "", alnum_rule: bool = True,
+             failed: list[str] | None = None) -> DataFrame | None:
+    """The preferred source if it is there, else the union of all; None without any.
+
+    With a list ``failed``, sources that can't be read are named in it and the others go on; without, they raise.
+    """
     from colloqua.sources.sqlite import read_qq, read_wechat
     from colloqua.sources.telegram import read_telegram
 
@@ -179,13 +185,35 @@ def read_all(spark: SparkSession, folder: str, prefer: str | None = None, owner_
         "wx": lambda: read_wechat(spark, os.path.join(folder, "wechat")),
     }
     chosen = [prefer] if prefer in found else found
-    frames = [readers[name]() for name in chosen]
-    out = frames[0] if frames else None
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
+    out = None
+    for name in chosen:
+        try:
+            frame = readers[name]()
+            frame.isEmpty()
+        except Exception:  # noqa: BLE001 - whatever is wrong with one source, the others go on
+            if failed is None:
+                raise
+            failed.append(name)
+            continue
+        out = frame if out is None else out.unionByName(frame)
     return out
 
 
+def count_records(spark: SparkSession, path: str) -> int:
+    """Records of an extract: lines, elements of an array, or messages of a document that lists them."""
+    if path.endswith(".jsonl"):
+        return spark.read.text(path).count()
+    with open(path.removeprefix("file://"), encoding="utf-8") as file:
+        scanner = Scanner(file)
+        if scanner.peek() == "[":
+            return sum(1 for _ in scanner.items())
+        for key in scanner.fields():
+            if key == "messages" and scanner.peek() == "[":
+                return sum(1 for _ in scanner.items())
+            scanner.value()
+    return 0
+
+
 def source_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """Each source and whether it is there."""
     found = detect_sources(folder)

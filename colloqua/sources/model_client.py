@@ -48,6 +48,14 @@ class ModelClient:
             raise ConnectionError(self.base_url)
         return reply
 
+    def remove(self, prompt: str) -> str:
+        """A judge for :func:`colloqua.operators.scoring.segment_conversations`."""
+        ask = 'Name the messages that are no talk (calls, notices, gibberish). Answer with {"removed_indices": [...], "reason": ""} only.'
+        reply = self.chat([{"role": "system", "content": ask}, {"role": "user", "content": prompt}])
+        if reply is None:
+            raise ConnectionError(self.base_url)
+        return reply
+
     def models(self) -> list[str]:
         """Ids of the models served; empty if the service fails."""
         try:

@@ -13,6 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from colloqua import schemas
 from colloqua.functions import text as T
+from colloqua.sources.json_stream import Scanner
 
 #: Media keys in the order they are looked at, their type and their tag.
 MEDIA = (
@@ -25,85 +26,13 @@ TYPES = {"message": "text", "service": "system"} | {key: kind for key, kind, _ i
 REQUIRED = ("name", "type", "id", "messages")
 
 
-_CHUNK = 1 << 20
-_BLANK = " \t\r\n"
-
-
-class _Scanner:
-    """Walks through a JSON document a value at a time, holding no more than a value and a chunk of it."""
-
-    def __init__(self, file) -> None:
-        self.file, self.text, self.at, self.done = file, "", 0, False
-        self.decode = json.JSONDecoder().raw_decode
-
-    def _more(self) -> bool:
-        chunk = self.file.read(_CHUNK)
-        self.text, self.at, self.done = self.text[self.at:] + chunk, 0, not chunk
-        return bool(chunk)
-
-    def peek(self) -> str:
-        """The next character that isn't blank, or the empty text at the end."""
-        while True:
-            while self.at < len(self.text) and self.text[self.at] in _BLANK:
-                self.at += 1
-            if self.at < len(self.text) or not self._more():
-                return self.text[self.at : self.at + 1]
-
-    def take(self, expected: str) -> str:
-        found = self.peek()
-        if not found or found not in expected:
-            raise ValueError(f"{expected} expected, {found or 'the end'} found")
-        self.at += 1
-        return found
-
-    def value(self) -> tuple[object, str]:
-        """(the next value, its text)."""
-        self.peek()
-        while True:
-            try:
-                found, end = self.decode(self.text, self.at)
-            except ValueError:
-                if not self._more():
-                    raise
-                continue
-            # A number at the end of a chunk may go on in the next.
-            if end < len(self.text) or self.done or not self._more():
-                text = self.text[self.at : end]
-                self.at = end
-                return found, text
-
-    def fields(self) -> Iterator[str]:
-        """Keys of the object that comes next; the caller takes each key's value."""
-        self.take("{")
-        if self.peek() == "}":
-            self.take("}")
-            return
-        while True:
-            key, _ = self.value()
-            self.take(":")
-            yield key
-            if self.take(",}") == "}":
-                return
-
-    def items(self) -> Iterator[str]:
-        """Texts of the elements of the array that comes next."""
-        self.take("[")
-        if self.peek() == "]":
-            self.take("]")
-            return
-        while True:
-            yield self.value()[1]
-            if self.take(",]") == "]":
-                return
-
-
 def header_of(file, whole: bool = True) -> dict | None:
     """The required fields of an export, of ``messages`` whether it is a list; None for what is no export.
 
     Without ``whole``, reading ends as soon as all fields have been seen.
     """
     found: dict = {}
-    scanner = _Scanner(file)
+    scanner = Scanner(file)
     try:
         if scanner.peek() != "{":
             return None
@@ -161,7 +90,7 @@ class TelegramReader(DataSourceReader):
         if head is None:
             return
         with open(partition.path, encoding="utf-8") as file:
-            scanner = _Scanner(file)
+            scanner = Scanner(file)
             for key in scanner.fields():
                 if key == "messages":
                     for pos, text in enumerate(scanner.items()):

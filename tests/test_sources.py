@@ -111,7 +111,7 @@ def test_records_and_pipeline(spark, tmp_path):
         assert "broken record" in str(failed)
     array = tmp_path / "x.json"
     array.write_text('[{"a": 1}, {"b": [2]}]', encoding="utf-8")
-    assert [r.record for r in sources.read_strict(spark, str(array)).orderBy("line_no").collect()] == ['{"a":1}', '{"b":[2]}']
+    assert [r.record for r in sources.read_strict(spark, str(array)).orderBy("line_no").collect()] == ['{"a": 1}', '{"b": [2]}']
 
 
 def test_lines_of_split_files(spark, tmp_path):
@@ -283,14 +283,14 @@ def test_wechat_numbers_in_the_order_of_stores(spark, tmp_path):
 def test_exports_as_streams(tmp_path, monkeypatch):
     import io
 
-    from colloqua.sources import telegram
+    from colloqua.sources import json_stream, telegram
 
     items = [{"id": i, "text": "x" * i, "n": 10**i, "e": [1, {"a": "]}\\\""}]} for i in range(30)]
     head = {"name": "n", "type": "t", "id": 5}
     good = [json.dumps({**head, "messages": items}), json.dumps({"messages": items, **head}, indent=2), json.dumps({"x": {"messages": 1}, **head, "messages": []})]
     bad = ["", "[]", "{", json.dumps(head), json.dumps({**head, "messages": {}}), good[0][:-1], good[0][:200], good[0] + "x", "nul"]
     for size in (1, 7, 64, 1 << 20):
-        monkeypatch.setattr(telegram, "_CHUNK", size)
+        monkeypatch.setattr(json_stream, "_CHUNK", size)
         assert all(telegram.header_of(io.StringIO(t)) == {**head, "messages": True} for t in good)
         assert [telegram.header_of(io.StringIO(t)) for t in bad] == [None] * len(bad)
         for k, text in enumerate(good):
