@@ -1,9 +1,10 @@
 """Encoding by a public byte-level BPE tokenizer through merge replay.
 
-Texts are cut into words by the tokenizer's pattern. All distinct words of a
-stretch of the corpus are encoded at once: an inverted index leads from each
-token pair to the word positions it stands at, the merges present are applied in
-rank order, and each merge touches the neighbours of its positions only.
+Texts are cut into words by the tokenizer's pattern. The corpus's words are
+counted, and the merges are replayed over them in rank order: an inverted index
+leads from each token pair to the word positions it stands at, and each merge
+touches the neighbours of its positions only. The table of words and ids this
+gives goes to the workers, which map texts through it.
 """
 
 from __future__ import annotations
@@ -17,11 +18,18 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from colloqua.session import staged
 
 #: The pattern that cuts texts into words for this family of vocabularies (fixed value).
 WORD_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-#: Distinct words kept encoded in a Python worker; beyond it the memory starts anew.
+#: Words of the corpus's table that go to the workers, the commonest first, and their most bytes: 40 MB at the very most.
+TABLE_WORDS, WORD_BYTES = 1 << 17, 64
+#: Words the table replays in one shard.
+SHARD_WORDS = 1 << 14
+#: Other words kept encoded in a Python worker; beyond it the memory starts anew.
 MEMO_WORDS = 200_000
 
 
@@ -110,26 +118,52 @@ def _loaded(path: str) -> MergeReplay:
 _MEMO: dict[str, dict[str, list[int]]] = {}
 
 
-def encode_texts(texts: list[str | None], path: str = VOCABULARY) -> list[list[int]]:
-    """Ids of each text; empty and null texts have the empty list."""
+def encode_texts(texts: list[str | None], path: str = VOCABULARY, table: dict[str, list[int]] | None = None) -> list[list[int]]:
+    """Ids of each text, by the table's words and for others by a replay over those of these texts; empty and null texts have
+    the empty list."""
     import regex
 
     words = [regex.findall(WORD_PATTERN, t) if t else [] for t in texts]
+    table = table or {}
     memo = _MEMO.setdefault(path, {})
     if len(memo) > MEMO_WORDS:
         memo.clear()
-    new = {w for ws in words for w in ws if w not in memo}
-    memo.update(_loaded(path).encode_words(new))
+    new = {w for ws in words for w in ws if w not in table and w not in memo}
+    if new:
+        memo.update(_loaded(path).encode_words(new))
     out = []
     for ws in words:
         ids: list[int] = []
         for w in ws:
-            ids += memo[w]
+            ids += table.get(w) or memo[w]
         out.append(ids)
     return out
 
 
-def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> DataFrame:
+def word_table(df: DataFrame, text: str = "text", path: str = VOCABULARY, most: int = TABLE_WORDS) -> DataFrame:
+    """``word, n, ids`` of the ``most`` commonest words of all texts: the merges replayed over the corpus's distinct words.
+
+    Words are counted on the map side first, so that what is shuffled is distinct
+    words, not occurrences. Words of more than ``WORD_BYTES`` bytes are left out,
+    which bounds the table.
+    """
+    # The pattern means the same to the JVM with Unicode classes; a word it should cut otherwise would only miss the table.
+    cut = F.regexp_extract_all(F.col(text), F.lit(f"(?U){WORD_PATTERN}"), 0)
+    words = df.where(F.col(text) != "").select(F.explode(cut).alias("word")).where(F.octet_length("word").between(1, WORD_BYTES))
+    counted = words.groupBy("word").agg(F.count("*").alias("n"))
+    common = staged(counted.orderBy(F.col("n").desc(), "word").limit(most), "words")
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = pa.Table.from_batches(list(batches), schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
+        listed = shard["word"].to_pylist()
+        ids = _loaded(path).encode_words(listed)
+        yield from shard.append_column("ids", pa.array([ids[w] for w in listed], pa.list_(pa.int32()))).to_batches()
+
+    shards = max(1, -(-common.count() // SHARD_WORDS))
+    return common.repartition(shards, "word").mapInArrow(replay, "word string, n bigint, ids array<int>")
+
+
+def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, most: int = TABLE_WORDS) -> DataFrame:
     """``key, ids`` of each row: the text's token ids by the vocabulary at ``path``, without special tokens.
 
     Empty and null texts have the empty list, never null; strings of special
@@ -137,19 +171,22 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path:
     are encoded as they are. Repeated rows each come out; empty tables give an
     empty result; other columns are ignored.
 
-    Plan: one pass without a shuffle. The merges are replayed over the distinct
-    words of each Arrow batch that the worker hasn't met; as new words get rare
-    (their number grows far slower than the corpus), most of a batch is looked
-    up. Shuffling every word occurrence to a corpus-wide word table and back
-    would move many times the corpus to save that little work.
+    Plan: two passes. The first counts the corpus's words and replays the merges
+    over them, shard by shard, see :func:`word_table`; the second maps each text
+    through that table, which is of bounded size and sent to the workers, and
+    moves nothing. Words outside the table, rare or very long, are replayed where
+    they stand, by the same replay, so that the ids don't depend on its size.
     """
     kind = df.schema[key].dataType.simpleString()
+    found = word_table(df, text, path, most).select("word", "ids").toArrow()
+    sent = df.sparkSession.sparkContext.broadcast((found["word"].combine_chunks(), found["ids"].combine_chunks()))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = dict(zip(sent.value[0].to_pylist(), sent.value[1].to_pylist()))
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = pa.array(encode_texts(part.column(1).to_pylist(), path), type=pa.list_(pa.int32()))
+                ids = pa.array(encode_texts(part.column(1).to_pylist(), path, table), type=pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["key", "ids"])
 
     out = df.select(key, text).mapInArrow(step, f"key {kind}, ids array<int>")

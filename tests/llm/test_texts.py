@@ -107,6 +107,19 @@ def test_tokens_of_tables(spark):
     assert encode_corpus(df.limit(0)).count() == 0
 
 
+def test_ids_do_not_depend_on_the_table(spark):
+    from colloqua.llm.tokenize import word_table
+
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["the ", "cat", " 猫", "\n", "\u00a0", "\u2003", "\x1c", "\x85", "12 ", "½", "é", "e\u0301", "😀", "don't ", "<|endoftext|>", "  ", "ß", "x" * 80, "\u200b"]) for _ in range(rng.randrange(40))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id int, text string").withColumn("ids", F.lit(1)).withColumn("word", F.lit("w"))
+    want = {i: x for i, x in enumerate(encode_texts([*texts, None, ""]))}
+    for most in (0, 5, 1 << 17):
+        assert {r.doc_id: list(r.ids) for r in encode_corpus(df, most=most).collect()} == want
+    table = {r.word: (r.n, list(r.ids)) for r in word_table(df, most=5).collect()}
+    assert len(table) == 5 and all(x[1] == encode_texts([w])[0] for w, x in table.items()) and not any("x" * 80 in w for w in table)
+
+
 def words(rng, n):
     return [rng.choice("amber brass cellar dented eager ferry gilded hinge idle juggler kiln ledger".split()) + str(rng.randrange(50)) for _ in range(n)]
 
