@@ -569,19 +569,20 @@ def room_sanitise(spark, sf_dir):
 # --- sources, sinks, scoring and streams -------------------------------------------------
 
 
-@query("SELECT row_id AS id, msg, is_sender, talker, room_name, strftime(date_trunc('second', create_time), '%Y-%m-%d %H:%M:%S') AS at FROM messages "
-       "WHERE type_name = 'text' AND coalesce(msg, '') <> '' AND room_name IS NOT NULL AND talker <> '' AND create_time IS NOT NULL")
+@query("SELECT row_id AS id, coalesce(msg, '') AS msg, is_sender, coalesce(talker, '') AS talker, coalesce(room_name, '') AS room_name, "
+       "strftime(date_trunc('second', create_time), '%Y-%m-%d %H:%M:%S') AS at FROM messages")
 def csv_roundtrip(spark, sf_dir):
-    """Unified CSV written by room and read again."""
+    """Unified CSV written by room and read again. The format doesn't tell a null text from an empty one."""
     from colloqua.session import shared_path
     from colloqua.sinks.files import write_rooms
     from colloqua.sources.files import read_unified
 
-    rows = table(spark, sf_dir, "messages").where("type_name = 'text' AND coalesce(msg, '') <> '' AND room_name IS NOT NULL AND talker <> '' AND create_time IS NOT NULL")
+    rows = table(spark, sf_dir, "messages")
     path = shared_path(spark, "rooms")
     write_rooms(rows.withColumnsRenamed({"msg_svr_id": "MsgSvrID", "create_time": "CreateTime"}).withColumn("id", F.col("row_id")), path)
     back = read_unified(spark, path)
-    return back.select("id", "msg", "is_sender", "talker", "room_name", F.date_format("CreateTime", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return back.select("id", text("msg"), "is_sender", text("talker"), text("room_name"), F.date_format("CreateTime", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 @query(f"WITH {DIALOGUES} SELECT {LINES.format('ms')} AS dialogue FROM talk")
@@ -685,19 +686,23 @@ def _message_stream(spark, sf_dir):
 
 
 def _stream_rows(messages):
-    return messages.where("create_time IS NOT NULL AND is_sender IN (0, 1) AND room_name IS NOT NULL").select(
+    return messages.where("create_time IS NOT NULL").select(
         F.col("room_name").alias("room"), F.col("is_sender").alias("side"), F.col("create_time").alias("at"),
         F.unix_micros("create_time").alias("us"), F.col("row_id").alias("seq"), F.coalesce("msg", F.lit("")).alias("msg"))
 
 
-@query()
+@query("""WITH r AS (SELECT room_name AS room, is_sender AS side, epoch_us(create_time) AS us, row_id AS seq, coalesce(msg, '') AS msg FROM messages WHERE create_time IS NOT NULL),
+    f AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 120000000 THEN 0 ELSE 1 END AS brk FROM r WINDOW w AS (PARTITION BY room, side ORDER BY us, seq)),
+    g AS (SELECT *, sum(brk) OVER (PARTITION BY room, side ORDER BY us, seq ROWS UNBOUNDED PRECEDING) AS g FROM f)
+    SELECT room, side, min(us) AS start_us, max(us) + 120000000 AS end_us, count(*) AS n_rows, string_agg(msg, chr(10) ORDER BY us, seq) AS msg FROM g GROUP BY room, side, g""")
 def stream_sessionize(spark, sf_dir):
     from colloqua.session import shared_path
     from colloqua.streaming.messages import closed_stream, run_to_end, stream_bursts
 
     base = shared_path(spark, "stream")
     rows = closed_stream(_stream_rows(table(spark, sf_dir, "messages")), base)
-    return run_to_end(stream_bursts(rows), base)
+    found = run_to_end(stream_bursts(rows), base)
+    return found.select("room", "side", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n_rows", "msg")
 
 
 @query("WITH r AS (SELECT room_name AS room, epoch_us(create_time) AS us, row_id AS seq, is_sender AS side FROM messages WHERE create_time IS NOT NULL AND is_sender IN (0, 1) AND room_name IS NOT NULL) "
