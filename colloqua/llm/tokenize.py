@@ -14,7 +14,9 @@ import heapq
 import json
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -115,29 +117,60 @@ def _loaded(path: str) -> MergeReplay:
     return MergeReplay(path)
 
 
-_MEMO: dict[str, dict[str, list[int]]] = {}
+class WordIds:
+    """Ids of words in one array, and where each word's lie; words that aren't known are encoded as they come."""
+
+    def __init__(self, path: str, words: pa.Array | None = None, ids: pa.ListArray | None = None) -> None:
+        self.path, self.given = path, (words, ids)
+        self._start()
+
+    def _start(self) -> None:
+        words, ids = self.given
+        self.place: dict[str, int] = {} if words is None else {w: i for i, w in enumerate(words.to_pylist())}
+        self.table = len(self.place)
+        offsets = np.zeros(1, dtype=np.int64) if ids is None else ids.offsets.to_numpy().astype(np.int64)
+        self.first, self.size = offsets[:-1], np.diff(offsets)
+        self.ids = np.zeros(0, dtype=np.int32) if ids is None else ids.values.to_numpy()
+
+    def _learn(self, new: list[str]) -> None:
+        encoded = _loaded(self.path).encode_words(new)
+        size = np.array([len(encoded[w]) for w in new], dtype=np.int64)
+        ends = len(self.ids) + np.cumsum(size)
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.first, self.size = np.concatenate((self.first, ends - size)), np.concatenate((self.size, size))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(encoded[w] for w in new), dtype=np.int32)))
+
+    def encode(self, texts: list[str | None]) -> pa.ListArray:
+        """The ids of each text; empty and null texts have the empty list."""
+        cut = _words(self.path)
+        words = [cut(t) if t else [] for t in texts]
+        if len(self.place) > self.table + MEMO_WORDS:
+            self._start()
+        if new := set().union(*words).difference(self.place):
+            self._learn(sorted(new))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), dtype=np.int64)
+        sizes = self.size[at]
+        done = np.concatenate(([0], np.cumsum(sizes)))
+        flat = self.ids[np.repeat(self.first[at] - done[:-1], sizes) + np.arange(done[-1])]
+        ends = np.cumsum([0, *map(len, words)])
+        return pa.ListArray.from_arrays(pa.array(done[ends].astype(np.int32)), pa.array(flat))
+
+
+@functools.lru_cache(maxsize=1)
+def _words(path: str):
+    import regex
 
+    return regex.compile(WORD_PATTERN).findall
+
+
+@functools.lru_cache(maxsize=4)
+def _plain(path: str) -> WordIds:
+    return WordIds(path)
 
-def encode_texts(texts: list[str | None], path: str = VOCABULARY, table: dict[str, list[int]] | None = None) -> list[list[int]]:
-    """Ids of each text, by the table's words and for others by a replay over those of these texts; empty and null texts have
-    the empty list."""
-    import regex
 
-    words = [regex.findall(WORD_PATTERN, t) if t else [] for t in texts]
-    table = table or {}
-    memo = _MEMO.setdefault(path, {})
-    if len(memo) > MEMO_WORDS:
-        memo.clear()
-    new = {w for ws in words for w in ws if w not in table and w not in memo}
-    if new:
-        memo.update(_loaded(path).encode_words(new))
-    out = []
-    for ws in words:
-        ids: list[int] = []
-        for w in ws:
-            ids += table.get(w) or memo[w]
-        out.append(ids)
-    return out
+def encode_texts(texts: list[str | None], path: str = VOCABULARY) -> list[list[int]]:
+    """Ids of each text; empty and null texts have the empty list."""
+    return _plain(path).encode(texts).to_pylist()
 
 
 def word_table(df: DataFrame, text: str = "text", path: str = VOCABULARY, most: int = TABLE_WORDS) -> DataFrame:
@@ -182,12 +215,11 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path:
     sent = df.sparkSession.sparkContext.broadcast((found["word"].combine_chunks(), found["ids"].combine_chunks()))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = dict(zip(sent.value[0].to_pylist(), sent.value[1].to_pylist()))
+        words = WordIds(path, *sent.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = pa.array(encode_texts(part.column(1).to_pylist(), path, table), type=pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["key", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), words.encode(part.column(1).to_pylist())], names=["key", "ids"])
 
     out = df.select(key, text).mapInArrow(step, f"key {kind}, ids array<int>")
     return out.withColumnRenamed("key", key)
