@@ -20,6 +20,11 @@ def delivery_key(msg_svr_id: Column) -> Column:
     return F.when(has_visible(msg_svr_id), strip_blanks(msg_svr_id))
 
 
+def text_identity(text: Column) -> Column:
+    """A text for comparison in at most 65 bytes: itself, or a mark and its SHA-256 where it is longer than 64; null stays null."""
+    return F.when(F.octet_length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
 def keep_first_delivery(
     df: DataFrame,
     room: str = "room_name",
@@ -34,7 +39,7 @@ def keep_first_delivery(
     of which only rank 1 is asked for. Spark turns that into a group limit that
     runs before the exchange, so a message that makes up a third of the table
     leaves each map task as a single row: a hot identifier needs no salt. Rows
-    without identifier get their own ``tie`` as identity, which spreads them.
+    without identifier get a number of their own as identity, which spreads them.
 
     Nulls: a null room equals a null room, a null text a null text; a null tie
     sorts first. Repeated rows are deliveries like others. An empty table gives
@@ -63,7 +68,10 @@ def surplus_deliveries(df: DataFrame, tie: str = "row_id", **names: str) -> Data
     """
     needed = {names.get(k, d) for k, d in
               (("room", "room_name"), ("ident", "msg_svr_id"), ("text", "msg"), ("arrival", "create_time"))}
-    kept = keep_first_delivery(df.select(tie, *sorted(needed)), tie=tie, **names)
+    # Only keys are ranked and moved, so that a long text goes as its hash.
+    text = names.get("text", "msg")
+    keys = df.select(tie, *sorted(needed)).withColumn(text, text_identity(F.col(text)))
+    kept = keep_first_delivery(keys, tie=tie, **names)
     kept = kept.select(F.col(tie).alias("__kept"))
     return df.join(kept, df[tie].eqNullSafe(kept["__kept"]), "left_anti")
 
@@ -82,12 +90,12 @@ def new_deliveries(
     anti-joined with the stored identifiers, of which only the key columns are read.
     """
     first = keep_first_delivery(batch, room=room, ident=ident, text=text, **names)
-    first = first.withColumn("__new_key", delivery_key(F.col(ident)))
+    first = first.withColumns({"__new_key": delivery_key(F.col(ident)), "__new_text": text_identity(F.col(text))})
     known = (
         stored.select(
             F.col(room).alias("__st_room"),
             delivery_key(F.col(ident)).alias("__st_key"),
-            F.col(text).alias("__st_text"),
+            text_identity(F.col(text)).alias("__st_text"),
         )
         .where(F.col("__st_key").isNotNull())
         .distinct()
@@ -97,7 +105,7 @@ def new_deliveries(
         [
             first["__new_key"] == known["__st_key"],
             first[room].eqNullSafe(known["__st_room"]),
-            first[text].eqNullSafe(known["__st_text"]),
+            first["__new_text"].eqNullSafe(known["__st_text"]),
         ],
     )
-    return first.join(known, same, "left_anti").drop("__new_key")
+    return first.join(known, same, "left_anti").drop("__new_key", "__new_text")

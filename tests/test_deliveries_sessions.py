@@ -29,6 +29,13 @@ def test_deliveries(spark):
     assert keep_first_delivery(df.limit(0)).count() == 0 and surplus_deliveries(df.limit(0)).count() == 0
 
 
+def test_long_texts_are_told_apart(spark):
+    long = "x" * 100_000
+    df = rows(spark, [(1, "r", "a", long, 5), (2, "r", "a", long, 3), (3, "r", "a", long + "y", 1), (4, "r", "a", "x" * 64, 1), (5, "r", "a", "x" * 65, 1), (6, "r", "a", "x" * 65, 2), (7, "r", "a", "", 1), (8, "r", "a", None, 1)])
+    assert {r.row_id for r in surplus_deliveries(df).collect()} == {1, 6}
+    assert {r.row_id for r in new_deliveries(df.where("row_id in (1, 3, 6, 7, 8)"), df.where("row_id in (2, 5, 8)")).collect()} == {3, 7}
+
+
 def test_new_batch_against_stored(spark):
     stored = rows(spark, [(1, "r", "a", "x", 5), (2, "r", "b", None, 5), (3, None, "c", "x", 5)])
     batch = rows(spark, [(4, "r", "a ", "x", 9), (5, "r", "b", None, 9), (6, None, "c", "x", 9), (7, "r", None, "x", 9),
