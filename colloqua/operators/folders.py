@@ -39,6 +39,11 @@ def roll_up(files: DataFrame, folder: str = "folder", name: str = "name", size:
     )
 
 
+def latest(files: DataFrame, path: str = "path", time: str = "modificationTime") -> DataFrame:
+    """``path`` of the newest file or folder; of equally new ones the last by name. Null times are oldest."""
+    return files.agg(F.max_by(path, F.struct(F.coalesce(F.col(time).cast("timestamp"), F.timestamp_seconds(F.lit(0))), path)).alias(path))
+
+
 def main_files(files: DataFrame, most: int = 10, folder: str = "folder", name: str = "name") -> DataFrame:
     """The first ``most`` files worth listing of each folder, by name, with ``more``: how many follow."""
     listed = files.where(is_model_file(F.col(name)))

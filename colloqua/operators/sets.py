@@ -81,6 +81,11 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_order(F.col(key), seed), F.col(key))
 
 
+def mix_all(original: DataFrame, new: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """U-3: all records of both, in an order that looks random."""
+    return shuffled(original.unionByName(new, allowMissingColumns=True), key, seed)
+
+
 def cap_per_group(df: DataFrame, group: str, order: list[str], most: int, always: Column | None = None) -> DataFrame:
     """At most ``most`` rows of a group in ``order``; rows with ``always`` come besides."""
     free = F.lit(False) if always is None else F.coalesce(always, F.lit(False))

@@ -166,7 +166,7 @@ def read_telegram(spark: SparkSession, folder: str, owner: str = "") -> DataFram
     unix = F.try_variant_get(m, "$.date_unixtime", "string").try_cast("bigint")
     at = F.coalesce(F.timestamp_seconds(unix), F.try_to_timestamp(_get(m, "date")))
     content = F.concat_ws(" ", F.nullif(media_tags(m), F.lit("")), F.nullif(flat_text(m), F.lit("")))
-    ident = F.coalesce(_get(m, "id"), (F.col("pos") + 1).cast("string"))
+    ident = F.coalesce(_get(m, "id"), F.col("pos").cast("string"))
     return rows.where(F.coalesce(_get(m, "type"), F.lit("message")) != "service").select(
         (F.col("pos") + 1).cast("bigint").alias("id"),
         F.concat_ws("_", ident, F.col("chat_id")).alias("MsgSvrID"),

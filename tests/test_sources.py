@@ -221,6 +221,8 @@ def test_folders(spark):
     listed = folders.main_files(placed).where("folder = 'many'").collect()
     assert sorted(r["name"] for r in listed) == [f"f{i:02}.txt" for i in range(10)] and {r["more"] for r in listed} == {3}
     assert folders.roll_up(placed.limit(0)).count() == 0
+    times = spark.createDataFrame([("a", 5), ("b", 9), ("c", 9), ("d", None)], "path string, t long").select("path", F.timestamp_seconds("t").alias("modificationTime"))
+    assert folders.latest(times).first()[0] == "c" and folders.latest(times.limit(0)).first()[0] is None
 
 
 def test_training_files_of_any_path(spark, tmp_path):
