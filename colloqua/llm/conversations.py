@@ -28,8 +28,10 @@ from colloqua.session import shared_path
 
 #: Length of a time block; many gaps long, so that most conversations lie inside one.
 BLOCK_SECONDS = 6 * 3600
-#: Keys a block's rooms are spread over, unless given; kept with a stream from its first start on.
+#: Keys a block's rooms are spread over in a live stream, unless given; kept with a stream from its first start on.
 BUCKETS = 16
+#: Rows a key of a finite table has on average, which its number of buckets is made for.
+ROWS_A_KEY = 2000
 _CLOSING = -1  # the bucket of the row that closes a finite input; no room has it
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,17 +52,16 @@ def message_rows(
     text: str = "msg",
     at: str = "create_time",
     tie: str = "row_id",
-    buckets: int = BUCKETS,
     with_text: bool = False,
 ) -> DataFrame:
     """The columns the state needs. Rows without time are left out.
 
-    ``sound``: the side is 0 or 1 and the talker isn't blank. The text comes along
-    only where it is asked for.
+    ``sound``: the side is 0 or 1 and the talker isn't blank. ``bucket`` is a hash
+    of the room. The text comes along only where it is asked for.
     """
     return df.where(F.col(at).isNotNull()).select(
         F.col(room).cast("string").alias("room"),
-        F.pmod(F.xxhash64(F.col(room).cast("string")), F.lit(buckets)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64(F.col(room).cast("string")), F.lit(1 << 30)).cast("int").alias("bucket"),
         F.col(at).cast("timestamp").alias("at"),
         F.unix_micros(F.col(at).cast("timestamp")).alias("us"),
         F.col(tie).cast("long").alias("id"),
@@ -218,18 +219,19 @@ class _Rebuild(StatefulProcessor):
 
 
 def stream_conversations(
-    rows: DataFrame, gap_seconds: int = 3600, delay: str = "0 seconds", block_seconds: int = BLOCK_SECONDS
+    rows: DataFrame, gap_seconds: int = 3600, delay: str = "0 seconds", block_seconds: int = BLOCK_SECONDS, buckets: int = BUCKETS
 ) -> DataFrame:
     """PIECE rows of a stream of :func:`message_rows`; ``delay`` is how late a row may come.
 
-    Needs the state store of RocksDB, see :func:`with_rocksdb`. A room's rows have
-    to keep their bucket over restarts, see :func:`stored_buckets`.
+    Needs the state store of RocksDB, see :func:`with_rocksdb`. ``buckets`` has to
+    be the same over restarts, see :func:`stored_buckets`.
     """
     block_us = block_seconds * 1_000_000
     # The processor is also started on the driver, in a process that hasn't got the shipped package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return (
         rows.withWatermark("at", delay)
+        .withColumn("bucket", F.when(F.col("bucket") == _CLOSING, F.col("bucket")).otherwise(F.col("bucket") % buckets))
         .withColumn("block", F.floor(F.col("us") / F.lit(float(block_us))).cast("long"))
         .groupBy("bucket", "block")
         .transformWithStateInPandas(_Rebuild(gap_seconds * 1_000_000, block_us), PIECE, "Append", "EventTime")
@@ -313,11 +315,13 @@ def _pieces(df: DataFrame, gap_seconds: int, block_seconds: int, with_text: bool
     message_rows(df, with_text=with_text, **names).write.parquet(f"{base}/rows")
     rows = spark.read.schema(ROW).parquet(f"{base}/rows")
     later = F.max("at") + F.expr(f"INTERVAL {2 * gap_seconds + 86400} SECONDS")
+    size = rows.agg(F.count("*"), F.approx_count_distinct(F.floor(F.col("us") / F.lit(float(block_seconds * 1_000_000))))).first()
+    buckets = min(max(size[0] // (max(size[1], 1) * ROWS_A_KEY), 4), 4096)
     end = rows.agg(later.alias("at"), F.lit(_CLOSING).alias("bucket"), F.lit(0).cast("long").alias("us")).where("at IS NOT NULL")
     rows.limit(0).unionByName(end, allowMissingColumns=True).write.mode("append").parquet(f"{base}/rows")
     own = with_rocksdb(spark)
     query = (
-        stream_conversations(own.readStream.schema(ROW).parquet(f"{base}/rows"), gap_seconds, block_seconds=block_seconds)
+        stream_conversations(own.readStream.schema(ROW).parquet(f"{base}/rows"), gap_seconds, block_seconds=block_seconds, buckets=buckets)
         .writeStream.format("parquet")
         .option("path", f"{base}/pieces")
         .option("checkpointLocation", f"{base}/state")

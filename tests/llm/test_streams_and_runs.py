@@ -165,12 +165,12 @@ def test_live_stream(spark, tmp_path):
 
     def feed(part):
         df = messages(spark, rows + end).where(F.col("row_id").isin([ids[r] for r in part]))
-        C.message_rows(df, buckets=C.stored_buckets(spark, state, 7)).coalesce(1).write.mode("append").parquet(folder)
+        C.message_rows(df).coalesce(1).write.mode("append").parquet(folder)
 
     def drive(partitions):
         own = C.with_rocksdb(spark)
         own.conf.set("spark.sql.shuffle.partitions", partitions)
-        stream = C.stream_conversations(own.readStream.schema(C.ROW).option("maxFilesPerTrigger", 1).parquet(folder), delay="10 days")
+        stream = C.stream_conversations(own.readStream.schema(C.ROW).option("maxFilesPerTrigger", 1).parquet(folder), delay="10 days", buckets=C.stored_buckets(spark, state, 7))
         query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
 
