@@ -551,7 +551,7 @@ def segments_union_sort(spark, sf_dir):
     return merge_tracks(rows.where("seg_id % 2 = 0"), rows.where("seg_id % 2 <> 0"), ["call_id"], ["seg_id"], "pos").select("call_id", "seg_id", "role", "pos")
 
 
-@query("SELECT event_id, event_id * 0.25 AS loss, CAST(json_extract_string(props, '$.k') AS INTEGER) AS step FROM events")
+@query("SELECT event_id, CAST(event_id * 0.25 AS DOUBLE) AS loss, CAST(json_extract_string(props, '$.k') AS INTEGER) AS step FROM events")
 def regex_extract_log(spark, sf_dir):
     """fn22: losses and steps of log lines."""
     line = F.concat(F.lit("epoch 1, train_loss: "), (F.col("event_id") * 0.25).cast("string"), F.coalesce(F.concat(F.lit(" step: "), F.get_json_object("props", "$.k")), F.lit("")))
