@@ -151,7 +151,7 @@ def test_inference_in_batches(spark, tmp_path):
         pipeline.batch_infer(spark, str(tmp_path / "bad.jsonl"), str(tmp_path / "no.jsonl"), str.upper)
     df = spark.createDataFrame([("ab", "ab"), ("ab", "bc"), ("", "x"), (None, "x")], "output string, expected string")
     assert pipeline.mean_similarity(df).first()[0] == pytest.approx((1 + 1 / 3) / 4) and pipeline.mean_similarity(df.limit(0)).first()[0] is None
-    everything = sets.mix_all(spark.range(50), spark.range(50, 90).withColumn("x", F.lit(1)), "id").collect()
+    everything = sets.mix_all(spark.range(50).toDF("id"), spark.range(50, 90).toDF("id").withColumn("x", F.lit(1)), "id").collect()
     assert sorted(r.id for r in everything) == list(range(90)) != [r.id for r in everything]
     mixed = pipeline.mix(spark.range(100).withColumn("x", F.lit("a")), spark.range(1000, 1100).withColumn("x", F.lit("b")), 10)
     assert mixed.groupBy("x").count().orderBy("x").collect()[1]["count"] == 10

@@ -82,7 +82,7 @@ def test_telegram(spark, tmp_path):
     (tmp_path / "other" / "result.json").write_text("{}", encoding="utf-8")
     got = read_telegram(spark, str(tmp_path), "Me").orderBy("id").collect()
     assert [(r.id, r.MsgSvrID, r.type_name, r.is_sender, r.talker, r.msg, r.is_forward) for r in got] == [
-        (1, "7_42", "text", 0, "Ann", "ab", 0), (2, "8_42", "image", 0, "58", "[图片] hi", 0), (4, "4_42", "text", 1, "Me", "好的", 1),
+        (1, "7_42", "text", 0, "Ann", "ab", 0), (2, "8_42", "image", 0, "58", "[图片] hi", 0), (4, "3_42", "text", 1, "Me", "好的", 1),
         (6, "12_42", "image", 0, "Ann", "[表情包😀]", 0)]
     assert {r.room_name for r in got} == {"TG_N_42"}
     assert sources.detect_sources(str(tmp_path)) == ["tg"]
