@@ -449,7 +449,7 @@ def char_entropy(spark, sf_dir):
 
 @query(f"""WITH one AS (SELECT dialogue_id, turn_no, cm_id, chat_content AS x, {stripped('chat_content')} AS t FROM chatml_messages WHERE chat_content IS NOT NULL),
     valid AS (SELECT dialogue_id, turn_no, cm_id, {CLEANED} AS x FROM one WHERE {VALID_TEXT}), scored AS (SELECT *, {QUALITY} AS q FROM valid WHERE x <> ''),
-    best AS (SELECT dialogue_id, arg_max(x, (round(q, 9), length(x), -turn_no, -cm_id)) AS best FROM scored GROUP BY dialogue_id)
+    best AS (SELECT dialogue_id, arg_max(x, (q, length(x), -turn_no, -cm_id)) AS best FROM scored GROUP BY dialogue_id)
     SELECT dialogue_id, coalesce(best, '') AS best FROM (SELECT DISTINCT dialogue_id FROM one) LEFT JOIN best USING (dialogue_id)""")
 def best_candidate(spark, sf_dir):
     """of a dialogue's texts the best by quality, then length, then place."""
@@ -705,8 +705,8 @@ def stream_sessionize(spark, sf_dir):
     return found.select("room", "side", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n_rows", "msg")
 
 
-@query("WITH r AS (SELECT room_name AS room, epoch_us(create_time) AS us, row_id AS seq, is_sender AS side FROM messages WHERE create_time IS NOT NULL AND is_sender IN (0, 1) AND room_name IS NOT NULL) "
-       "SELECT a.room, a.us, a.seq, min(b.us) AS reply_us FROM r a JOIN r b ON a.room = b.room AND a.side = 0 AND b.side = 1 AND b.us > a.us AND b.us <= a.us + 300000000 GROUP BY ALL")
+@query("WITH r AS (SELECT room_name AS room, epoch_us(create_time) AS us, row_id AS seq, is_sender AS side FROM messages WHERE create_time IS NOT NULL) "
+       "SELECT a.room, a.us, a.seq, min(b.us) AS reply_us FROM r a JOIN r b ON a.room = b.room AND a.side <> 1 AND b.side = 1 AND b.us > a.us AND b.us <= a.us + 300000000 GROUP BY ALL")
 def stream_asof(spark, sf_dir):
     from colloqua.session import shared_path
     from colloqua.streaming.messages import run_to_end, stream_replies
