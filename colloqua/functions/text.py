@@ -67,9 +67,20 @@ def any_of(tests: list[Column]) -> Column:
     return functools.reduce(operator.or_, tests)
 
 
+@functools.cache
+def alternation(marks: tuple[str, ...]) -> str:
+    """A pattern that finds any of the marks: by first character, so that most places of a text fail at once."""
+    heads: dict[str, list[str]] = {}
+    for mark in marks:
+        heads.setdefault(mark[0], []).append(mark[1:])
+    quoted = lambda c: "\\" + c if c.isascii() and not c.isalnum() else c
+    branches = [quoted(c) if "" in rest else quoted(c) + "(?:" + "|".join(rf"\Q{r}\E" for r in rest) + ")" for c, rest in heads.items()]
+    return f"(?=[{''.join(map(quoted, heads))}])(?:{'|'.join(branches)})"
+
+
 def contains_any(c: Column, marks: tuple[str, ...]) -> Column:
     """One pass with an alternation, so that ``c`` is evaluated once, not once for each mark."""
-    return c.rlike("|".join(rf"\Q{m}\E" for m in marks))
+    return c.rlike(alternation(marks))
 
 
 def matches_any(c: Column, patterns: tuple[str, ...]) -> Column:
