@@ -680,11 +680,6 @@ def llm_scoring(spark, sf_dir):
     return score_pairs(pairs, length_judge).select("id", "score")
 
 
-def _message_stream(spark, sf_dir):
-    source = table(spark, sf_dir, "messages")
-    return _stream_rows(spark.readStream.schema(source.schema).parquet(f"{sf_dir}/messages.parque[t]"))  # a pattern, as the table may be one file
-
-
 def _stream_rows(messages):
     return messages.where("create_time IS NOT NULL").select(
         F.col("room_name").alias("room"), F.col("is_sender").alias("side"), F.col("create_time").alias("at"),
@@ -709,10 +704,14 @@ def stream_sessionize(spark, sf_dir):
        "SELECT a.room, a.us, a.seq, min(b.us) AS reply_us FROM r a JOIN r b ON a.room = b.room AND a.side <> 1 AND b.side = 1 AND b.us > a.us AND b.us <= a.us + 300000000 GROUP BY ALL")
 def stream_asof(spark, sf_dir):
     from colloqua.session import shared_path
-    from colloqua.streaming.messages import run_to_end, stream_replies
+    from colloqua.streaming.messages import closed_stream, run_to_end, stream_replies
 
-    found = run_to_end(stream_replies(_message_stream(spark, sf_dir)), shared_path(spark, "stream"))
-    return found.groupBy("room", "us", "seq").agg(F.min("reply_us").alias("reply_us"))
+    base = shared_path(spark, "stream")
+    later = 2000 * 366 * 86_400_000_000  # the watermark starts at 1970, and rows before it would be late
+    rows = _stream_rows(table(spark, sf_dir, "messages")).drop("msg")
+    rows = closed_stream(rows.withColumns({"at": F.timestamp_micros(F.col("us") + later), "us": F.col("us") + later}), base)
+    found = run_to_end(stream_replies(rows, with_text=False), base)
+    return found.groupBy("room", F.col("us") - later, "seq").agg(F.min("reply_us") - later).toDF("room", "us", "seq", "reply_us")
 
 
 # --- small expressions ---------------------------------------------------------------------
